@@ -110,11 +110,11 @@ def valid_counts(c1="c1", c2="c2", c12="c12", n="n") -> Column:
     )
 
 
-def log_likelihood_terms(c1="c1", c2="c2", c12="c12", n="n", mode: str = "log") -> list[Column]:
+def log_likelihood_terms(
+    c1="c1", c2="c2", c12="c12", n="n", mode: str = "log", terms: Terms | None = None
+) -> list[Column]:
     """The four ln L whose signed sum (+ + - -) is log lambda."""
-    if mode not in MODES:
-        raise ValueError(f"unknown mode {mode!r}; known: {MODES}")
-    p, p1, p2 = likelihood_terms(c1, c2, c12, n, mode)
+    p, p1, p2 = terms or likelihood_terms(c1, c2, c12, n, mode)
     c1, c2, c12, n = _doubles(c1, c2, c12, n)
     draws = [(c12, c1, p), (c2 - c12, n - c1, p), (c12, c1, p1), (c2 - c12, n - c1, p2)]
     if mode == "ieee":
@@ -122,15 +122,33 @@ def log_likelihood_terms(c1="c1", c2="c2", c12="c12", n="n", mode: str = "log")
     return [binomial_log_likelihood(*draw) for draw in draws]
 
 
-def log_likelihood_ratio(c1="c1", c2="c2", c12="c12", n="n", mode: str = "log") -> Column:
+def log_likelihood_ratio(
+    c1="c1", c2="c2", c12="c12", n="n", mode: str = "log", terms: Terms | None = None
+) -> Column:
     """log lambda of the pair.
 
     ``log``  works on logarithms throughout: finite for every valid table, NULL otherwise.
     ``ieee`` multiplies powers first, as the formula is written: NaN or infinite where
              the powers underflow.
+
+    Pass ``terms`` as columns of the table where speed matters (``with_scores`` does):
+    written out in one expression they repeat so often that the JVM does not compile it.
     """
-    a, b, c, d = log_likelihood_terms(c1, c2, c12, n, mode)
-    ratio = a + b - c - d
+    if mode not in MODES:
+        raise ValueError(f"unknown mode {mode!r}; known: {MODES}")
+    terms = terms or likelihood_terms(c1, c2, c12, n, mode)
     if mode == "ieee":
-        return ratio
-    return F.when(valid_counts(c1, c2, c12, n), ratio)
+        a, b, c, d = log_likelihood_terms(c1, c2, c12, n, mode, terms)
+        return a + b - c - d
+    valid = valid_counts(c1, c2, c12, n)
+    p, p1, p2 = terms
+    c1, c2, c12, n = _doubles(c1, c2, c12, n)
+    left_over, others = c2 - c12, n - c1
+    # No term is 0 or 1, so every logarithm is finite.
+    ratio = (
+        c12 * (F.log(p) - F.log(p1))
+        + (c1 - c12) * (F.log1p(-p) - F.log1p(-p1))
+        + left_over * (F.log(p) - F.log(p2))
+        + (others - left_over) * (F.log1p(-p) - F.log1p(-p2))
+    )
+    return F.when(valid, ratio)

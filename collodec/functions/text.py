@@ -61,6 +61,21 @@ def ngram_tokens(c: Column | str) -> Column:
     return F.split(F.rtrim(as_column(c)), " ")
 
 
+def arity(c: Column | str) -> Column:
+    """The number of ``ngram_tokens``, counted by bytes instead of splitting."""
+    ngram = F.rtrim(as_column(c))
+    without_spaces = F.replace(ngram, F.lit(" "), F.lit(""))
+    return F.octet_length(ngram) - F.octet_length(without_spaces) + 1
+
+
+def first_token(c: Column | str) -> Column:
+    return F.substring_index(F.rtrim(as_column(c)), " ", 1)
+
+
+def last_token(c: Column | str) -> Column:
+    return F.substring_index(F.rtrim(as_column(c)), " ", -1)
+
+
 def decade(year: Column | str) -> Column:
     """1987 -> 1980, truncating towards zero."""
     y = as_column(year)

@@ -21,6 +21,7 @@ from .marginals import (
     union_marginals_and_pairs,
 )
 from .ordering import key_order, order_by_counts, output_order
+from .scores import with_scores, with_terms
 
 __all__ = [
     "attach_first_marginal",
@@ -47,4 +48,6 @@ __all__ = [
     "unigram_counts",
     "unigram_grouping_sets",
     "union_marginals_and_pairs",
+    "with_scores",
+    "with_terms",
 ]

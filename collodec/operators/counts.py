@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_token, decade, ngram_tokens, survives_cleaning
+from ..functions.text import clean_token, decade, first_token, last_token, survives_cleaning
 from .filters import drop_null_keys, drop_stop_words, filter_arity
 
 
 def prepare_unigrams(ngrams: DataFrame, language: str, stop_words: DataFrame) -> DataFrame:
     """1-gram rows -> (w, decade, occurrences), cleaned, without stop words."""
-    token = ngram_tokens("ngram")[0]
+    token = first_token("ngram")
     rows = filter_arity(drop_null_keys(ngrams, ["ngram", "year"]), 1).where(
         survives_cleaning(token, language)
     )
@@ -30,7 +30,7 @@ def prepare_bigrams(ngrams: DataFrame, language: str, stop_words: DataFrame) ->
 
     A pair goes if either word is empty or a stop word; words are never bridged.
     """
-    first, second = ngram_tokens("ngram")[0], ngram_tokens("ngram")[1]
+    first, second = first_token("ngram"), last_token("ngram")
     rows = filter_arity(drop_null_keys(ngrams, ["ngram", "year"]), 2).where(
         survives_cleaning(first, language) & survives_cleaning(second, language)
     )

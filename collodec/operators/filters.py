@@ -9,13 +9,13 @@ from operator import and_
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import ngram_tokens
+from ..functions.text import arity
 from .bounded import MAX_BROADCAST_ROWS, broadcast_if_bounded
 
 
 def filter_arity(ngrams: DataFrame, n: int) -> DataFrame:
     """Rows whose n-gram has exactly n tokens."""
-    return ngrams.where(F.size(ngram_tokens("ngram")) == n)
+    return ngrams.where(arity("ngram") == n)
 
 
 def drop_empty(df: DataFrame, columns: Sequence[str]) -> DataFrame:

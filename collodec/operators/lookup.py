@@ -2,19 +2,22 @@
 
 A word pair table joined on one of its words is skewed as language is: one word of one
 decade may hold a large part of all pairs. The looked-up side knows how large a share
-each of its keys has (its count), so a key with more than one partition's share is
+each of its keys has (its count), so a key with more than a partition's fair share is
 split: its row is repeated once per split and the other side's rows are spread over
 the splits by a hash of their remaining columns.
 
-Keys with more than 1/parts of the total number at most ``parts``, and so do the rows
-of the list that is broadcast; the repeated rows number at most 2 * parts in all.
+With ``fair`` = total / parts, fewer than ``parts`` keys can have more than that, so the
+list of hot keys that is broadcast has fewer than ``parts`` rows whatever the data, and
+the repeated rows number at most about 2 * parts. A hot key that the looked-up side does
+not have is left to adaptive execution's skew handling.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPLIT = "_split"
@@ -25,29 +28,52 @@ def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def with_splits(keyed: DataFrame, weight: str, parts: int) -> DataFrame:
-    """Add the number of splits each key gets by its share of the weight."""
-    total = keyed.agg(F.sum(weight).cast("double").alias("total")).scalar()
-    share = F.col(weight).cast("double") / F.nullif(total, F.lit(0.0))
-    splits = F.least(F.lit(parts), F.ceil(share * parts).cast("int"))
-    return keyed.withColumn(SPLITS, F.coalesce(F.greatest(F.lit(1), splits), F.lit(1)))
+def fair_share(keyed: DataFrame, weight: str, parts: int) -> Column:
+    """The weight of one partition if all were equal, at least 1, as a scalar subquery."""
+    fair = F.greatest(F.expr(f"sum({weight}) div {parts}"), F.lit(1).cast("bigint"))
+    return keyed.agg(fair.alias("fair")).scalar()
 
 
-def repeat_per_split(keyed: DataFrame) -> DataFrame:
-    """One row per split of the key; the splits are numbered from 0."""
-    numbered = F.explode(F.sequence(F.lit(0), F.col(SPLITS) - 1)).alias(SPLIT)
-    return keyed.select(*[c for c in keyed.columns if c != SPLITS], numbered)
+@dataclass(frozen=True)
+class SplitKeys:
+    """A table with one row per key, and how often each key is split.
 
+    weight  its column that stands for how many rows of the other side share the key
+    parts   the most splits of one key
+    """
 
-def assign_split(
-    df: DataFrame, keyed: DataFrame, on: Mapping[str, str], spread: Sequence[str]
-) -> DataFrame:
-    """Give each row of df one of its key's splits, by a hash of the spread columns."""
-    hot = keyed.where(F.col(SPLITS) > 1).select(
-        *[F.col(right).alias(left) for left, right in on.items()], SPLITS
-    )
-    split = F.pmod(F.xxhash64(*spread), F.coalesce(SPLITS, F.lit(1))).cast("int")
-    return df.join(F.broadcast(hot), list(on), "left").withColumn(SPLIT, split).drop(SPLITS)
+    table: DataFrame
+    weight: str
+    parts: int
+
+    def _with_splits(self, rows: DataFrame, fair: Column) -> DataFrame:
+        shares = F.ceil(F.col(self.weight) / fair).cast("int")
+        hot = F.least(shares, F.lit(self.parts))
+        splits = F.when(F.col(self.weight) > fair, hot).otherwise(F.lit(1))
+        return rows.withColumn(SPLITS, splits)
+
+    def hot(self) -> DataFrame:
+        """Keys with more than one split; the filter is one that a scan can take."""
+        fair = fair_share(self.table, self.weight, self.parts)
+        return self._with_splits(self.table.where(F.col(self.weight) > fair), fair)
+
+    def repeated(self) -> DataFrame:
+        """The table with one row per key and split."""
+        fair = fair_share(self.table, self.weight, self.parts)
+        numbers = F.sequence(F.lit(0), F.col(SPLITS) - 1)
+        return self._with_splits(self.table, fair).select(
+            *self.table.columns, F.explode(numbers).alias(SPLIT)
+        )
+
+    def assign(self, df: DataFrame, on: Mapping[str, str], spread: Sequence[str]) -> DataFrame:
+        """Give each row of df one of its key's splits, by a hash of the spread columns."""
+        hot = self.hot().select(*_renamed(on), SPLITS)
+        split = F.pmod(F.xxhash64(*spread), F.coalesce(SPLITS, F.lit(1))).cast("int")
+        return df.join(F.broadcast(hot), list(on), "left").withColumn(SPLIT, split).drop(SPLITS)
+
+
+def _renamed(on: Mapping[str, str]) -> list[Column]:
+    return [F.col(right).alias(left) for left, right in on.items()]
 
 
 def lookup_join(
@@ -68,12 +94,9 @@ def lookup_join(
     spread  df columns that tell the rows of one key apart
     how     "left" keeps rows without a match, "inner" drops them
     """
-    keyed = with_splits(keyed, weight, parts or shuffle_parts(df))
-    rows = assign_split(df, keyed, on, spread)
-    values = repeat_per_split(keyed).select(
-        *[F.col(right).alias(left) for left, right in on.items()],
-        SPLIT,
-        *[F.col(right).alias(new) for right, new in take.items()],
+    keys = SplitKeys(keyed, weight, parts or shuffle_parts(df))
+    values = keys.repeated().select(
+        *_renamed(on), SPLIT, *[F.col(right).alias(new) for right, new in take.items()]
     )
-    joined = rows.join(values, [*on, SPLIT], how)
+    joined = keys.assign(df, on, spread).join(values, [*on, SPLIT], how)
     return joined.select(*df.columns, *take.values())

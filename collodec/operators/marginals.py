@@ -6,14 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bounded import MAX_BROADCAST_ROWS, is_bounded
-from .lookup import (
-    SPLIT,
-    assign_split,
-    lookup_join,
-    repeat_per_split,
-    shuffle_parts,
-    with_splits,
-)
+from .lookup import SPLIT, SplitKeys, lookup_join, shuffle_parts
 
 
 def _how(required: bool) -> str:
@@ -104,9 +97,9 @@ def marginal_by_window(
     The word's own row is the header of its group and its count is carried to the
     group's pairs. Hot groups are split, each split with a header of its own.
     """
-    keyed = with_splits(unigrams, "c", parts or shuffle_parts(pairs))
-    headers = repeat_per_split(keyed).withColumnsRenamed({"w": "w1", "c": "c1"})
-    rows = assign_split(pairs, keyed, {"w1": "w", "decade": "decade"}, ["w2"])
+    keys = SplitKeys(unigrams, "c", parts or shuffle_parts(pairs))
+    headers = keys.repeated().withColumnsRenamed({"w": "w1", "c": "c1"})
+    rows = keys.assign(pairs, {"w1": "w", "decade": "decade"}, ["w2"])
     group = Window.partitionBy("decade", "w1", SPLIT)
     carried = F.max("c1").over(group)
     return (

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import likelihood, text
-from ..operators import counts, filters, marginals, ordering
+from ..operators import counts, filters, marginals, ordering, scores
 from ..sinks import tables as sinks
 from ..sources import ngrams as ngram_sources
 from ..sources import tables as sources
@@ -369,16 +369,15 @@ def reverse_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def likelihood_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    terms = likelihood.likelihood_terms()
-    columns = [rounded(getattr(terms, name), 9).alias(name) for name in terms._fields]
-    return product_counted(spark, sf_dir).select("w1", "w2", "decade", *columns)
+    columns = [rounded(name, 9).alias(name) for name in likelihood.Terms._fields]
+    return scores.with_terms(product_counted(spark, sf_dir)).select("w1", "w2", "decade", *columns)
 
 
 @query
 def binomial_log_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = likelihood.log_likelihood_terms()
+    parts = likelihood.log_likelihood_terms(terms=scores.term_columns())
     columns = [rounded(c).alias(f"ln_l{i}") for i, c in enumerate(parts, start=1)]
-    return product_counted(spark, sf_dir).select("w1", "w2", "decade", *columns)
+    return scores.with_terms(product_counted(spark, sf_dir)).select("w1", "w2", "decade", *columns)
 
 
 @query
@@ -392,8 +391,8 @@ def binomial_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("w1", "w2", "decade", rounded(value, 6).alias("likelihood"))
 
 
-def _scored(scores: DataFrame) -> DataFrame:
-    return scores.withColumn("llr", rounded("llr"))
+def _scored(pairs: DataFrame) -> DataFrame:
+    return pairs.withColumn("llr", rounded("llr"))
 
 
 def product_collocations(spark: SparkSession, sf_dir: str, mode: str = "log") -> DataFrame:
@@ -439,16 +438,11 @@ def collocations_ieee(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Elsewhere the doubles have lost digits or all of the value; the row says so.
     """
-    scores = document_collocations(spark, sf_dir, "ieee")
-    parts = likelihood.log_likelihood_terms()
-    exact = F.greatest(*[F.abs(c) for c in parts]) < 700
-    return scores.select(
-        "w1",
-        "w2",
-        "decade",
-        exact.alias("in_range"),
-        F.when(exact, rounded("llr")).alias("llr"),
-    )
+    factors = likelihood.log_likelihood_terms(terms=scores.term_columns())
+    scored = scores.with_terms(document_collocations(spark, sf_dir, "ieee"))
+    ranged = scored.withColumn("in_range", F.greatest(*[F.abs(c) for c in factors]) < 700)
+    llr = F.when(F.col("in_range"), rounded("llr"))
+    return ranged.select("w1", "w2", "decade", "in_range", llr.alias("llr"))
 
 
 # Orders and lines.
@@ -500,9 +494,9 @@ def output_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score to three decimals, as a decimal: engines print doubles differently."""
-    scores = _scored(product_collocations(spark, sf_dir))
+    scored = _scored(product_collocations(spark, sf_dir))
     llr = F.col("llr").cast("decimal(20,3)")
-    return scores.select(text.format_score_line(llr=llr).alias("line"))
+    return scored.select(text.format_score_line(llr=llr).alias("line"))
 
 
 @query

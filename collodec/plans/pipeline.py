@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.likelihood import log_likelihood_ratio
 from ..operators.counts import (
     bigram_counts,
     decade_totals,
@@ -13,6 +12,7 @@ from ..operators.counts import (
     unigram_counts,
 )
 from ..operators.marginals import attach_second_marginal, pair_marginals
+from ..operators.scores import with_scores
 from ..sinks.tables import (
     RunPaths,
     write_pairs,
@@ -32,7 +32,7 @@ def score_pairs(
 ) -> DataFrame:
     """Pairs with c1, c12 and n -> with c2 and the log-likelihood ratio."""
     counted = attach_second_marginal(pairs, unigrams, required)
-    return counted.withColumn("llr", log_likelihood_ratio(mode=mode)).select(*SCORE_COLUMNS)
+    return with_scores(counted, mode).select(*SCORE_COLUMNS)
 
 
 def collocations(

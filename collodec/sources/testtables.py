@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 LATIN = "abcdefghijklmnopqrstuvwxyz"
@@ -12,7 +12,7 @@ ALEF, QAMATS = chr(0x05D0), chr(0x05B8)
 
 
 def to_hebrew(word: str) -> str:
-    """The transliteration of ``hebrew_tokens`` for one plain word."""
+    """The letters that a plain word has after transliteration and cleaning."""
     return word.translate(str.maketrans(LATIN, HEBREW))
 
 
@@ -57,51 +57,64 @@ def product_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words_of(product_bigrams(spark, sf_dir))
 
 
+def _spread_small(df: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, spread over all of them.
+
+    Such an input is small, as a split holds spark.sql.files.maxPartitionBytes; a larger
+    one is left as it is scanned.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(year, lang, tokens): whole texts, split at white space; the year is made up."""
-    tokens = F.array_remove(F.split("text", "[ \\t\\r\\n]+"), "")
-    return _table(spark, sf_dir, "documents").select(
-        (F.lit(1900) + F.col("doc_id") % 30).cast("int").alias("year"),
-        "lang",
-        tokens.alias("tokens"),
+    """(year, lang, text): whole texts; the year is made up."""
+    rows = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
+    return _spread_small(rows).select(
+        (F.lit(1900) + F.col("doc_id") % 30).cast("int").alias("year"), "lang", "text"
     )
 
 
-def _token_rows(documents: DataFrame) -> DataFrame:
-    return documents.select(F.explode("tokens").alias("ngram"), "year")
+def _english(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).where(F.col("lang") == "en")
+
+
+def _in_hebrew(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All texts with Latin letters written as Hebrew ones, alef pointed."""
+    letters = F.translate(F.lower("text"), LATIN, HEBREW)
+    pointed = F.replace(letters, F.lit(ALEF), F.lit(ALEF + QAMATS))
+    return _documents(spark, sf_dir).withColumn("text", pointed)
+
 
+def _tokens() -> Column:
+    """Split at white space; a text that starts or ends with some has no empty token."""
+    return F.array_remove(F.split("text", "[ \\t\\r\\n]+"), "").alias("tokens")
 
-def _neighbour_rows(documents: DataFrame) -> DataFrame:
+
+def _token_ngrams(documents: DataFrame) -> DataFrame:
+    return _count_ngrams(documents.select(F.explode(_tokens()).alias("ngram"), "year"))
+
+
+def _neighbour_ngrams(documents: DataFrame) -> DataFrame:
     """Adjacent tokens of a document; its last token has no neighbour."""
     following = F.slice("tokens", F.lit(2), F.size("tokens"))
-    pairs = documents.select(
-        F.inline(F.arrays_zip(F.col("tokens").alias("a"), following.alias("b"))), "year"
-    )
-    return pairs.where(F.col("b").isNotNull()).select(
-        F.concat_ws(" ", "a", "b").alias("ngram"), "year"
-    )
+    pairs = F.zip_with("tokens", following, lambda a, b: F.concat(a, F.lit(" "), b))
+    rows = documents.select(_tokens(), "year").select(F.explode(pairs).alias("ngram"), "year")
+    return _count_ngrams(rows.where(F.col("ngram").isNotNull()))
 
 
 def document_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _documents(spark, sf_dir).where(F.col("lang") == "en")
-    return _count_ngrams(_token_rows(documents))
+    return _token_ngrams(_english(spark, sf_dir))
 
 
 def document_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = _documents(spark, sf_dir).where(F.col("lang") == "en")
-    return _count_ngrams(_neighbour_rows(documents))
-
-
-def _in_hebrew(rows: DataFrame) -> DataFrame:
-    """Write Latin letters as Hebrew ones, alef pointed; the rest stays as it is."""
-    letters = F.translate(F.lower("ngram"), LATIN, HEBREW)
-    return rows.select(F.replace(letters, F.lit(ALEF), F.lit(ALEF + QAMATS)).alias("ngram"), "year")
+    return _neighbour_ngrams(_english(spark, sf_dir))
 
 
 def hebrew_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of all documents in Hebrew letters, punctuation and accents kept."""
-    return _count_ngrams(_in_hebrew(_token_rows(_documents(spark, sf_dir))))
+    return _token_ngrams(_in_hebrew(spark, sf_dir))
 
 
 def hebrew_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _count_ngrams(_in_hebrew(_neighbour_rows(_documents(spark, sf_dir))))
+    return _neighbour_ngrams(_in_hebrew(spark, sf_dir))
