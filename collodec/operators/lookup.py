@@ -1,25 +1,24 @@
-"""Key lookup join that splits hot keys.
+"""Key lookup join that broadcasts a small table and splits hot keys of a large one.
 
 A word pair table joined on one of its words is skewed as language is: one word of one
-decade may hold a large part of all pairs. The looked-up side knows how large a share
-each of its keys has (its count), so a key with more than a partition's fair share is
-split: its row is repeated once per split and the other side's rows are spread over
-the splits by a hash of their remaining columns.
-
-With ``fair`` = total / parts, fewer than ``parts`` keys can have more than that, so the
-list of hot keys that is broadcast has fewer than ``parts`` rows whatever the data, and
-the repeated rows number at most about 2 * parts. A hot key that the looked-up side does
-not have is left to adaptive execution's skew handling.
+decade may hold a third of all pairs. A key with more rows than a partition's fair share
+is split: its rows are spread over the splits by a hash of their remaining columns, and
+its row in the looked-up table is repeated once per split.
+
+With fair = rows / parts, fewer than ``parts`` keys can have more rows than that. So the
+list of hot keys, which is broadcast, has fewer than ``parts`` rows whatever the data,
+and the repeated rows number at most 2 * parts.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .bounded import MAX_BROADCAST_ROWS, is_bounded
+
 SPLIT = "_split"
 SPLITS = "_splits"
 
@@ -28,52 +27,33 @@ def shuffle_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def fair_share(keyed: DataFrame, weight: str, parts: int) -> Column:
-    """The weight of one partition if all were equal, at least 1, as a scalar subquery."""
-    fair = F.greatest(F.expr(f"sum({weight}) div {parts}"), F.lit(1).cast("bigint"))
-    return keyed.agg(fair.alias("fair")).scalar()
+def hot_keys(rows: DataFrame, key: Sequence[str], parts: int) -> DataFrame:
+    """(key, _splits) of the keys that have more than one partition's share of the rows."""
+    fair = rows.agg(
+        F.greatest(F.expr(f"count(1) div {parts}"), F.lit(1).cast("bigint")).alias("fair")
+    ).scalar()
+    sizes = rows.groupBy(*key).agg(F.count(F.lit(1)).alias("_rows"))
+    splits = F.least(F.ceil(F.col("_rows") / fair), F.lit(parts)).cast("int")
+    return sizes.where(F.col("_rows") > fair).select(*key, splits.alias(SPLITS))
 
 
-@dataclass(frozen=True)
-class SplitKeys:
-    """A table with one row per key, and how often each key is split.
-
-    weight  its column that stands for how many rows of the other side share the key
-    parts   the most splits of one key
-    """
+def assign_split(
+    df: DataFrame, hot: DataFrame, key: Sequence[str], spread: Sequence[str]
+) -> DataFrame:
+    """Give each row of df one of its key's splits, by a hash of the spread columns."""
+    split = F.pmod(F.xxhash64(*spread), F.coalesce(SPLITS, F.lit(1))).cast("int")
+    return df.join(F.broadcast(hot), list(key), "left").withColumn(SPLIT, split).drop(SPLITS)
 
-    table: DataFrame
-    weight: str
-    parts: int
-
-    def _with_splits(self, rows: DataFrame, fair: Column) -> DataFrame:
-        shares = F.ceil(F.col(self.weight) / fair).cast("int")
-        hot = F.least(shares, F.lit(self.parts))
-        splits = F.when(F.col(self.weight) > fair, hot).otherwise(F.lit(1))
-        return rows.withColumn(SPLITS, splits)
-
-    def hot(self) -> DataFrame:
-        """Keys with more than one split; the filter is one that a scan can take."""
-        fair = fair_share(self.table, self.weight, self.parts)
-        return self._with_splits(self.table.where(F.col(self.weight) > fair), fair)
-
-    def repeated(self) -> DataFrame:
-        """The table with one row per key and split."""
-        fair = fair_share(self.table, self.weight, self.parts)
-        numbers = F.sequence(F.lit(0), F.col(SPLITS) - 1)
-        return self._with_splits(self.table, fair).select(
-            *self.table.columns, F.explode(numbers).alias(SPLIT)
-        )
 
-    def assign(self, df: DataFrame, on: Mapping[str, str], spread: Sequence[str]) -> DataFrame:
-        """Give each row of df one of its key's splits, by a hash of the spread columns."""
-        hot = self.hot().select(*_renamed(on), SPLITS)
-        split = F.pmod(F.xxhash64(*spread), F.coalesce(SPLITS, F.lit(1))).cast("int")
-        return df.join(F.broadcast(hot), list(on), "left").withColumn(SPLIT, split).drop(SPLITS)
+def repeat_hot(keyed: DataFrame, hot: DataFrame, key: Sequence[str]) -> DataFrame:
+    """One row per key and split; the splits are numbered from 0."""
+    numbers = F.sequence(F.lit(0), F.coalesce(SPLITS, F.lit(1)) - 1)
+    with_splits = keyed.join(F.broadcast(hot), list(key), "left")
+    return with_splits.select(*keyed.columns, F.explode(numbers).alias(SPLIT))
 
 
-def _renamed(on: Mapping[str, str]) -> list[Column]:
-    return [F.col(right).alias(left) for left, right in on.items()]
+def _renamed(columns: Mapping[str, str]) -> list[Column]:
+    return [F.col(old).alias(new) for old, new in columns.items()]
 
 
 def lookup_join(
@@ -81,22 +61,30 @@ def lookup_join(
     keyed: DataFrame,
     on: Mapping[str, str],
     take: Mapping[str, str],
-    weight: str,
     spread: Sequence[str],
     how: str = "left",
+    rows: DataFrame | None = None,
     parts: int | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """df with columns of ``keyed`` added on equal keys.
 
-    on      df column -> keyed column; unique in keyed
+    keyed   one row per key; it is counted here and its plan runs twice, so it should be
+            a stored table
+    on      keyed column -> df column
     take    keyed column -> new column
-    weight  keyed column that stands for how many rows of df share the key
     spread  df columns that tell the rows of one key apart
     how     "left" keeps rows without a match, "inner" drops them
+    rows    a stored table with the keys of df, to find the hot ones by; df itself if not
+            given
     """
-    keys = SplitKeys(keyed, weight, parts or shuffle_parts(df))
-    values = keys.repeated().select(
-        *_renamed(on), SPLIT, *[F.col(right).alias(new) for right, new in take.items()]
-    )
-    joined = keys.assign(df, on, spread).join(values, [*on, SPLIT], how)
+    key = list(on.values())
+    values = keyed.select(*_renamed({**on, **take}))
+    if is_bounded(keyed, max_broadcast_rows):
+        joined = df.join(F.broadcast(values), key, how)
+    else:
+        hot = hot_keys(df if rows is None else rows, key, parts or shuffle_parts(df))
+        joined = assign_split(df, hot, key, spread).join(
+            repeat_hot(values, hot, key), [*key, SPLIT], how
+        )
     return joined.select(*df.columns, *take.values())

@@ -1,12 +1,17 @@
-"""Attach C(w1), C(w2) and N to word pairs."""
+"""Attach C(w1), C(w2) and N to word pairs.
+
+Pairs, unigrams and totals are looked at more than once (how many rows, which keys are
+hot), so they should be stored tables; where pairs are derived from one that is, pass
+that one as ``rows``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bounded import MAX_BROADCAST_ROWS, is_bounded
-from .lookup import SPLIT, SplitKeys, lookup_join, shuffle_parts
+from .bounded import MAX_BROADCAST_ROWS
+from .lookup import SPLIT, assign_split, hot_keys, lookup_join, repeat_hot, shuffle_parts
 
 
 def _how(required: bool) -> str:
@@ -14,34 +19,46 @@ def _how(required: bool) -> str:
 
 
 def attach_first_marginal(
-    pairs: DataFrame, unigrams: DataFrame, required: bool = False, parts: int | None = None
+    pairs: DataFrame,
+    unigrams: DataFrame,
+    required: bool = False,
+    rows: DataFrame | None = None,
+    parts: int | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add c1 = C(w1). A word without a count gives NULL, or no row if required."""
     return lookup_join(
         pairs,
         unigrams,
-        on={"w1": "w", "decade": "decade"},
+        on={"w": "w1", "decade": "decade"},
         take={"c": "c1"},
-        weight="c",
         spread=["w2"],
         how=_how(required),
+        rows=rows,
         parts=parts,
+        max_broadcast_rows=max_broadcast_rows,
     )
 
 
 def attach_second_marginal(
-    pairs: DataFrame, unigrams: DataFrame, required: bool = False, parts: int | None = None
+    pairs: DataFrame,
+    unigrams: DataFrame,
+    required: bool = False,
+    rows: DataFrame | None = None,
+    parts: int | None = None,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add c2 = C(w2). A word without a count gives NULL, or no row if required."""
     return lookup_join(
         pairs,
         unigrams,
-        on={"w2": "w", "decade": "decade"},
+        on={"w": "w2", "decade": "decade"},
         take={"c": "c2"},
-        weight="c",
         spread=["w1"],
         how=_how(required),
+        rows=rows,
         parts=parts,
+        max_broadcast_rows=max_broadcast_rows,
     )
 
 
@@ -49,20 +66,23 @@ def attach_total(
     pairs: DataFrame,
     totals: DataFrame,
     default: int = 1,
+    rows: DataFrame | None = None,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
 ) -> DataFrame:
     """Add n, the decade's total; ``default`` for a decade that has none.
 
-    There is one total per decade, so they are broadcast. Should the years be such that
-    there are too many (counted first), the lookup shuffles and splits hot decades.
+    There is one total per decade, so they are broadcast, unless the years are such that
+    there are too many.
     """
-    if is_bounded(totals, max_broadcast_rows):
-        joined = pairs.join(F.broadcast(totals), "decade", "left").select(*pairs.columns, "n")
-    else:
-        spread = [c for c in pairs.columns if c != "decade"]
-        joined = lookup_join(
-            pairs, totals, on={"decade": "decade"}, take={"n": "n"}, weight="n", spread=spread
-        )
+    joined = lookup_join(
+        pairs,
+        totals,
+        on={"decade": "decade"},
+        take={"n": "n"},
+        spread=["w1", "w2"],
+        rows=rows,
+        max_broadcast_rows=max_broadcast_rows,
+    )
     return joined.withColumn("n", F.coalesce("n", F.lit(default).cast("bigint")))
 
 
@@ -71,7 +91,8 @@ def pair_marginals(
 ) -> DataFrame:
     """(w1, w2, decade, c1, c12, n): pairs with all but the second word's count."""
     with_first = attach_first_marginal(pairs, unigrams, required)
-    return attach_total(with_first, totals).select("w1", "w2", "decade", "c1", "c12", "n")
+    with_total = attach_total(with_first, totals, rows=pairs)
+    return with_total.select("w1", "w2", "decade", "c1", "c12", "n")
 
 
 def union_marginals_and_pairs(unigrams: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -97,9 +118,10 @@ def marginal_by_window(
     The word's own row is the header of its group and its count is carried to the
     group's pairs. Hot groups are split, each split with a header of its own.
     """
-    keys = SplitKeys(unigrams, "c", parts or shuffle_parts(pairs))
-    headers = keys.repeated().withColumnsRenamed({"w": "w1", "c": "c1"})
-    rows = keys.assign(pairs, {"w1": "w", "decade": "decade"}, ["w2"])
+    key = ["w1", "decade"]
+    hot = hot_keys(pairs, key, parts or shuffle_parts(pairs))
+    headers = repeat_hot(unigrams.withColumnsRenamed({"w": "w1", "c": "c1"}), hot, key)
+    rows = assign_split(pairs, hot, key, ["w2"])
     group = Window.partitionBy("decade", "w1", SPLIT)
     carried = F.max("c1").over(group)
     return (

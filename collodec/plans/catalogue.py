@@ -60,17 +60,17 @@ def product_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def product_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(U, N, B) of the products; U and N are written once, as the pipeline does."""
+    """(U, N, B) of the products, each written once, as the pipeline does."""
     words = materialize(counts.unigram_counts(product_words(spark, sf_dir)))
     totals = materialize(counts.decade_totals(words))
-    return words, totals, counts.bigram_counts(product_pairs(spark, sf_dir))
+    return words, totals, materialize(counts.bigram_counts(product_pairs(spark, sf_dir)))
 
 
 def product_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product pairs with all four counts."""
     words, totals, pairs = product_tables(spark, sf_dir)
     partial = marginals.pair_marginals(pairs, words, totals)
-    return marginals.attach_second_marginal(partial, words)
+    return marginals.attach_second_marginal(partial, words, rows=pairs)
 
 
 # Documents: many words, punctuation.
@@ -90,6 +90,10 @@ def document_unigram_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(counts.unigram_counts(document_words(spark, sf_dir)))
 
 
+def document_pair_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(counts.bigram_counts(document_pairs(spark, sf_dir)))
+
+
 # Reading, projections, filters.
 
 
@@ -313,19 +317,19 @@ def split_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def attach_first_marginal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = counts.bigram_counts(document_pairs(spark, sf_dir))
+    pairs = document_pair_table(spark, sf_dir)
     return marginals.attach_first_marginal(pairs, document_unigram_table(spark, sf_dir))
 
 
 @query
 def marginal_by_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = counts.bigram_counts(document_pairs(spark, sf_dir))
+    pairs = document_pair_table(spark, sf_dir)
     return marginals.marginal_by_window(pairs, document_unigram_table(spark, sf_dir))
 
 
 @query
 def attach_second_marginal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = counts.bigram_counts(document_pairs(spark, sf_dir))
+    pairs = document_pair_table(spark, sf_dir)
     return marginals.attach_second_marginal(pairs, document_unigram_table(spark, sf_dir))
 
 
@@ -345,18 +349,19 @@ def pair_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def missing_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that occur once are taken from the unigrams; their pairs stay, with NULL."""
-    pairs = counts.bigram_counts(document_pairs(spark, sf_dir))
+    pairs = document_pair_table(spark, sf_dir)
     words = document_unigram_table(spark, sf_dir).where(F.col("c") >= 2)
-    return marginals.attach_second_marginal(marginals.attach_first_marginal(pairs, words), words)
+    with_first = marginals.attach_first_marginal(pairs, words)
+    return marginals.attach_second_marginal(with_first, words, rows=pairs)
 
 
 @query
 def required_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``missing_marginals``, but such pairs go."""
-    pairs = counts.bigram_counts(document_pairs(spark, sf_dir))
+    pairs = document_pair_table(spark, sf_dir)
     words = document_unigram_table(spark, sf_dir).where(F.col("c") >= 2)
     with_first = marginals.attach_first_marginal(pairs, words, required=True)
-    return marginals.attach_second_marginal(with_first, words, required=True)
+    return marginals.attach_second_marginal(with_first, words, required=True, rows=pairs)
 
 
 @query
@@ -384,7 +389,7 @@ def binomial_log_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
 def binomial_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     """x^k (1-x)^(n-k) of the first factor, in which document counts do not underflow."""
     words = document_unigram_table(spark, sf_dir)
-    pairs = counts.bigram_counts(document_pairs(spark, sf_dir))
+    pairs = document_pair_table(spark, sf_dir)
     counted = marginals.attach_first_marginal(pairs, words)
     share = likelihood.adjust_probability(F.col("c12").cast("double") / F.col("c1"))
     value = likelihood.binomial_likelihood("c12", "c1", share)

@@ -28,10 +28,14 @@ SCORE_COLUMNS = ["w1", "w2", "decade", "c1", "c2", "c12", "n", "llr"]
 
 
 def score_pairs(
-    pairs: DataFrame, unigrams: DataFrame, mode: str = "log", required: bool = False
+    pairs: DataFrame,
+    unigrams: DataFrame,
+    mode: str = "log",
+    required: bool = False,
+    rows: DataFrame | None = None,
 ) -> DataFrame:
     """Pairs with c1, c12 and n -> with c2 and the log-likelihood ratio."""
-    counted = attach_second_marginal(pairs, unigrams, required)
+    counted = attach_second_marginal(pairs, unigrams, required, rows)
     return with_scores(counted, mode).select(*SCORE_COLUMNS)
 
 
@@ -45,14 +49,16 @@ def collocations(
 ) -> DataFrame:
     """Scored pairs per decade of two n-gram tables.
 
-    The unigram counts are read by four parts of the plan (c1, c2, n and the shares of
-    hot words), so they are written to the shared folder once; the 2-gram rows are read
-    once and everything after them is lazy.
+    The counts are written to the shared folder once, as several parts of the plan read
+    them: the unigram counts for c1, c2 and n, the pair counts for the joins and for
+    finding their hot words. The n-gram rows are read once, and losing executors later
+    on does not bring them back.
     """
     words = materialize(unigram_counts(prepare_unigrams(unigrams, language, stop_words)))
     totals = materialize(decade_totals(words))
-    counted = bigram_counts(prepare_bigrams(bigrams, language, stop_words))
-    return score_pairs(pair_marginals(counted, words, totals, required), words, mode, required)
+    counted = materialize(bigram_counts(prepare_bigrams(bigrams, language, stop_words)))
+    partial = pair_marginals(counted, words, totals, required)
+    return score_pairs(partial, words, mode, required, rows=counted)
 
 
 def run(
@@ -81,7 +87,7 @@ def run(
     totals = read_totals(spark, paths.totals)
 
     twos = read_ngrams(spark, source.bigrams, fmt, parse_mode)
-    counted = bigram_counts(prepare_bigrams(twos, source.language, stop_words))
+    counted = materialize(bigram_counts(prepare_bigrams(twos, source.language, stop_words)))
     write_pairs(pair_marginals(counted, words, totals), paths.pairs)
 
     scores = score_pairs(read_pairs(spark, paths.pairs), words, score_mode)
