@@ -20,8 +20,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _count_ngrams(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("ngram", "year").agg(F.count(F.lit(1)).alias("occurrences"))
+def _each_once(rows: DataFrame) -> DataFrame:
+    """N-gram rows with one occurrence each: every use of them adds up occurrences."""
+    return rows.withColumn("occurrences", F.lit(1).cast("bigint"))
 
 
 def product_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -92,7 +93,7 @@ def _tokens() -> Column:
 
 
 def _token_ngrams(documents: DataFrame) -> DataFrame:
-    return _count_ngrams(documents.select(F.explode(_tokens()).alias("ngram"), "year"))
+    return _each_once(documents.select(F.explode(_tokens()).alias("ngram"), "year"))
 
 
 def _neighbour_ngrams(documents: DataFrame) -> DataFrame:
@@ -100,7 +101,7 @@ def _neighbour_ngrams(documents: DataFrame) -> DataFrame:
     following = F.slice("tokens", F.lit(2), F.size("tokens"))
     pairs = F.zip_with("tokens", following, lambda a, b: F.concat(a, F.lit(" "), b))
     rows = documents.select(_tokens(), "year").select(F.explode(pairs).alias("ngram"), "year")
-    return _count_ngrams(rows.where(F.col("ngram").isNotNull()))
+    return _each_once(rows.where(F.col("ngram").isNotNull()))
 
 
 def document_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
