@@ -220,6 +220,18 @@ def stop_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.groupBy("w1", "w2").agg(F.sum("occurrences").alias("c12"))
 
 
+@query
+def read_stop_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rest after dropping the common words, listed in a file, from all words."""
+    rows = testtables.document_unigrams(spark, sf_dir)
+    words = counts.prepare_unigrams(rows, "eng", english_stops(spark))
+    common = words.groupBy("w").agg(F.sum("occurrences").alias("c")).where(F.col("c") >= 100)
+    path = new_table_path(spark)
+    common.select("w").write.text(path)
+    rest = filters.drop_stop_words(words, sources.read_stop_words(spark, path), ["w"])
+    return counts.unigram_counts(rest)
+
+
 @query
 def null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs whose empty words and whose years before 1905 are set to NULL, dropped."""
@@ -333,6 +345,24 @@ def attach_second_marginal(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marginals.attach_second_marginal(pairs, document_unigram_table(spark, sf_dir))
 
 
+@query
+def attach_marginals_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both marginals the way of large unigram tables: shuffled, hot words split."""
+    pairs, words = document_pair_table(spark, sf_dir), document_unigram_table(spark, sf_dir)
+    with_first = marginals.attach_first_marginal(pairs, words, max_broadcast_rows=0)
+    return marginals.attach_second_marginal(
+        with_first, words, rows=pairs, max_broadcast_rows=0
+    )
+
+
+@query
+def attach_total_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The total the way of too many decades to broadcast."""
+    words, pairs = document_unigram_table(spark, sf_dir), document_pair_table(spark, sf_dir)
+    totals = materialize(counts.decade_totals(words))
+    return marginals.attach_total(pairs, totals, max_broadcast_rows=0)
+
+
 @query
 def attach_total(spark: SparkSession, sf_dir: str) -> DataFrame:
     """With the total of one decade taken away, which then counts as 1."""

@@ -187,6 +187,12 @@ ORACLE_SQL: dict[str, str] = {
         TEXTS,
         "SELECT w1, w2, CAST(sum(occurrences) AS BIGINT) AS c12 FROM pairs GROUP BY w1, w2",
     ),
+    "read_stop_words": _with(
+        TEXTS,
+        """SELECT w, decade, CAST(sum(occurrences) AS BIGINT) AS c FROM words
+           WHERE w NOT IN (SELECT w FROM words GROUP BY w HAVING sum(occurrences) >= 100)
+           GROUP BY ALL""",
+    ),
     "null_keys": _with(
         TEXTS,
         f"""SELECT w1, w2, decade, CAST(sum(occurrences) AS BIGINT) AS c12 FROM (
@@ -238,6 +244,10 @@ ORACLE_SQL: dict[str, str] = {
     "attach_first_marginal": FIRST_MARGINAL,
     "marginal_by_window": FIRST_MARGINAL,
     "attach_second_marginal": _with(TEXTS, SINGLE_MARGINAL.format(name="c2", word="w2")),
+    "attach_marginals_split": _with(
+        TEXTS, "SELECT w1, w2, decade, c12, c1, c2 FROM counted"
+    ),
+    "attach_total_split": _with(TEXTS, "SELECT w1, w2, decade, c12, n FROM counted"),
     "attach_total": _with(
         PRODUCTS,
         """SELECT w1, w2, b.decade, c12, coalesce(n.n, 1) AS n

@@ -96,5 +96,6 @@ def read_ngrams(
         records = spark.sparkContext.sequenceFile(
             path, "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text"
         )
-        return parse_ngram_line(spark.createDataFrame(records.values(), "string"), mode)
+        lines = spark.createDataFrame(records.values(), "string", verifySchema=False)
+        return parse_ngram_line(lines, mode)
     raise ValueError(f"unknown format {fmt!r}; known: {FORMATS}")

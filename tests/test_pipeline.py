@@ -218,6 +218,19 @@ def test_round_trips(spark, tmp_path, fmt):
     assert rows_of(read_pairs(spark, str(tmp_path / "p"), fmt), *p.columns) == rows_of(p)
 
 
+def test_tables_are_laid_out_by_decade(spark, tmp_path):
+    """One file for a small decade, however many tasks held its rows."""
+    u = spark.range(1000).selectExpr(
+        "cast(id as string) w", "cast(1800 + id % 3 * 10 as int) decade", "id c"
+    )
+    write_unigrams(u.repartition(8), str(tmp_path / "u"))
+    files = sorted((tmp_path / "u").glob("decade=*/*.parquet"))
+    assert [f.parent.name for f in files] == ["decade=1800", "decade=1810", "decade=1820"]
+    one = read_unigrams(spark, str(tmp_path / "u")).where("decade = 1810")
+    assert "PartitionFilters: [isnotnull(decade" in one._jdf.queryExecution().executedPlan().toString()
+    assert one.count() == 333
+
+
 def test_text_forms(spark, tmp_path):
     u = spark.createDataFrame([("a", 1800, 5)], "w string, decade int, c bigint")
     write_unigrams(u, str(tmp_path / "u"), "text")
