@@ -4,6 +4,7 @@ from collections import Counter
 
 import pytest
 
+from collodec import __main__ as job
 from collodec import RunPaths, collocations, corpus, read_ngrams, read_stop_words, run
 from collodec.operators import (
     bigram_counts,
@@ -14,6 +15,7 @@ from collodec.operators import (
     prepare_unigrams,
     unigram_counts,
 )
+from collodec.plans import catalogue
 from collodec.plans.catalogue import with_position
 from collodec.sinks import write_pairs, write_scores, write_totals, write_unigrams
 from collodec.sources import parse_ngram_line, read_pairs, read_totals, read_unigrams
@@ -139,6 +141,17 @@ def write_lines(spark, rows, path):
     spark.createDataFrame([(x,) for x in rows], "value string").write.text(path)
 
 
+def write_sequence(spark, rows, path):
+    """Keys past the int range, as Python integers below it become IntWritable."""
+    keyed = spark.sparkContext.parallelize([(2**33 + i, x) for i, x in enumerate(lines(rows))])
+    keyed.saveAsNewAPIHadoopFile(
+        path,
+        "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
+        "org.apache.hadoop.io.LongWritable",
+        "org.apache.hadoop.io.Text",
+    )
+
+
 @pytest.mark.parametrize("score_fmt", ["parquet", "text"])
 def test_run_from_files(spark, tmp_path, score_fmt):
     ones, twos = random_tables(4)
@@ -159,6 +172,44 @@ def test_run_from_files(spark, tmp_path, score_fmt):
     assert read_totals(spark, paths.totals).count() == len({k[2] for k in expected})
 
 
+def test_job(spark, tmp_path):
+    """The batch from the command line: sequence files of Hebrew n-grams to score lines."""
+    ones = [("שָׁלוֹם", 1801, 9), ("רב", 1802, 5), ("של", 1803, 7), ("x", 1803, 7)]
+    twos = [("שָׁלוֹם רב", 1801, 4), ("של רב", 1801, 1)]
+    source = corpus("heb", root=str(tmp_path / "corpus"))
+    write_sequence(spark, ones, source.unigrams)
+    write_sequence(spark, twos, source.bigrams)
+    write_lines(spark, ["של"], str(tmp_path / "stop"))
+    arguments = ["heb", "--corpus", str(tmp_path / "corpus"), "--stop-words", str(tmp_path / "stop")]
+    paths = job.main([*arguments, "--output", str(tmp_path / "out"), "--run-id", "r1"])
+    (line,) = [r.value for r in spark.read.text(paths.scores).collect()]
+    key, score = line.split("\tLogLikelihood is: ")
+    assert key == "שלום רב 1800"
+    # c1 = 9, c2 = 5, c12 = 4, n = 14: p = 5/14, p1 = 4/9, p2 = 1/5.
+    expected = 5 * math.log(5 / 14) + 9 * math.log(9 / 14)
+    expected -= 4 * math.log(4 / 9) + 5 * math.log(5 / 9) + math.log(1 / 5) + 4 * math.log(4 / 5)
+    assert float(score) == pytest.approx(expected)
+    with pytest.raises(SystemExit):
+        job.main(["lat", "--stop-words", "x", "--output", "y"])
+
+
+@pytest.mark.parametrize("seed", [7])
+def test_partitions_and_input_order_do_not_matter(spark, ngrams, stop_words, seed):
+    ones, twos = random_tables(seed)
+    one_way = collocations(ngrams(ones).coalesce(1), ngrams(twos).coalesce(1), "eng", stop_words)
+    random.Random(seed).shuffle(ones)
+    random.Random(seed).shuffle(twos)
+    other = collocations(ngrams(ones).repartition(7), ngrams(twos).repartition(3), "eng", stop_words)
+    assert as_dict(one_way) == as_dict(other)
+
+
+def test_product_properties(spark):
+    scores = catalogue.product_collocations(spark, "/root/testdata/sf0.001")
+    pairs = bigram_counts(catalogue.product_pairs(spark, "/root/testdata/sf0.001"))
+    assert scores.count() == pairs.count()
+    assert scores.where("c12 > least(c1, c2) or greatest(c1, c2) > n or llr is null").count() == 0
+
+
 def test_runs_do_not_share_paths():
     a, b = RunPaths("/x"), RunPaths("/x")
     assert a.run_id != b.run_id and a.scores != b.scores
@@ -180,13 +231,7 @@ def test_read_ngrams(spark, tmp_path, ngrams, fmt):
     if fmt == "text":
         write_lines(spark, lines(rows), path)
     elif fmt == "sequence":
-        keyed = spark.sparkContext.parallelize([(2**33 + i, x) for i, x in enumerate(lines(rows))])
-        keyed.saveAsNewAPIHadoopFile(
-            path,
-            "org.apache.hadoop.mapreduce.lib.output.SequenceFileOutputFormat",
-            "org.apache.hadoop.io.LongWritable",
-            "org.apache.hadoop.io.Text",
-        )
+        write_sequence(spark, rows, path)
     else:
         ngrams(rows).write.parquet(path)
     got = read_ngrams(spark, path, fmt)
