@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import as_column, clean_rule
+from ..functions.text import clean_rule
 
 NGRAM_SCHEMA = T.StructType(
     [
@@ -50,31 +50,32 @@ def corpus(
     )
 
 
-def ngram_line_fields(line: Column | str, mode: str = "FAILFAST") -> list[Column]:
-    """``ngram<TAB>year<TAB>occurrences[<TAB>...]`` as three typed Columns.
-
-    FAILFAST fails the job on a missing field or a bad number, DROPMALFORMED gives NULL.
-    """
-    if mode not in PARSE_MODES:
-        raise ValueError(f"unknown mode {mode!r}; known: {PARSE_MODES}")
-    fields = F.split(as_column(line), "\t")
-    if mode == "FAILFAST":
-        columns = [fields[i].cast(f.dataType) for i, f in enumerate(NGRAM_SCHEMA)]
-    else:
-        columns = [
-            F.get(fields, F.lit(i)).try_cast(f.dataType) for i, f in enumerate(NGRAM_SCHEMA)
-        ]
-    return [c.alias(f.name) for c, f in zip(columns, NGRAM_SCHEMA)]
+def _typed_fields(mode: str) -> list[Column]:
+    """The columns of NGRAM_SCHEMA from ``_fields``; a bad one is NULL or fails the job."""
+    columns = []
+    for i, f in enumerate(NGRAM_SCHEMA):
+        value = F.get("_fields", F.lit(i)).try_cast(f.dataType)
+        if mode == "FAILFAST":
+            line = F.concat_ws("\t", "_fields")
+            value = F.coalesce(value, F.raise_error(F.concat(F.lit("malformed line: "), line)))
+        columns.append(value.alias(f.name))
+    return columns
 
 
 def parse_ngram_line(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
-    """A one-column DataFrame of lines -> (ngram, year, occurrences).
+    """A one-column DataFrame of ``ngram<TAB>year<TAB>occurrences[<TAB>...]`` -> typed rows.
 
-    Malformed rows are judged before any word filter: Spark may move filters, so a bad
-    number fails a FAILFAST job even if its word would have been dropped.
+    FAILFAST fails the job on a missing field or a bad number, DROPMALFORMED drops the
+    line. Both judge every line, also one whose words a later filter would drop.
+
+    The fields come out of a generator, because filters are not pushed below one: below a
+    plain projection each use of ``ngram`` in a filter would split the line once more.
     """
+    if mode not in PARSE_MODES:
+        raise ValueError(f"unknown mode {mode!r}; known: {PARSE_MODES}")
     (line,) = lines.columns
-    rows = lines.select(*ngram_line_fields(line, mode))
+    split = lines.select(F.split(line, "\t").alias("_fields"))
+    rows = split.select(F.inline(F.array(F.struct(*_typed_fields(mode)))))
     return rows.dropna() if mode == "DROPMALFORMED" else rows
 
 
@@ -91,7 +92,7 @@ def read_ngrams(
     if fmt == "parquet":
         return spark.read.schema(NGRAM_SCHEMA).parquet(path)
     if fmt == "text":
-        return parse_ngram_line(spark.read.text(path, wholetext=False), mode)
+        return parse_ngram_line(spark.read.text(path), mode)
     if fmt == "sequence":
         records = spark.sparkContext.sequenceFile(
             path, "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text"

@@ -243,10 +243,16 @@ def test_read_ngrams(spark, tmp_path, ngrams, fmt):
 def test_malformed_lines(spark, bad):
     df = spark.createDataFrame([("god\t1801\t10",), (bad,)], "line string")
     assert rows_of(parse_ngram_line(df, "DROPMALFORMED")) == [("god", 1801, 10)]
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="malformed line: " + bad):
         parse_ngram_line(df).collect()
 
 
+def test_lines_are_split_once(spark, stop_words):
+    lines = spark.range(1).selectExpr("cast(id as string) line")
+    pairs = prepare_bigrams(parse_ngram_line(lines), "eng", stop_words)
+    assert pairs._jdf.queryExecution().executedPlan().toString().count("split(") == 1
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "text"])
 def test_round_trips(spark, tmp_path, fmt):
     u = spark.createDataFrame([("a", 1800, 5), ("b", 1810, 3)], "w string, decade int, c bigint")
