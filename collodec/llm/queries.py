@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate
+from . import decontaminate, secrets, tokenfile
 from .common import table
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id"
@@ -15,5 +21,13 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate,)}
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_secret_scan, op6_token_files)}
 ORACLE_SQL: dict[str, str] = {}
