@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, secrets, tokenfile
+from . import decontaminate, fingerprint, pii, secrets, tokenfile
 from .common import table
 
 
@@ -14,6 +14,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id"
@@ -29,5 +33,9 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op2_decontaminate, op3_secret_scan, op6_token_files)}
+def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op6_token_files, op8_fingerprint)}
 ORACLE_SQL: dict[str, str] = {}

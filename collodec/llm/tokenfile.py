@@ -18,6 +18,7 @@ library does. Other columns are not looked at. An empty table gives no file and
 
 from __future__ import annotations
 
+import os
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
@@ -36,7 +37,9 @@ COUNTS = np.array([1, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 120])
 BITS = np.array([64, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0])
 
 BLOCK = 128
-FILE_IDS = 1 << 22
+FILE_IDS = 1 << 21
+KNOWN_PIECES = 300_000
+PACK_IDS = 1 << 17  # ids worked on at once, whole blocks
 END_ID = 2
 MAGIC, VERSION = 0x4238_504D_4953, 1
 
@@ -51,29 +54,33 @@ def _bit_lengths(values: np.ndarray) -> np.ndarray:
 
 def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(words, word offset of each block) of unsigned values."""
+    parts = [_pack(values[i : i + PACK_IDS]) for i in range(0, len(values), PACK_IDS)]
+    sizes = np.array([len(words) for words, _ in parts], np.uint64)
+    before = np.cumsum(sizes) - sizes
+    offsets = [o + b for (_, o), b in zip(parts, before, strict=True)]
+    return joined([words for words, _ in parts], np.uint64), joined(offsets, np.uint64)
+
+
+def _pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values = values.astype(np.uint64)
     n = len(values)
-    bits = _bit_lengths(values)
-    index = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
-    # For each selector in use, how many values from here on fit its bits.
-    most = int(bits.max(initial=0))
-    least = int(bits.min(initial=0))
-    usable = [s for s in range(1, 16) if BITS[s] >= least and (s == 1 or BITS[s - 1] > least or s < 2)]
-    fits = {}
-    for s in usable:
-        if BITS[s] >= most:
-            fits[s] = None  # everything fits
-            continue
-        too_large = np.where(bits > BITS[s], index, n).astype(index.dtype)
-        fits[s] = np.minimum.accumulate(too_large[::-1])[::-1]
+    # Bits of the widest of the next c values, from two shorter windows; the end is padded.
+    widest = {1: np.zeros(n + COUNTS[-1], np.uint8)}
+    widest[1][:n] = _bit_lengths(values)
+    for count in COUNTS[2:]:
+        shorter = max(c for c in widest if c >= (count + 1) // 2)
+        low, shift = widest[shorter], count - shorter
+        widest[count] = np.maximum(low[: len(low) - shift], low[shift:])
+    best = np.zeros(n, np.uint8)
+    for s in range(1, 16):  # from few values to many
+        best[widest[COUNTS[s]][:n] <= BITS[s]] = s
     cursor = np.arange(0, n, BLOCK, dtype=np.int64)
     limit = np.minimum(cursor + BLOCK, n)
     starts, selectors = [], []
     while len(cursor):
-        chosen = np.zeros(len(cursor), np.int64)
-        for s in usable:  # from few values to many
-            run = (n if fits[s] is None else fits[s][cursor]) - cursor
-            chosen[np.minimum(run, limit - cursor) >= COUNTS[s]] = s
+        # Where fewer values are left than fit, as many as are left.
+        most = np.searchsorted(COUNTS, limit - cursor, "right") - 1
+        chosen = np.minimum(best[cursor].astype(np.int64), most)
         starts.append(cursor)
         selectors.append(chosen)
         cursor = cursor + COUNTS[chosen]
@@ -150,13 +157,15 @@ def from_file(data: bytes) -> tuple[np.ndarray, list, np.ndarray]:
 
 
 class Encoder:
-    """Ids of many texts at once: each distinct piece between spaces is encoded once.
+    """Ids of many texts at once: each distinct piece of text is encoded once.
 
-    The tokenizer starts a new pretoken at a space in front of anything but white space, so
-    a text's ids are those of its pieces from one such space to the next.
+    A pretoken always starts at a space in front of anything but white space, and behind an
+    ASCII letter in front of another ASCII character; what it is depends on nothing in front
+    of it. So a text's ids are those of its pieces between such places.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -166,55 +175,74 @@ class Encoder:
         self.token_bytes = np.zeros(size, np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.token_bytes[i] = len(special[i].encode()) if i in special else sum(c in letters for c in token)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.ids, self.counts = np.zeros(0, np.int32), np.zeros(0, np.int64)
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts in a row, number of ids of each text)."""
         data, offsets = text_bytes(column)
         n = len(offsets) - 1
         if not len(data):
-            return np.zeros(0, np.int64), np.zeros(n, np.int64)
+            return np.zeros(0, np.int32), np.zeros(n, np.int64)
         splits = np.zeros(len(data), bool)
         splits[:-1] = (data[:-1] == 0x20) & _PLAIN[data[1:]]
+        splits[1:] |= _LETTER[data[:-1]] & ~_LETTER[data[1:]] & (data[1:] < 0x80)
         last = offsets[1:-1]
-        splits[last[(last > 0) & (last <= len(data))] - 1] = False  # a space that ends a text
+        last = last[(last > 0) & (last <= len(data))] - 1
+        splits[last] &= _LETTER[data[np.maximum(last - 1, 0)]]  # not by a text's last space
         splits[offsets[:-1][np.diff(offsets) > 0]] = True
         starts = np.flatnonzero(splits)
         buffers = [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)]
         pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), buffers).dictionary_encode()
-        ids, counts = self._encode_pieces(pieces.dictionary.cast(pa.large_string()))
-        codes = pieces.indices.to_numpy(zero_copy_only=False)
-        first = np.cumsum(counts) - counts
-        sizes = counts[codes]
+        own = self._look_up(pieces.dictionary.cast(pa.large_string()).to_pylist())
+        codes = own[pieces.indices.to_numpy(zero_copy_only=False)]
+        first = np.cumsum(self.counts) - self.counts
+        sizes = self.counts[codes]
         per_text = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(sizes, out=per_text[1:])
         edges = per_text[np.searchsorted(starts, offsets)]
-        return ids[spread(first[codes], sizes)], np.diff(edges)
-
-    def _encode_pieces(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        strings = pieces.to_pylist()
-        spaced = np.array([s.startswith(" ") for s in strings])
-        order = np.concatenate((np.flatnonzero(spaced), np.flatnonzero(~spaced)))
-        lengths = np.diff(text_bytes(pieces)[1])[order]
-        # Pieces in front of which nothing may stand are sequences of their own.
-        with_space = [strings[i] for i in order[: spaced.sum()]]
-        groups = ["".join(with_space[i : i + 4096]) for i in range(0, len(with_space), 4096)]
-        groups += [strings[i] for i in order[spaced.sum() :]]
-        encoded = self.tokenizer.encode_batch_fast(groups, add_special_tokens=False)
-        ids = joined([np.array(e.ids, np.int64) for e in encoded])
+        return self.ids[spread(first[codes], sizes)], np.diff(edges)
+
+    def _look_up(self, pieces: list[str]) -> np.ndarray:
+        """Index of each piece among the known ones, after encoding the others."""
+        if len(self.known) > KNOWN_PIECES:
+            self._forget()
+        new = [p for p in pieces if p not in self.known]
+        # A piece without a space is a sequence of its own: what it is put behind could end in it.
+        spaced = [p for p in new if p[0] == " " and p != " "]
+        alone = [p for p in new if p[0] != " " or p == " "]
+        if spaced:
+            self._add(spaced, ["".join(spaced[i : i + 512]) for i in range(0, len(spaced), 512)])
+        if alone:
+            self._add(alone, alone)
+        return np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))
+
+    def _add(self, pieces: list[str], sequences: list[str]) -> None:
+        ids = []
+        for i in range(0, len(sequences), 64):  # an encoding holds much more than its ids
+            encoded = self.tokenizer.encode_batch_fast(sequences[i : i + 64], add_special_tokens=False)
+            ids.extend(np.array(e.ids, np.int32) for e in encoded)
+        ids = joined(ids, np.int32)
+        lengths = np.fromiter((len(p.encode()) for p in pieces), np.int64, len(pieces))
         ends = np.cumsum(self.token_bytes[ids])
         edges = np.searchsorted(ends, np.cumsum(lengths), "right")
-        counts = np.diff(np.concatenate(([0], edges)))
-        if len(ids) != edges[-1] or (len(ends) and ends[-1] != lengths.sum()):
+        if len(ids) != edges[-1] or ends[-1] != lengths.sum():
             raise ValueError("the tokenizer's tokens do not cover the text")
-        first = np.cumsum(counts) - counts
-        back = np.argsort(order)
-        return ids[spread(first[back], counts[back])], counts[back]
+        for k, p in enumerate(pieces, len(self.known)):
+            self.known[p] = k
+        self.ids = np.concatenate((self.ids, ids))
+        self.counts = np.concatenate((self.counts, np.diff(np.concatenate(([0], edges)))))
 
 
 #: Bytes that start no white space: ASCII but for blanks, and leads of code points without any.
 _PLAIN = np.ones(256, bool)
 _PLAIN[:0x21] = _PLAIN[0x7F:0xC3] = False
 _PLAIN[0xE1:0xE4] = False
+_LETTER = np.zeros(256, bool)
+_LETTER[0x41:0x5B] = _LETTER[0x61:0x7B] = True
 
 
 def _byte_letters() -> set[str]:
