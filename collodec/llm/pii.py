@@ -35,18 +35,23 @@ DEFAULT_KEY = "not-a-secret"
 _EDGE, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 # The kinds' patterns, in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
-    "iban": _EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
-    "ip": r"(?<![\p{L}\p{N}_.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\p{L}\p{N}_]|\.\d)",
-    "date": _EDGE + r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})" + _END,
-    "ssn": _EDGE + r"\d{3}-\d{2}-\d{4}" + _END,
-    "card": _EDGE + r"(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]?\d{6}[ -]?\d{5}|\d{13,19})" + _END,
-    "phone": r"(?<![\p{L}\p{N}_])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "iban": r"(?=[A-Z]{2}\d)" + _EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
+    "ip": r"(?=\d)(?<![\p{L}\p{N}_.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\p{L}\p{N}_]|\.\d)",
+    "date": r"(?=\d)" + _EDGE + r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})" + _END,
+    "ssn": r"(?=\d)" + _EDGE + r"\d{3}-\d{2}-\d{4}" + _END,
+    "card": r"(?=\d)" + _EDGE + r"(?:\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]?\d{6}[ -]?\d{5}|\d{13,19})" + _END,
+    "phone": r"(?=[+(\d])(?<![\p{L}\p{N}_])(?:\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}"
     r"|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})" + _END,
 }
 _ALL = "|".join(PATTERNS.values())
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where it is used in a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _hash(key: str, *parts: Column) -> Column:
     return F.sha2(F.concat_ws("|", F.lit(key), *parts), 256)
 
@@ -56,8 +61,8 @@ def _number(digest: Column, below: Column | int) -> Column:
     return F.pmod(F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint"), below)
 
 
-def feistel(left: Column, right: Column, n_left, n_right, key: str, kind: str) -> tuple[Column, Column]:
-    """Permute the pairs of [0, n_left) x [0, n_right)."""
+def feistel(left: Column, right: Column, n_left, n_right, key: str, kind: str, use) -> Column:
+    """Permute the pairs of [0, n_left) x [0, n_right); ``use`` gets the two halves."""
 
     def turn(half: Column, other: Column, size, i: Column) -> Column:
         shift = _number(_hash(key, F.lit(kind), i, F.lit(size) if isinstance(size, int) else size, other), size)
@@ -71,7 +76,7 @@ def feistel(left: Column, right: Column, n_left, n_right, key: str, kind: str) -
 
     start = F.struct(left.cast("bigint").alias("l"), right.cast("bigint").alias("r"))
     done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
-    return done.l, done.r
+    return _let(done, lambda d: use(d.l, d.r))
 
 
 def _digits(value: Column) -> Column:
@@ -82,19 +87,29 @@ def _power10(n: Column) -> Column:
     return F.expr("bigint(1)") * F.rpad(F.lit("1"), n + 1, "0").cast("bigint")
 
 
-def _permute_digits(digits: Column, key: str, kind: str) -> Column:
-    """A string of 1 to 30 digits, permuted among those of its length."""
-    n = F.length(digits)
-    cut = F.floor(n / 2).cast("int")
-    low, high = F.substring(digits, F.lit(1), cut), F.substring(digits, cut + 1, n)
-    zero = F.lit(0).cast("bigint")
-    left, right = feistel(
-        F.coalesce(F.nullif(low, F.lit("")).cast("bigint"), zero),
-        F.coalesce(F.nullif(high, F.lit("")).cast("bigint"), zero),
-        _power10(cut), _power10(n - cut), key, kind,
-    )
-    low = F.when(cut > 0, F.lpad(left.cast("string"), cut, "0")).otherwise("")
-    return F.concat(low, F.lpad(right.cast("string"), n - cut, "0"))
+def _permute_digits(digits: Column, key: str, kind: str, use) -> Column:
+    """Permute a string of 0 to 30 digits among those of its length; ``use`` gets the result."""
+
+    def permute(digits: Column) -> Column:
+        n = F.length(digits)
+        cut = F.floor(n / 2).cast("int")
+        zero = F.lit(0).cast("bigint")
+
+        def whole(left: Column, right: Column) -> Column:
+            low = F.when(cut > 0, F.lpad(left.cast("string"), cut, "0")).otherwise("")
+            return F.when(n == 0, "").otherwise(F.concat(low, F.lpad(right.cast("string"), n - cut, "0")))
+
+        def halves(size_left: Column, size_right: Column) -> Column:
+            low, high = F.substring(digits, F.lit(1), cut), F.substring(digits, cut + 1, n)
+            return feistel(
+                F.coalesce(F.nullif(low, F.lit("")).cast("bigint"), zero),
+                F.coalesce(F.nullif(high, F.lit("")).cast("bigint"), zero),
+                size_left, size_right, key, kind, whole,
+            )
+
+        return _let(F.struct(_power10(cut).alias("l"), _power10(n - cut).alias("r")), lambda p: halves(p.l, p.r))
+
+    return _let(_let(digits, permute), use)
 
 
 def _refill(value: Column, digits: Column) -> Column:
@@ -114,13 +129,17 @@ def _refill(value: Column, digits: Column) -> Column:
 
 def _luhn(digits: Column) -> Column:
     """The weighted sum of the digits, whose last counts once."""
-    n = F.length(digits)
 
-    def weigh(i: Column) -> Column:
-        d = F.substring(digits, i, F.lit(1)).cast("int")
-        return F.when((n - i) % 2 == 0, d).otherwise(2 * d - F.when(d > 4, 9).otherwise(0))
+    def total(d: Column) -> Column:
+        def weigh(i: Column) -> Column:
+            return _let(
+                F.substring(d, i, F.lit(1)).cast("int"),
+                lambda x: F.when((F.length(d) - i) % 2 == 0, x).otherwise(2 * x - F.when(x > 4, 9).otherwise(0)),
+            )
+
+        return F.aggregate(F.sequence(F.lit(1), F.length(d)), F.lit(0), lambda s, i: s + F.coalesce(weigh(i), F.lit(0)))
 
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(0), lambda s, i: s + F.coalesce(weigh(i), F.lit(0)))
+    return F.when(F.length(digits) > 0, _let(digits, total)).otherwise(0)
 
 
 def _mod97(value: Column) -> Column:
@@ -134,50 +153,71 @@ def _mod97(value: Column) -> Column:
 
 
 def _card(v: Column, key: str) -> Column:
-    digits = _digits(v)
-    n = F.length(digits)
-    valid = n.between(13, 19) & (_luhn(digits) % 10 == 0) & ~digits.rlike("^0+$")
-    body = F.concat(F.substring(digits, 1, 1), _permute_digits(F.substring(digits, F.lit(2), n - 2), key, "card"))
-    check = F.pmod(10 - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10))
-    return F.when(valid, _refill(v, F.concat(body, check.cast("string"))))
+    def card(d: Column) -> Column:
+        n = F.length(d)
+        valid = n.between(13, 19) & (_luhn(d) % 10 == 0) & ~d.rlike("^0+$")
+
+        def with_check(body: Column) -> Column:
+            check = F.pmod(10 - _luhn(F.concat(body, F.lit("0"))) % 10, F.lit(10))
+            return _let(F.concat(body, check.cast("string")), lambda new: _refill(v, new))
+
+        middle = F.substring(d, F.lit(2), n - 2)
+        new = _permute_digits(
+            middle, key, "card", lambda m: _let(F.concat(F.substring(d, 1, 1), m), with_check)
+        )
+        return F.when(valid, new)
+
+    return _let(_digits(v), card)
 
 
 def _phone(v: Column, key: str) -> Column:
-    country = F.regexp_extract(v, r"^\+\d{1,3}(?=[ .(-])", 0)
-    rest = F.substring(v, F.length(country) + 1, F.length(v))
-    digits = _digits(rest)
-    valid = F.length(_digits(v)).between(10, 15)
-    return F.when(valid, F.concat(country, _refill(rest, _permute_digits(digits, key, "phone"))))
+    def phone(country: Column) -> Column:
+        rest = F.substring(v, F.length(country) + 1, F.length(v))
+        new = _permute_digits(_digits(rest), key, "phone", lambda d: _refill(rest, d))
+        return F.when(F.length(_digits(v)).between(10, 15), F.concat(country, new))
+
+    return _let(F.regexp_extract(v, r"^\+\d{1,3}(?=[ .(-])", 0), phone)
 
 
 def _iban(v: Column, key: str) -> Column:
-    bare = F.regexp_replace(v, " ", "")
-    country, account = F.substring(bare, 1, 2), F.substring(bare, F.lit(5), F.length(bare))
-    valid = F.length(bare).between(15, 34) & (_mod97(F.concat(account, F.substring(bare, 1, 4))) == 1)
-    digits = _digits(account)
-    permuted = F.when(F.length(digits) > 0, _permute_digits(digits, key, "iban")).otherwise("")
-    new = _refill(account, permuted)
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    return F.when(valid, _refill(v, F.concat(check, permuted)))
+    def iban(bare: Column) -> Column:
+        country, account = F.substring(bare, 1, 2), F.substring(bare, F.lit(5), F.length(bare))
+        valid = F.length(bare).between(15, 34) & (_mod97(F.concat(account, F.substring(bare, 1, 4))) == 1)
+
+        def refilled(digits: Column) -> Column:
+            new = _refill(account, digits)
+            check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+            return _let(F.concat(check, digits), lambda d: _refill(v, d))
+
+        return F.when(valid, _permute_digits(_digits(account), key, "iban", refilled))
+
+    return _let(F.regexp_replace(v, " ", ""), iban)
 
 
 def _ip(v: Column, key: str) -> Column:
-    octets = F.transform(F.split(v, r"\."), lambda o: o.cast("bigint"))
-    valid = F.forall(octets, lambda o: o <= 255)
-    left, right = feistel(octets[0] * 256 + octets[1], octets[2] * 256 + octets[3], 65536, 65536, key, "ip")
-    parts = [F.floor(left / 256), left % 256, F.floor(right / 256), right % 256]
-    return F.when(valid, F.concat_ws(".", *[p.cast("bigint").cast("string") for p in parts]))
+    def ip(o: Column) -> Column:
+        def dotted(left: Column, right: Column) -> Column:
+            parts = [F.floor(left / 256), left % 256, F.floor(right / 256), right % 256]
+            return F.concat_ws(".", *[p.cast("bigint").cast("string") for p in parts])
+
+        new = feistel(o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536, key, "ip", dotted)
+        return F.when(F.forall(o, lambda x: x <= 255), new)
+
+    return _let(F.transform(F.split(v, r"\."), lambda x: x.cast("bigint")), ip)
 
 
 def _ssn(v: Column, key: str) -> Column:
     area, group, serial = [F.substring(v, a, n).cast("bigint") for a, n in ((1, 3), (5, 2), (8, 4))]
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     index = F.when(area > 666, area - 2).otherwise(area - 1)
-    left, right = feistel(index * 99 + group - 1, serial - 1, 898 * 99, 9999, key, "ssn")
-    area = F.floor(left / 99) + 1
-    parts = (F.when(area >= 666, area + 1).otherwise(area), left % 99 + 1, right + 1)
-    padded = [F.lpad(p.cast("bigint").cast("string"), n, "0") for p, n in zip(parts, (3, 2, 4), strict=True)]
-    return F.when(valid, F.concat_ws("-", *padded))
+
+    def dashed(left: Column, right: Column) -> Column:
+        new = F.floor(left / 99) + 1
+        parts = (F.when(new >= 666, new + 1).otherwise(new), left % 99 + 1, right + 1)
+        padded = [F.lpad(p.cast("bigint").cast("string"), n, "0") for p, n in zip(parts, (3, 2, 4), strict=True)]
+        return F.concat_ws("-", *padded)
+
+    return F.when(valid, feistel(index * 99 + group - 1, serial - 1, 898 * 99, 9999, key, "ssn", dashed))
 
 
 def _date(v: Column, key: str) -> Column:
@@ -191,29 +231,42 @@ def _date(v: Column, key: str) -> Column:
     american = day(part[2], part[0], part[1])
     european = day(part[2], part[1], part[0])
     date = F.when(iso, day(*part)).when(slashes, F.coalesce(american, european)).otherwise(european)
-    number = F.datediff(date, F.lit("1920-01-01").cast("date")).cast("bigint")
-    block = F.floor(number / 40000).cast("bigint")
-    place = number - block * 40000
-    kind = "date"
-    left, right = feistel(F.floor(place / 200), place % 200, 200, 200, key, kind)
-    new = F.date_add(F.lit("1920-01-01").cast("date"), (block * 40000 + left * 200 + right).cast("int"))
-    day_first = ~slashes | american.isNull()
-    text = (
-        F.when(iso, F.date_format(new, "yyyy-MM-dd"))
-        .when(~slashes, F.date_format(new, "dd.MM.yyyy"))
-        .when(day_first, F.date_format(new, "dd/MM/yyyy"))
-        .otherwise(F.date_format(new, "MM/dd/yyyy"))
-    )
-    return F.when(date.isNotNull() & F.year(new).between(1000, 9999), text)
-
-
-def _shifted(s: Column, stream: Column) -> Column:
-    """Each letter or digit of ``s`` moved within its alphabet by a byte of ``stream``."""
+    epoch = F.lit("1920-01-01").cast("date")
+
+    def moved(number: Column) -> Column:
+        block = F.floor(number / 40000).cast("bigint")
+        place = number - block * 40000
+
+        def written(left: Column, right: Column) -> Column:
+            new = F.date_add(epoch, (block * 40000 + left * 200 + right).cast("int"))
+            text = (
+                F.when(iso, F.date_format(new, "yyyy-MM-dd"))
+                .when(~slashes, F.date_format(new, "dd.MM.yyyy"))
+                .when(american.isNull(), F.date_format(new, "dd/MM/yyyy"))
+                .otherwise(F.date_format(new, "MM/dd/yyyy"))
+            )
+            return F.when(F.year(new).between(1000, 9999), text)
+
+        return feistel(F.floor(place / 200), place % 200, 200, 200, key, "date", written)
+
+    return F.when(date.isNotNull(), _let(F.datediff(date, epoch).cast("bigint"), moved))
+
+
+def _shifted(s: Column, digest: Column) -> Column:
+    """Each letter or digit of ``s`` moved within its alphabet by a byte of ``digest``."""
+    return _let(digest, lambda d: _shifted_by(s, d))
+
+
+def _shifted_by(s: Column, stream: Column) -> Column:
     chars = F.filter(F.split(s, ""), lambda c: c != "")
 
     def move(c: Column, i: Column) -> Column:
-        byte = F.conv(F.substring(stream, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+        return _let(F.struct(c.alias("c"), byte_at(i).alias("b")), lambda x: moved(x.c, x.b))
 
+    def byte_at(i: Column) -> Column:
+        return F.conv(F.substring(stream, (i % 32) * 2 + 1, F.lit(2)), 16, 10).cast("int")
+
+    def moved(c: Column, byte: Column) -> Column:
         def within(first: int, size: int) -> Column:
             return F.char(F.lit(first) + F.pmod(F.ascii(c) - first + byte, F.lit(size)))
 
@@ -245,7 +298,7 @@ def _email(v: Column, key: str) -> Column:
 
     start = F.struct(F.substring(local, F.lit(1), cut).alias("l"), F.substring(local, cut + 1, n).alias("r"))
     done = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, step)
-    return F.concat(done.l, done.r, domain)
+    return _let(done, lambda d: F.concat(d.l, d.r, domain))
 
 
 _REPLACE = {
@@ -268,7 +321,12 @@ def pseudonymize(docs: DataFrame, key: str = DEFAULT_KEY, column: str = "text")
 
 def replaced(text: Column, key: str = DEFAULT_KEY) -> Column:
     found = F.regexp_extract_all(text, F.lit(_ALL), F.lit(0))
-    between = F.split(text, _ALL, -1)
-    values = F.transform(found, lambda v: pseudonym(v, key))
-    pieces = F.flatten(F.zip_with(between, values, lambda b, v: F.array(b, F.coalesce(v, F.lit("")))))
-    return F.when(text.rlike(r"[0-9]|@"), F.when(F.size(found) == 0, text).otherwise(F.array_join(pieces, ""))).otherwise(text)
+
+    def put_back(values: Column) -> Column:
+        return F.array_join(F.flatten(F.zip_with(F.split(text, _ALL, -1), values, lambda b, v: F.array(b, v))), "", "")
+
+    def changed(values: Column) -> Column:
+        pseudonyms = F.transform(values, lambda v: pseudonym(v, key))
+        return F.when(F.size(values) == 0, text).otherwise(put_back(pseudonyms))
+
+    return F.when(text.rlike("[0-9]|@"), _let(found, changed)).otherwise(text)
