@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, pii, secrets, tokenfile
+from . import decontaminate, fingerprint, pii, secrets, tokenfile, toxicity
 from .common import table
 
 
@@ -37,5 +37,9 @@ def op8_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op6_token_files, op8_fingerprint)}
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op6_token_files, op8_fingerprint, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}

@@ -326,7 +326,9 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
 
 def read_tokens(listed: DataFrame, folder: str) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens and the checksum of its ids."""
-    rows = with_starts(listed).select("file", "base").repartition("file")
+    # A number of its own, as a list of files is small whatever the files are.
+    n = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = with_starts(listed).select("file", "base").repartition(n, "file")
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long"
     return rows.mapInArrow(lambda b: _read(b, folder), schema)
 
