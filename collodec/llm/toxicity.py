@@ -1,24 +1,24 @@
 """Toxicity by a subsequence string kernel, a support vector machine and Nyström landmarks.
 
-A sentence is as toxic as its worst word, a document as its worst sentence. Words are
-compared by the gapped subsequences of three and four letters that they share, each counted
-less for every letter it skips, so an insult with letters put in or left out stays close to
-itself. Marks inside a word are skipped, and runs of single letters are also read as one
-word.
-
-Training takes at most ``MAX_TRAINING`` labelled documents (half of them toxic, where there
-are as many), chosen by a hash of their ids. Their sentences have the label of the document;
-which of the words carries it is found as usual for bags: words that stand in toxic
-sentences far more often than chance allows are positive, words seen in clean sentences are
-negative, and words in between become positive if the first machine says so. Landmarks are
-the words that tell most. The machine is linear in K_mm^(-1/2) k(landmarks, word), which
-adds up to one weight per subsequence: scoring looks weights up and sees no landmark.
-Platt's sigmoid, fitted to the documents' largest margins, makes the score.
-
-Rules: a NULL or empty text has no word and gets the score of such (no margin at all).
-Labels are joined by doc_id, the larger one of repeated labels; NULL labels and ids teach
-nothing. Without labels of both kinds every score is the share of toxic labels (0 without
-any). Each row is scored, repeated ones alike. Other columns are not looked at.
+Words are compared by the gapped subsequences of four to six letters that they share (the
+word's edges count as letters), each counted less for every letter it skips, so an insult
+with letters put in or left out stays close to itself. Marks inside a word are skipped, and
+runs of single letters are also read as one word. A sentence is judged by its words, a
+document by its worst word and by the share of its words that the machine objects to.
+
+Training takes at most ``MAX_TRAINING`` labelled documents, chosen by a hash of their ids.
+Their sentences have the label of the document; which word carries it is found as usual for
+labelled bags: words that stand in toxic sentences far more often than chance allows are
+positive, words of clean sentences are negative. In ``TURNS`` turns the clean words that the
+machine likes best join the negatives, and words of toxic sentences alone that it objects to
+join the positives. Landmarks are the surest words of either kind. The machine is linear in
+K_mm^(-1/2) k(landmarks, word), which adds up to one weight per subsequence: scoring looks
+weights up and meets no landmark. A logistic fit to the training documents makes the score.
+
+Rules: a NULL or empty text has no word and gets the lowest score. Labels are joined by
+doc_id, the larger one of repeated labels; NULL labels and ids teach nothing. Without labels
+of both kinds every score is 1 if there are toxic ones, else 0. Each row is scored, repeated
+ones alike. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -31,18 +31,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_batches, runs_of, spread, text_bytes, texts
+from .common import as_batches, runs_of, spread, stored, text_bytes, texts
 
-MAX_TRAINING = 20_000
-MAX_WORDS = 16_000
-LANDMARKS = 256
+MAX_TRAINING = 30_000
+MAX_WORDS = 5_000  # of each kind, per turn
+LANDMARKS = 512
+TURNS = 4
 DECAY = 0.5
 #: Letters skipped at most, by length of the subsequence.
-SKIPPED = {3: 2, 4: 2}
+SKIPPED = {4: 1, 5: 2, 6: 2}
+TABLE = 1 << 20  # subsequences are hashed to so many weights
 SURE = 7.0  # standard deviations from chance
 THRESHOLD = 0.7
 
-ALPHABET = 40
 _EDGE = 0
 
 
@@ -87,68 +88,92 @@ def words_of(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return words, np.concatenate((doc, doc[first[long]]))
 
 
-def _subsequences(words: pa.Array) -> Iterator[tuple[int, float, np.ndarray, np.ndarray]]:
-    """(length, weight, code, word) of every subsequence, one array per pattern of skips."""
+def _letters(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(symbols of all words with their edges, first symbol of each word, symbols left)."""
     data, offsets = text_bytes(words)
     sizes = np.diff(offsets) + 2
     ends = np.cumsum(sizes)
-    padded = np.full(int(ends[-1]) if len(ends) else 0, _EDGE, np.int32)
-    padded[spread(ends - sizes + 1, sizes - 2)] = data
-    owner = np.repeat(np.arange(len(words)), sizes)
-    room = np.repeat(ends, sizes) - np.arange(len(padded))
-    for length, skipped in SKIPPED.items():
-        for steps in _patterns(length - 1, skipped):
-            reach = sum(steps)
-            start = np.flatnonzero(room > reach)
-            code, place = padded[start].copy(), start
-            for step in steps:
-                place = place + step
-                code = code * ALPHABET + padded[place]
-            yield length, DECAY ** (reach - length + 1), code, owner[start]
-
-
-def _patterns(n: int, skipped: int) -> list[tuple[int, ...]]:
-    """All ways to go n steps of one letter and more, skipping so many letters at most."""
-    if n == 0:
-        return [()]
-    return [(k + 1, *rest) for k in range(skipped + 1) for rest in _patterns(n - 1, skipped - k)]
+    symbols = np.full(int(ends[-1]) if len(ends) else 0, _EDGE, np.uint32)
+    symbols[spread(ends - sizes + 1, sizes - 2)] = data
+    return symbols, ends - sizes, np.repeat(ends, sizes) - np.arange(len(symbols))
+
+
+def _subsequences(symbols: np.ndarray) -> Iterator[tuple[float, int, np.ndarray]]:
+    """(weight, reach, hash of the subsequence from each position), one per pattern of skips.
+
+    A hash counts where more than ``reach`` symbols are left in its word.
+    """
+    longest, most = max(SKIPPED), max(SKIPPED.values())
+
+    def walk(code: np.ndarray, length: int, reach: int) -> Iterator:
+        skipped = reach - length + 1
+        if skipped <= SKIPPED.get(length, -1):
+            mixed = code ^ np.uint32(length * 0x3C6EF372 & 0xFFFFFFFF)
+            mixed = (mixed ^ (mixed >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+            yield DECAY**skipped, reach, (mixed ^ (mixed >> np.uint32(13))) & np.uint32(TABLE - 1)
+        for step in range(1, most - skipped + 2) if length < longest else ():
+            following = np.zeros_like(symbols)
+            following[: len(symbols) - reach - step] = symbols[reach + step :]
+            yield from walk(code * np.uint32(0x9E3779B1) + following, length + 1, reach + step)
+
+    yield from walk(symbols.copy(), 1, 0)
 
 
 def _norms(words: pa.Array) -> np.ndarray:
     """Root of the sum of squared weights of a word's subsequences, by its length."""
     sizes = np.diff(text_bytes(words)[1]) + 2
     total = np.zeros(len(sizes))
-    for length, skipped in SKIPPED.items():
-        for steps in _patterns(length - 1, skipped):
-            total += np.maximum(sizes - sum(steps), 0) * DECAY ** (2 * (sum(steps) - length + 1))
+    for weight, reach, _ in _subsequences(np.zeros(1, np.uint32)):
+        total += np.maximum(sizes - reach, 0) * weight**2
     return np.sqrt(np.maximum(total, 1e-9))
 
 
-def margins(words: pa.Array, weights: dict[int, np.ndarray], bias: float) -> np.ndarray:
-    total = np.zeros(len(words))
-    for length, weight, code, owner in _subsequences(words):
-        total += weight * np.bincount(owner, weights[length][code], minlength=len(words))
-    return total / _norms(words) + bias
+def margins(words: pa.Array, weights: np.ndarray, bias: float) -> np.ndarray:
+    """The machine's margin of each word."""
+    if not len(words):
+        return np.zeros(0)
+    symbols, first, left = _letters(words)
+    total = np.zeros(len(symbols), np.float32)
+    for weight, reach, code in _subsequences(symbols):
+        total += np.where(left > reach, weights[code] * np.float32(weight), np.float32(0))
+    return np.add.reduceat(total, first) / _norms(words) + bias
 
 
 @dataclass
 class Model:
-    codes: dict[int, np.ndarray]
-    values: dict[int, np.ndarray]
+    codes: np.ndarray  # subsequences with a weight
+    values: np.ndarray
     bias: float
-    slope: float
-    intercept: float
-    empty: float  # margin of a text without words
+    logistic: np.ndarray  # of the standardized measures of a document, and a constant
+    center: np.ndarray
+    scale: np.ndarray
+
+    def weights(self) -> np.ndarray:
+        table = np.zeros(TABLE, np.float32)
+        table[self.codes] = self.values
+        return table
+
+    def score(self, measures: np.ndarray) -> np.ndarray:
+        x = (measures - self.center) / self.scale
+        return 1 / (1 + np.exp(-np.clip(x @ self.logistic[:-1] + self.logistic[-1], -35, 35)))
 
-    def weights(self) -> dict[int, np.ndarray]:
-        tables = {}
-        for length, codes in self.codes.items():
-            tables[length] = np.zeros(ALPHABET**length, np.float32)
-            tables[length][codes] = self.values[length]
-        return tables
 
-    def score(self, margin: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * margin + self.intercept, -35, 35)))
+NOTHING = -3.0  # the worst word of a text without any
+MEASURES = 4
+
+
+def _measure(batch: pa.RecordBatch, model: Model, weights: np.ndarray) -> np.ndarray:
+    """Per text: worst margin, log share of objections, log of words and of objections."""
+    n = len(batch)
+    words, doc = words_of(batch.column("text"))
+    encoded = words.dictionary_encode()
+    margin = margins(encoded.dictionary, weights, model.bias)
+    margin = margin[encoded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0)
+    worst = np.full(n, NOTHING)
+    np.maximum.at(worst, doc, margin)
+    count = np.bincount(doc, minlength=n)
+    objections = np.bincount(doc, np.maximum(margin, 0), minlength=n)
+    return np.stack((worst, np.log((objections + 0.02) / (count + 10)), np.log1p(count), np.log1p(objections)), 1)
 
 
 def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,22 +194,24 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _features(words: pa.Array, landmarks: pa.Array) -> np.ndarray:
     """Kernel values of words and landmarks."""
-    index: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-    for length in SKIPPED:
-        parts = [(c, o, np.full(len(c), w)) for n, w, c, o in _subsequences(landmarks) if n == length]
-        code, owner, weight = (np.concatenate(p) for p in zip(*parts, strict=True))
-        order = np.argsort(code, kind="stable")
-        index[length] = code[order], owner[order], weight[order]
+    symbols, first, left = _letters(landmarks)
+    owner = np.repeat(np.arange(len(landmarks)), np.diff(np.append(first, len(symbols))))
+    parts = [(c[left > r], owner[left > r], np.full((left > r).sum(), w)) for w, r, c in _subsequences(symbols)]
+    codes, owners, weights = (np.concatenate(p) for p in zip(*parts, strict=True))
+    order = np.argsort(codes, kind="stable")
+    codes, owners, weights = codes[order], owners[order], weights[order]
     kernel = np.zeros((len(words), len(landmarks)))
-    for length, weight, code, owner in _subsequences(words):
-        codes, owners, weights = index[length]
-        low, high = np.searchsorted(codes, code), np.searchsorted(codes, code, "right")
+    symbols, first, left = _letters(words)
+    owner = np.repeat(np.arange(len(words)), np.diff(np.append(first, len(symbols))))
+    for weight, reach, code in _subsequences(symbols):
+        own = left > reach
+        low, high = np.searchsorted(codes, code[own]), np.searchsorted(codes, code[own], "right")
         hits = spread(low, high - low)
-        np.add.at(kernel, (np.repeat(owner, high - low), owners[hits]), weight * weights[hits])
+        np.add.at(kernel, (np.repeat(owner[own], high - low), owners[hits]), weight * weights[hits])
     return kernel / _norms(words)[:, None] / _norms(landmarks)[None, :]
 
 
-def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, regular: float = 1e-3) -> tuple[np.ndarray, float]:
+def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, regular: float = 1e-4) -> tuple[np.ndarray, float]:
     """Primal Newton steps for the squared hinge loss; the last weight is the bias."""
     x = np.hstack((x, np.ones((len(x), 1))))
     w = np.zeros(x.shape[1])
@@ -200,130 +227,132 @@ def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, regular: float = 1e-3
     return w[:-1], float(w[-1])
 
 
-def _platt(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept of the sigmoid, by damped Newton steps on smoothed labels."""
-    positive, negative = (weight * label).sum(), (weight * (1 - label)).sum()
-    target = np.where(label > 0, (positive + 1) / (positive + 2), 1 / (negative + 2))
-    x = np.stack((margin, np.ones_like(margin)), 1)
-    w = np.array([1.0, 0.0])
-    for _ in range(50):
+def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Ridge logistic regression by Newton steps; the last column of ``x`` is constant."""
+    w = np.zeros(x.shape[1])
+    for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (weight * (p - target))
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(hessian, gradient)
-        w = w - step / max(1.0, np.abs(step).max() / 2)
-        if np.abs(step).max() < 1e-6:
-            break
-    return float(w[0]), float(w[1])
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(len(w))
+        w = w - np.linalg.solve(hessian, x.T @ (p - y) + 1e-3 * w)
+    return w
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> DataFrame:
-    """text and label of at most ``limit`` labelled documents, which Spark may broadcast."""
+    """text and label of at most ``limit`` labelled documents; their ids may be broadcast."""
     own = labels.where("doc_id IS NOT NULL AND label IS NOT NULL")
-    own = own.groupBy("doc_id").agg(F.max("label").alias("label"))
-    by_hash = F.xxhash64("doc_id")
-    parts = [own.where(F.col("label") == y).orderBy(by_hash).limit(limit // 2) for y in (0, 1)]
-    chosen = parts[0].unionByName(parts[1])
+    own = own.groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
+    chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
     return texts(docs, "doc_id").join(F.broadcast(chosen), "doc_id").select("text", "label")
 
 
+def _machine(words: pa.Array, positive: np.ndarray, sure: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """(a weight for every subsequence, bias). ``sure``: the landmarks."""
+    landmarks = words.take(pa.array(sure))
+    values, vectors = np.linalg.eigh(_features(landmarks, landmarks))
+    good = values > 1e-4 * values.max()
+    root = vectors[:, good] / np.sqrt(values[good])
+    y = np.where(positive, 1.0, -1.0)
+    for sign, total in ((1, 1.0), (-1, 5.0)):
+        weight = np.where(y == sign, weight * total / max(1e-9, weight[y == sign].sum()), weight)
+    w, bias = _svm(_features(words, landmarks) @ root, y, weight)
+    alpha = root @ w / _norms(landmarks)
+    symbols, first, left = _letters(landmarks)
+    owner = np.repeat(np.arange(len(landmarks)), np.diff(np.append(first, len(symbols))))
+    table = np.zeros(TABLE)
+    for share, reach, code in _subsequences(symbols):
+        np.add.at(table, code[left > reach], share * alpha[owner[left > reach]])
+    return table.astype(np.float32), bias
+
+
+def _like(batches: Iterator[pa.RecordBatch], weights: np.ndarray, bias: float) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        margin = margins(batch.column("word").cast(pa.large_binary()), weights, bias)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(margin)], [*batch.schema.names, "margin"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Model:
     """``labels``: doc_id and label (0 or 1)."""
     rows = training_rows(docs, labels, limit)
-    counted = rows.mapInArrow(_count_words, "word binary, toxic long, clean long")
+    schema = "word binary, toxic long, clean long"
+    counted = rows.mapInArrow(_count_words, schema).where(F.length("word").between(2, 64))
     counted = counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    n = rows.groupBy("label").count().collect()
-    n = {r["label"]: r["count"] for r in n}
+    n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    nothing = np.zeros(0, np.int64), np.zeros(0, np.float32)
     if len(n) < 2:
-        share = float(1 in n)
-        return Model({}, {}, 0.0, 0.0, 35.0 if share else -35.0, 0.0)
+        constant = np.append(np.zeros(MEASURES), 35.0 if 1 in n else -35.0)
+        return Model(*nothing, 0.0, constant, np.zeros(MEASURES), np.ones(MEASURES))
     share = n[1] / (n[0] + n[1])
     seen = F.col("toxic") + F.col("clean")
     z = (F.col("toxic") - seen * share) / F.sqrt(seen * share * (1 - share))
-    ranked = counted.withColumn("z", z).where(F.length("word").between(2, 64))
-    folder_rows = ranked.persist()
-    try:
-        third = MAX_WORDS // 3
-        picks = [
-            folder_rows.where("toxic > 0").orderBy(F.desc("z"), "word").limit(third),
-            folder_rows.where("clean > 0").orderBy(F.desc("clean"), "word").limit(third),
-            folder_rows.where("clean > 0").orderBy(F.xxhash64("word"), "word").limit(third),
-        ]
-        words = {}
-        for part in picks:
-            words.update({r["word"]: r for r in part.collect()})
-    finally:
-        folder_rows.unpersist()
-    rows_ = [words[w] for w in sorted(words)]
-    column = pa.array([bytes(r["word"]) for r in rows_], pa.large_binary())
-    zs = np.array([r["z"] for r in rows_])
-    clean = np.array([r["clean"] for r in rows_])
-    toxic = np.array([r["toxic"] for r in rows_])
-    positive = (zs >= min(SURE, max(2.0, zs.max() / 2))) & (toxic > 20 * clean)
-    negative = clean > 0
-    negative &= ~positive
-    order = np.argsort(-zs, kind="stable")
-    best = [i for i in order if positive[i]][: LANDMARKS // 2]
-    rest = [i for i in np.argsort(-clean, kind="stable") if negative[i]][: LANDMARKS - len(best)]
-    landmarks = column.take(pa.array(best + rest))
-    kernel = _features(column, landmarks)
-    values, vectors = np.linalg.eigh(_features(landmarks, landmarks))
-    good = values > 1e-6 * values.max()
-    root = vectors[:, good] / np.sqrt(values[good])
-    x = kernel @ root
-
-    def train(positive: np.ndarray) -> tuple[np.ndarray, float]:
-        use = positive | negative
-        y = np.where(positive, 1.0, -1.0)[use]
-        weight = np.where(y > 0, 1 / max(1, (y > 0).sum()), 1 / max(1, (y < 0).sum()))
-        return _svm(x[use], y, weight)
-
-    for _ in range(2):
-        w, bias = train(positive)
-        # Words that only toxic sentences hold, and that look like the sure ones.
-        positive = positive | (~negative & (x @ w + bias > 0))
-    w, bias = train(positive)
-    alpha = root @ w / _norms(landmarks)
-    codes: dict[int, np.ndarray] = {}
-    values_: dict[int, np.ndarray] = {}
-    for length in SKIPPED:
-        table = np.zeros(ALPHABET**length)
-        for n_letters, weight, code, owner in _subsequences(landmarks):
-            if n_letters == length:
-                np.add.at(table, code, weight * alpha[owner])
-        codes[length] = np.flatnonzero(table)
-        values_[length] = table[codes[length]].astype(np.float32)
-    model = Model(codes, values_, bias, 1.0, 0.0, -3.0)
-    scored = rows.mapInArrow(lambda b: _score(b, model, ["label"], "margin"), "label int, margin double")
-    bins = scored.groupBy("label", F.round("margin", 2).alias("margin")).count().collect()
-    margin, label, weight = (np.array([r[k] for r in bins], float) for k in ("margin", "label", "count"))
-    # The sample is balanced; the sigmoid is for the documents as they are labelled.
-    totals = {r["label"]: r["count"] for r in labels.groupBy("label").count().collect()}
-    for y in (0, 1):
-        own = label == y
-        weight[own] *= totals[y] / weight[own].sum()
-    model.slope, model.intercept = _platt(margin, label, weight)
+    counted = stored(counted.withColumn("z", z))
+    known: dict[bytes, tuple[int, int, float, bool]] = {}
+
+    def learn(part: DataFrame, positive: bool) -> list[bytes]:
+        new = [(bytes(r["word"]), r) for r in part.collect()]
+        for word, r in new:
+            known[word] = (r["toxic"], r["clean"], r["z"], positive or known.get(word, (0, 0, 0, False))[3])
+        return [word for word, _ in new]
+
+    sure = (F.col("z") >= SURE) & (F.col("toxic") > 8 * F.col("clean"))
+    learn(counted.where(sure).orderBy(F.desc("z"), "word").limit(MAX_WORDS), True)
+    if not known:  # few documents: the likeliest words
+        learn(counted.where("clean = 0").orderBy(F.desc("z"), "word").limit(5), True)
+    negative = counted.where((F.col("clean") > 0) & ~sure)
+    learn(negative.orderBy(F.desc("clean"), "word").limit(MAX_WORDS), False)
+    learn(negative.orderBy(F.xxhash64("word"), "word").limit(MAX_WORDS), False)
+    hard: list[bytes] = []
+    for turn in range(TURNS):
+        names = sorted(known)
+        words = pa.array(names, pa.large_binary())
+        toxic, clean, zs, positive = (np.array([known[w][i] for w in names]) for i in range(4))
+        place = {w: i for i, w in enumerate(names)}
+        marks = [i for i in np.argsort(-zs, kind="stable") if positive[i]][: LANDMARKS // 2]
+        others = [place[w] for w in hard[: LANDMARKS // 4]]
+        others += [i for i in np.argsort(-clean, kind="stable") if not positive[i]]
+        marks += list(dict.fromkeys(others))[: LANDMARKS - len(marks)]
+        weight = np.where(positive, toxic, np.sqrt(clean)) ** 0.7
+        table, bias = _machine(words, positive, np.array(marks), weight)
+        if turn == TURNS - 1:
+            break
+        kinds = f"{schema}, z double, margin double"
+        liked = counted.mapInArrow(lambda b, t=table, c=bias: _like(b, t, c), kinds)
+        hard = learn(
+            liked.where((F.col("clean") > 0) & ~sure & (F.col("margin") > -0.5)).orderBy(F.desc("margin"), "word").limit(MAX_WORDS),
+            False,
+        )
+        learn(
+            liked.where("clean = 0 AND z > 2.5 AND margin > 0.3").orderBy(F.desc("z"), "word").limit(MAX_WORDS), True
+        )
+    codes = np.flatnonzero(table)
+    model = Model(codes, table[codes], bias, np.zeros(MEASURES + 1), np.zeros(MEASURES), np.ones(MEASURES))
+    measured = rows.mapInArrow(lambda b: _measured(b, model), "label int, measures array<double>").collect()
+    x = np.array([r["measures"] for r in measured])
+    y = np.array([r["label"] for r in measured], float)
+    model.center, model.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
+    x = np.hstack(((x - model.center) / model.scale, np.ones((len(x), 1))))
+    model.logistic = _logistic(x, y)
     return model
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model, keep: list[str], kind: str) -> Iterator[pa.RecordBatch]:
+def _measured(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
     weights = model.weights()
     for batch in as_batches(batches):
-        worst = np.full(len(batch), model.empty)
-        words, doc = words_of(batch.column("text"))
-        if len(words) and weights:
-            encoded = words.dictionary_encode()
-            margin = margins(encoded.dictionary, weights, model.bias)
-            np.maximum.at(worst, doc, margin[encoded.indices.to_numpy(zero_copy_only=False)])
-        value = model.score(worst) if kind == "score" else worst
-        yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in keep], pa.array(value)], [*keep, kind])
+        measures = pa.array(list(_measure(batch, model, weights)), pa.list_(pa.float64()))
+        yield pa.RecordBatch.from_arrays([batch.column("label"), measures], ["label", "measures"])
+
+
+def _score(batches: Iterator[pa.RecordBatch], model: Model, key: str) -> Iterator[pa.RecordBatch]:
+    weights = model.weights()
+    for batch in as_batches(batches):
+        value = pa.array(model.score(_measure(batch, model, weights)))
+        yield pa.RecordBatch.from_arrays([batch.column(key), value], [key, "score"])
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """``key`` and score of every row of ``docs``."""
     rows = texts(docs, key)
     kind = rows.schema[key].dataType.simpleString()
-    return rows.mapInArrow(lambda b: _score(b, model, [key], "score"), f"`{key}` {kind}, score double")
+    return rows.mapInArrow(lambda b: _score(b, model, key), f"`{key}` {kind}, score double")
 
 
 def fold(n: int):
