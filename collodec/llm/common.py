@@ -45,14 +45,16 @@ def texts(docs: DataFrame, *columns: str) -> DataFrame:
     return docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
-def as_batches(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut record batches so that each holds about ``CHUNK_BYTES`` of text or one row."""
+def as_batches(
+    batches: Iterator[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut record batches so that each holds about ``size`` bytes of text or one row."""
     for batch in batches:
         ends = np.cumsum(lengths(batch.column(column)), dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, done + CHUNK_BYTES, "right")))
+            stop = max(start + 1, int(np.searchsorted(ends, done + size, "right")))
             yield batch.slice(start, stop - start)
             start = stop
 

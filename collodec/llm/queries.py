@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, pii, quality, secrets, tokenfile, toxicity
+from . import decontaminate, fingerprint, pieces, pii, quality, secrets, tokenfile, toxicity
 from .common import table
 
 
@@ -45,5 +45,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op5_quality, op6_token_files, op8_fingerprint, op10_toxicity)}
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.Vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    return pieces.encode_documents(table(spark, sf_dir, "documents"), vocabulary, check=True)
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op4_sentencepiece, op5_quality, op6_token_files, op8_fingerprint, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
