@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, pieces, pii, quality, secrets, tokenfile, toxicity
+from . import decontaminate, fingerprint, jaccard_join, pieces, pii, quality, secrets, tokenfile, toxicity
 from .common import table
 
 
@@ -50,5 +50,9 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(table(spark, sf_dir, "documents"), vocabulary, check=True)
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op4_sentencepiece, op5_quality, op6_token_files, op8_fingerprint, op10_toxicity)}
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op4_sentencepiece, op5_quality, op6_token_files, op7_jaccard_join, op8_fingerprint, op10_toxicity)}
 ORACLE_SQL: dict[str, str] = {}
