@@ -38,14 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_batches, joined, mixed, runs_of, shared_folder, slice_hashes, stored, text_bytes, texts
+from .bitmap import BitMap, bit_map
+from .common import as_batches, joined, mixed, runs_of, slice_hashes, stored, text_bytes, texts
 from .components import components
 
 WORDS = 5
 PERCENT = 80
 #: Times that a token occurs in a part of the corpus to be told of, and in all told of to be frequent.
 LOCAL, FREQUENT = 3, 32
-MAP_BITS = 26
 #: Tokens per part for counting.
 PART_TOKENS = 4_000_000
 #: Tokens of a set per sub-class of frequent tokens, about.
@@ -104,15 +104,16 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often = counts >= LOCAL
         values, counts = values[often], counts[often]
         nothing = pa.nulls(len(values), pa.int64())
-        columns = [nothing, nothing, pa.array(counts), pa.array(values.view(np.int64))]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "token"])
+        columns = [nothing, nothing, nothing, pa.array(counts), pa.array(values.view(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "node", "n", "token"])
 
     for batch in as_batches(batches):
         sets = token_sets(batch.column("text"))
         nodes = [node_of(s) if len(s) else None for s in sets]
         sizes = np.array([len(s) for s in sets], np.int64)
-        columns = [batch.column("doc_id").cast(pa.int64()), pa.array(nodes, pa.int64()), pa.array(sizes), pa.nulls(len(sets), pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "token"])
+        ids = batch.column("doc_id").cast(pa.int64())
+        columns = [ids, batch.column("h"), pa.array(nodes, pa.int64()), pa.array(sizes), pa.nulls(len(sets), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "h", "node", "n", "token"])
         for node, own in zip(nodes, sets, strict=True):
             if node is not None and node not in seen:
                 seen.add(node)
@@ -126,40 +127,6 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield frequent()
 
 
-def _bit(values: np.ndarray) -> np.ndarray:
-    return (mixed(values ^ np.uint64(0x5DEECE66D)) >> np.uint64(64 - MAP_BITS)).astype(np.int64)
-
-
-class BitMap:
-    """A set of 64-bit values that may hold more than was put in; of fixed size."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = words
-
-    def __contains__(self, value: int) -> bool:
-        return bool(self.of(np.array([value], np.uint64))[0])
-
-    def of(self, values: np.ndarray) -> np.ndarray:
-        bit = _bit(values)
-        return (self.words[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-
-def bit_map(values: DataFrame) -> BitMap:
-    """The map of a column of longs. What the driver gets has a fixed size."""
-
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = np.unique(_bit(batch.column(0).to_numpy().view(np.uint64)))
-            masks = (np.uint64(1) << (bit & 63).astype(np.uint64)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(bit >> 6), pa.array(masks)], ["word", "mask"])
-
-    masks = values.mapInArrow(bits, "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask"))
-    words = np.zeros((1 << MAP_BITS) // 64, np.uint64)
-    found = masks.toArrow()
-    words[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
-    return BitMap(words)
-
-
 def keys_of(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(keys of single tokens, keys of pairs) that index a sorted set."""
     n = len(tokens)
@@ -331,18 +298,41 @@ def links(docs: DataFrame, frequent: BitMap) -> DataFrame | None:
     return components(joined_).select(F.col("node").alias("a"), F.col("component").alias("b"))
 
 
-def join_documents(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_shingles, component_id."""
-    told = stored(texts(docs, "doc_id").mapInArrow(_nodes, "doc_id long, node long, n long, token long"))
+def _classes(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, h (hash of the text), n_shingles, component, component_id."""
+    rows = texts(docs, "doc_id").withColumn("h", F.xxhash64("text"))
+    told = stored(rows.mapInArrow(_nodes, "doc_id long, h long, node long, n long, token long"))
     often = told.where("token IS NOT NULL").groupBy("token").agg(F.sum("n").alias("n"))
     frequent = bit_map(often.where(F.col("n") > FREQUENT).select("token"))
-    own = told.where("token IS NULL").select("doc_id", "node", F.col("n").alias("n_shingles"))
+    own = told.where("token IS NULL").select("doc_id", "h", "node", F.col("n").alias("n_shingles"))
     labels = links(docs, frequent).select(F.col("a").alias("node"), F.col("b").alias("component"))
     nodes = own.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("least"))
     nodes = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = nodes.groupBy("component").agg(F.min("least").alias("component_id"))
-    names = nodes.join(least, "component").select("node", "component_id")
-    with_node = own.join(names, "node", "left")
-    return with_node.select(
-        "doc_id", "n_shingles", F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id")
+    names = nodes.join(least, "component").select("node", "component", "component_id")
+    return own.join(names, "node", "left")
+
+
+def join_documents(docs: DataFrame) -> DataFrame:
+    """Per document: doc_id, n_shingles, component_id."""
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return _classes(docs).select("doc_id", "n_shingles", own.alias("component_id"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """Of each component the document with the smallest id, NULL last, as it is.
+
+    Documents without words all stay. Of equal ids the one with the smaller hash of its text
+    stays, of repeated rows one.
+    """
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("h"))
+    first = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "h", name.alias("name"))
+    chosen = _classes(docs).where("n_shingles > 0").groupBy("component").agg(F.min(first).alias("first"))
+    chosen = chosen.select(F.col("first.name").alias("name"))
+    packed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
     )
+    has_words = F.col("text").rlike("[^\\x20\\x09-\\x0D]")
+    named = packed.where(has_words).withColumn("h", F.xxhash64("text")).select("row", name.alias("name"))
+    kept = named.join(chosen, "name", "left_semi").dropDuplicates(["name"])
+    return kept.select("row.*").unionByName(packed.where(~has_words).select("row.*"))

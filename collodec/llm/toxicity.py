@@ -375,8 +375,8 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` below the threshold, as they are."""
-    model = fit(docs, learned_labels(labels))
+def keep_clean(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` below the threshold, as they are; learned from ``labelled``."""
+    model = fit(labelled, learned_labels(labels))
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "text")
     return score(packed, model, "row").where(F.col("score") < THRESHOLD).select("row.*")
