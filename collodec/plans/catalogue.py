@@ -182,7 +182,7 @@ def _cleaned(rows: DataFrame, language: str) -> DataFrame:
 
 @query
 def clean_eng(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cleaned(testtables.document_unigrams(spark, sf_dir), "eng")
+    return _cleaned(testtables.english_unigrams(spark, sf_dir), "eng")
 
 
 @query
@@ -193,7 +193,7 @@ def clean_heb(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def clean_by_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept words per language and decade, the rule chosen by each corpus' language."""
-    tables = {"eng": testtables.document_unigrams, "heb": testtables.hebrew_unigrams}
+    tables = {"eng": testtables.english_unigrams, "heb": testtables.hebrew_unigrams}
     stops = {"eng": ENGLISH_STOP_WORDS, "heb": HEBREW_STOP_WORDS}
     per_language = []
     for language, rows in tables.items():
@@ -435,10 +435,10 @@ def product_collocations(spark: SparkSession, sf_dir: str, mode: str = "log") ->
     return pipeline.collocations(testtables.words_of(twos), twos, "eng", english_stops(spark), mode)
 
 
-def document_collocations(spark: SparkSession, sf_dir: str, mode: str = "log") -> DataFrame:
+def english_collocations(spark: SparkSession, sf_dir: str, mode: str = "log") -> DataFrame:
     return pipeline.collocations(
-        testtables.document_unigrams(spark, sf_dir),
-        testtables.document_bigrams(spark, sf_dir),
+        testtables.english_unigrams(spark, sf_dir),
+        testtables.english_bigrams(spark, sf_dir),
         "eng",
         english_stops(spark),
         mode,
@@ -452,7 +452,7 @@ def collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def collocations_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(document_collocations(spark, sf_dir))
+    return _scored(english_collocations(spark, sf_dir))
 
 
 @query
@@ -469,15 +469,35 @@ def collocations_heb(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def collocations_ieee(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Powers multiplied first. A score is shown where no factor is near underflow.
+    """Powers multiplied first. Every row has a score or the kind of its score.
 
-    Elsewhere the doubles have lost digits or all of the value; the row says so.
+    ``value``: no power or product is below e^-700, so all digits are there. Else NaN,
+    +Infinity, -Infinity or finite, as computed. ``near underflow``: some power or product
+    is between e^-746 and e^-700, a band of 46 around the subnormal numbers, in which
+    engines lose digits or all of them differently. ``no table``: counts of no table.
     """
-    factors = likelihood.log_likelihood_terms(terms=scores.term_columns())
-    scored = scores.with_terms(document_collocations(spark, sf_dir, "ieee"))
-    ranged = scored.withColumn("in_range", F.greatest(*[F.abs(c) for c in factors]) < 700)
-    llr = F.when(F.col("in_range"), rounded("llr"))
-    return ranged.select("w1", "w2", "decade", "in_range", llr.alias("llr"))
+    scored = scores.with_terms(english_collocations(spark, sf_dir, "ieee"))
+    p, p1, p2 = scores.term_columns()
+    c1, c2, c12, n = (F.col(c).cast("double") for c in ("c1", "c2", "c12", "n"))
+    logs = []
+    for k, m, x in ((c12, c1, p), (c2 - c12, n - c1, p), (c12, c1, p1), (c2 - c12, n - c1, p2)):
+        hits, misses = k * F.log(x), (m - k) * F.log(F.lit(1.0) - x)
+        logs += [hits, misses, hits + misses]
+    low = reduce(Column.__or__, [x < -700 for x in logs])
+    band = reduce(Column.__or__, [x.between(-746, -700) for x in logs])
+    infinite = F.lit(float("inf"))
+    kind = (
+        F.when(~F.coalesce(likelihood.valid_counts(), F.lit(False)), "no table")
+        .when(F.col("band"), "near underflow")
+        .when(~F.col("low"), "value")
+        .when(F.isnan("llr"), "NaN")
+        .when(F.col("llr") == infinite, "+Infinity")
+        .when(F.col("llr") == -infinite, "-Infinity")
+        .otherwise("finite")
+    )
+    classed = scored.withColumns({"low": low, "band": band}).withColumn("kind", kind)
+    llr = F.when(F.col("kind") == "value", rounded("llr"))
+    return classed.select("w1", "w2", "decade", "kind", llr.alias("llr"))
 
 
 # Orders and lines.

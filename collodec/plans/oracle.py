@@ -52,7 +52,8 @@ def _document_steps(where: str, letters: str) -> dict[str, str]:
     }
 
 
-TEXT_STEPS = _document_steps("WHERE lang = 'en'", "{}")
+TEXT_STEPS = _document_steps("", "{}")
+ENGLISH_STEPS = _document_steps("WHERE lang = 'en'", "{}")
 HEBREW_STEPS = _document_steps(
     "", f"replace(translate(lower({{}}), '{LATIN}', '{HEBREW}'), '{ALEF}', '{ALEF}{QAMATS}')"
 )
@@ -89,19 +90,19 @@ def _count_steps(language: str, stop_words: list[str]) -> dict[str, str]:
         "valid": """
             SELECT *, CAST(c1 AS DOUBLE) AS k1, CAST(c2 AS DOUBLE) AS k2,
                    CAST(c12 AS DOUBLE) AS k12, CAST(n AS DOUBLE) AS kn,
-                   c1 > 0 AND c12 <= c1 AND c12 <= c2 AND c2 <= n AND c1 <= n
-                   AND c2 - c12 <= n - c1 AS ok
+                   coalesce(c1 > 0 AND c12 <= c1 AND c12 <= c2 AND c2 <= n AND c1 <= n
+                            AND c2 - c12 <= n - c1, false) AS ok
             FROM counted""",
         "terms": """
             SELECT *,
-                CASE WHEN k2 / kn = 0 THEN 0.01 WHEN k2 / kn = 1 THEN 0.99
+                CASE WHEN NOT ok THEN NULL WHEN k2 = 0 THEN 0.01 WHEN k2 = kn THEN 0.99
                      ELSE k2 / kn END AS p,
-                CASE WHEN k12 / k1 = 0 THEN 0.01 WHEN k12 / k1 = 1 THEN 0.99
+                CASE WHEN NOT ok THEN NULL WHEN k12 = 0 THEN 0.01 WHEN k12 = k1 THEN 0.99
                      ELSE k12 / k1 END AS p1,
-                CASE WHEN k2 = k12 THEN 0.01
+                CASE WHEN NOT ok THEN NULL WHEN k2 = k12 THEN 0.01
                      WHEN k2 - k12 = kn - k1 THEN 0.99
                      ELSE (k2 - k12) / (kn - k1) END AS p2
-            FROM valid WHERE ok""",
+            FROM valid""",
         "logs": """
             SELECT *,
                 k12 * ln(p) + (k1 - k12) * ln(1 - p) AS a,
@@ -109,22 +110,23 @@ def _count_steps(language: str, stop_words: list[str]) -> dict[str, str]:
                 k12 * ln(p1) + (k1 - k12) * ln(1 - p1) AS c,
                 (k2 - k12) * ln(p2) + (kn - k1 - k2 + k12) * ln(1 - p2) AS d
             FROM terms""",
-        "scored": """
-            SELECT v.w1, v.w2, v.decade, v.c1, v.c2, v.c12, v.n,
-                   l.a, l.b, l.c, l.d, l.a + l.b - l.c - l.d AS llr
-            FROM valid v LEFT JOIN logs l
-              ON v.w1 = l.w1 AND v.w2 = l.w2 AND v.decade = l.decade""",
+        "scored": "SELECT *, a + b - c - d AS llr FROM logs",
     }
 
 
 ENGLISH_COUNTS = _count_steps("eng", ENGLISH_STOP_WORDS)
 PRODUCTS = {**PRODUCT_STEPS, **ENGLISH_COUNTS}
 TEXTS = {**TEXT_STEPS, **ENGLISH_COUNTS}
+ENGLISH_TEXTS = {**ENGLISH_STEPS, **ENGLISH_COUNTS}
 HEBREWS = {**HEBREW_STEPS, **_count_steps("heb", HEBREW_STOP_WORDS)}
 
 
 def _with(steps: dict[str, str], select: str) -> str:
-    named = ",\n".join(f"{name} AS ({body})" for name, body in steps.items())
+    # The steps that others read more than once are computed once, whatever the engine.
+    kept = {"docs", "uni", "bi", "u", "b"}
+    named = ",\n".join(
+        f"{name} AS {'MATERIALIZED ' if name in kept else ''}({body})" for name, body in steps.items()
+    )
     return f"WITH {named}\n{select}"
 
 
@@ -162,6 +164,37 @@ UNIGRAMS = "SELECT w, decade, c FROM u"
 TOTALS = "SELECT decade, n FROM n"
 FIRST_MARGINAL = _with(TEXTS, SINGLE_MARGINAL.format(name="c1", word="w1"))
 
+# The formula as it is written: powers, their products, logarithms of those.
+_DRAWS = (("k12", "k1", "p"), ("k2 - k12", "kn - k1", "p"), ("k12", "k1", "p1"), ("k2 - k12", "kn - k1", "p2"))
+
+
+def _ieee_steps() -> dict[str, str]:
+    powers, logs = [], []
+    for i, (k, m, x) in enumerate(_DRAWS):
+        powers.append(f"pow({x}, {k}) * pow(1 - {x}, ({m}) - ({k})) AS l{i}")
+        hits, misses = f"({k}) * ln({x})", f"(({m}) - ({k})) * ln(1 - {x})"
+        logs += [hits, misses, f"{hits} + {misses}"]
+    guarded = [
+        f"CASE WHEN l{i} > 0 THEN ln(l{i}) ELSE CAST('-infinity' AS DOUBLE) END" for i in range(4)
+    ]
+    low = " OR ".join(f"({x}) < -700" for x in logs)
+    band = " OR ".join(f"({x}) BETWEEN -746 AND -700" for x in logs)
+    return {
+        "powers": f"SELECT *, {', '.join(powers)}, {low} AS low, {band} AS band FROM terms",
+        "ieee": f"""
+            SELECT *, {guarded[0]} + {guarded[1]} - {guarded[2]} - {guarded[3]} AS score
+            FROM powers""",
+        "classed": """
+            SELECT *, CASE WHEN NOT ok THEN 'no table' WHEN band THEN 'near underflow'
+                           WHEN NOT low THEN 'value' WHEN isnan(score) THEN 'NaN'
+                           WHEN isinf(score) AND score > 0 THEN '+Infinity'
+                           WHEN isinf(score) THEN '-Infinity' ELSE 'finite' END AS kind
+            FROM ieee""",
+    }
+
+
+IEEE_STEPS = _ieee_steps()
+
 ORACLE_SQL: dict[str, str] = {
     "ngram_fields": _with(
         PRODUCTS,
@@ -174,10 +207,10 @@ ORACLE_SQL: dict[str, str] = {
     "read_ngrams_sequence": _with(PRODUCTS, BIGRAM_ROWS),
     "filter_unigrams": _with(PRODUCTS, MIXED.format(1)),
     "filter_bigrams": _with(PRODUCTS, MIXED.format(2)),
-    "clean_eng": _with(TEXTS, CLEANED.format(_clean("ngram", "eng"))),
+    "clean_eng": _with(ENGLISH_TEXTS, CLEANED.format(_clean("ngram", "eng"))),
     "clean_heb": _with(HEBREWS, CLEANED.format(_clean("ngram", "heb"))),
     "clean_by_language": f"""
-        SELECT 'eng' AS language, w, decade, c FROM ({_with(TEXTS, UNIGRAMS)})
+        SELECT 'eng' AS language, w, decade, c FROM ({_with(ENGLISH_TEXTS, UNIGRAMS)})
         UNION ALL
         SELECT 'heb' AS language, w, decade, c FROM ({_with(HEBREWS, UNIGRAMS)})""",
     "stop_unigrams": _with(
@@ -261,28 +294,27 @@ ORACLE_SQL: dict[str, str] = {
         PRODUCTS,
         "SELECT w1, w2, decade, "
         + ", ".join(f"{_rounded(t, 9)} AS {t}" for t in ("p", "p1", "p2"))
-        + " FROM terms",
+        + " FROM terms WHERE ok",
     ),
     "binomial_log_likelihood": _with(
         PRODUCTS,
         "SELECT w1, w2, decade, "
         + ", ".join(f"{_rounded(t)} AS ln_l{i}" for i, t in enumerate("abcd", start=1))
-        + " FROM logs",
+        + " FROM logs WHERE ok",
     ),
     "binomial_likelihood": _with(
         TEXTS,
         f"""SELECT w1, w2, decade,
                    {_rounded('pow(p1, k12) * pow(1 - p1, k1 - k12)', 6)} AS likelihood
-            FROM terms""",
+            FROM terms WHERE ok""",
     ),
     "collocations": _with(PRODUCTS, SCORES),
-    "collocations_text": _with(TEXTS, SCORES),
+    "collocations_text": _with(ENGLISH_TEXTS, SCORES),
     "collocations_heb": _with(HEBREWS, SCORES),
     "collocations_ieee": _with(
-        TEXTS,
-        f"""SELECT w1, w2, decade, exact AS in_range,
-                   CASE WHEN exact THEN {_rounded('llr')} END AS llr
-            FROM (SELECT *, greatest(abs(a), abs(b), abs(c), abs(d)) < 700 AS exact FROM scored)""",
+        {**ENGLISH_TEXTS, **IEEE_STEPS},
+        f"""SELECT w1, w2, decade, kind, CASE WHEN kind = 'value' THEN {_rounded('score')} END AS llr
+            FROM classed""",
     ),
     "key_order": _with(
         TEXTS,

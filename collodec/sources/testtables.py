@@ -58,20 +58,10 @@ def product_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words_of(product_bigrams(spark, sf_dir))
 
 
-def _spread_small(df: DataFrame) -> DataFrame:
-    """A scan with fewer splits than cores, spread over all of them.
-
-    Such an input is small, as a split holds spark.sql.files.maxPartitionBytes; a larger
-    one is left as it is scanned.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(year, lang, text): whole texts; the year is made up."""
     rows = _table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
-    return _spread_small(rows).select(
+    return rows.select(
         (F.lit(1900) + F.col("doc_id") % 30).cast("int").alias("year"), "lang", "text"
     )
 
@@ -105,10 +95,19 @@ def _neighbour_ngrams(documents: DataFrame) -> DataFrame:
 
 
 def document_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _token_ngrams(_english(spark, sf_dir))
+    return _token_ngrams(_documents(spark, sf_dir))
 
 
 def document_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _neighbour_ngrams(_documents(spark, sf_dir))
+
+
+def english_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of the documents that are English, for what depends on the language."""
+    return _token_ngrams(_english(spark, sf_dir))
+
+
+def english_bigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _neighbour_ngrams(_english(spark, sf_dir))
 
 
