@@ -26,6 +26,10 @@ CLEAN_RULES = {
 }
 
 
+#: A missing number in a text line.
+NULL_MARK = "\\N"
+
+
 def as_column(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -56,16 +60,25 @@ def survives_cleaning(c: Column | str, language: str) -> Column:
     return as_column(c).rlike(clean_rule(language).kept)
 
 
+def _only_spaces(c: Column | str) -> Column:
+    return (F.rtrim(as_column(c)) == "") & (as_column(c) != "")
+
+
 def ngram_tokens(c: Column | str) -> Column:
-    """Tokens between single spaces; trailing empty tokens do not count."""
-    return F.split(F.rtrim(as_column(c)), " ")
+    """Tokens between single spaces; trailing empty tokens do not count.
+
+    Only spaces are no token, nothing at all is one empty token.
+    """
+    none = F.array().cast("array<string>")
+    return F.when(_only_spaces(c), none).otherwise(F.split(F.rtrim(as_column(c)), " "))
 
 
 def arity(c: Column | str) -> Column:
     """The number of ``ngram_tokens``, counted by bytes instead of splitting."""
     ngram = F.rtrim(as_column(c))
     without_spaces = F.replace(ngram, F.lit(" "), F.lit(""))
-    return F.octet_length(ngram) - F.octet_length(without_spaces) + 1
+    n = F.octet_length(ngram) - F.octet_length(without_spaces) + 1
+    return F.when(_only_spaces(c), 0).otherwise(n)
 
 
 def first_token(c: Column | str) -> Column:
@@ -82,15 +95,28 @@ def decade(year: Column | str) -> Column:
     return (y - y % F.lit(10)).cast("int")
 
 
+def _number(c: Column | str) -> Column:
+    return F.coalesce(as_column(c).cast("string"), F.lit(NULL_MARK))
+
+
 def format_score_line(w1="w1", w2="w2", decade="decade", llr="llr") -> Column:
-    """``w1 w2 decade<TAB>LogLikelihood is: x``"""
-    key = F.concat_ws(" ", as_column(w1), as_column(w2), as_column(decade).cast("string"))
-    score = F.concat(F.lit("LogLikelihood is: "), as_column(llr).cast("string"))
+    """``w1 w2 decade<TAB>LogLikelihood is: x``, x marked where it is missing."""
+    key = F.concat_ws(" ", as_column(w1), as_column(w2), _number(decade))
+    # Fixed value: the words in front of the score.
+    score = F.concat(F.lit("LogLikelihood is: "), _number(llr))
     return F.concat_ws("\t", key, score)
 
 
 def format_measures_line(w1, w2, decade, c1, c2, c12, n) -> Column:
-    """``w1 w2 decade<TAB>c1 c2 c12 n``; a unigram row has ``*`` for w2."""
-    key = F.concat_ws(" ", as_column(w1), as_column(w2), as_column(decade).cast("string"))
-    measures = F.concat_ws(" ", *[as_column(m).cast("string") for m in (c1, c2, c12, n)])
+    """``w1 w2 decade<TAB>c1 c2 c12 n``; a unigram row has ``*`` for w2.
+
+    There are always four measures; a missing one is marked.
+    """
+    key = F.concat_ws(" ", as_column(w1), as_column(w2), _number(decade))
+    measures = F.concat_ws(" ", *map(_number, (c1, c2, c12, n)))
     return F.concat_ws("\t", key, measures)
+
+
+def format_totals_line(decade="decade", n="n") -> Column:
+    """``decade n``"""
+    return F.concat_ws(" ", _number(decade), _number(n))

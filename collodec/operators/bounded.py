@@ -2,18 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Rows of a key and a count or two: about 10 MB.
-MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 10 << 20
+#: What a row costs besides its values, about.
+ROW_BYTES = 16
 
 
-def is_bounded(df: DataFrame, rows: int) -> bool:
-    """Whether df has at most ``rows`` rows. Stored tables know it without a scan."""
-    return df.count() <= rows
+def _value_bytes(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        return F.coalesce(F.octet_length(F.col(f"`{field.name}`")), F.lit(0)) + 8
+    if isinstance(field.dataType, T.ArrayType | T.MapType | T.StructType):
+        raise ValueError(f"no size is known for {field.name}")
+    return F.lit(8)
 
 
-def broadcast_if_bounded(df: DataFrame, rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def is_bounded(df: DataFrame, max_bytes: int) -> bool:
+    """Whether the values of df take at most ``max_bytes``, measured."""
+    row = F.lit(ROW_BYTES)
+    for field in df.schema:
+        row = row + _value_bytes(field)
+    return (df.agg(F.sum(row)).first()[0] or 0) <= max_bytes
+
+
+def broadcast_if_bounded(df: DataFrame, max_bytes: int = MAX_BROADCAST_BYTES) -> DataFrame:
     """df with a broadcast hint if it is small enough, else df as it is."""
-    return F.broadcast(df) if is_bounded(df, rows) else df
+    return F.broadcast(df) if is_bounded(df, max_bytes) else df

@@ -64,10 +64,14 @@ def merge_totals(totals: DataFrame) -> DataFrame:
 
 
 def unigram_grouping_sets(words: DataFrame) -> DataFrame:
-    """U and N in one pass: the rows with NULL for w are the decade totals."""
-    return words.groupingSets(
+    """U and N in one table: the rows with NULL for w are the decade totals.
+
+    Words are counted first, so that what is doubled for the second grouping is U and not
+    every occurrence.
+    """
+    return unigram_counts(words).groupingSets(
         [[F.col("decade"), F.col("w")], [F.col("decade")]], F.col("decade"), F.col("w")
-    ).agg(F.sum("occurrences").alias("c"))
+    ).agg(F.sum("c").alias("c"))
 
 
 def sum_measures(pairs: DataFrame) -> DataFrame:

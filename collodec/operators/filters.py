@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import arity
-from .bounded import MAX_BROADCAST_ROWS, broadcast_if_bounded
+from .bounded import MAX_BROADCAST_BYTES, broadcast_if_bounded
 
 
 def filter_arity(ngrams: DataFrame, n: int) -> DataFrame:
@@ -31,7 +31,7 @@ def drop_stop_words(
     df: DataFrame,
     stop_words: DataFrame,
     columns: Sequence[str],
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Rows in which no column is a stop word. ``stop_words`` has one column.
 
@@ -39,7 +39,7 @@ def drop_stop_words(
     counted size allows; a longer one becomes an ordinary anti join.
     """
     (word,) = stop_words.columns
-    stop = broadcast_if_bounded(stop_words, max_broadcast_rows)
+    stop = broadcast_if_bounded(stop_words, max_broadcast_bytes)
     for c in columns:
         df = df.join(stop.withColumnRenamed(word, c), c, "left_anti")
     return df

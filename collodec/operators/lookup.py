@@ -17,7 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bounded import MAX_BROADCAST_ROWS, is_bounded
+from .bounded import MAX_BROADCAST_BYTES, is_bounded
 
 SPLIT = "_split"
 SPLITS = "_splits"
@@ -65,11 +65,11 @@ def lookup_join(
     how: str = "left",
     rows: DataFrame | None = None,
     parts: int | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """df with columns of ``keyed`` added on equal keys.
 
-    keyed   one row per key; it is counted here and its plan runs twice, so it should be
+    keyed   one row per key; it is measured here and its plan runs twice, so it should be
             a stored table
     on      keyed column -> df column
     take    keyed column -> new column
@@ -80,7 +80,7 @@ def lookup_join(
     """
     key = list(on.values())
     values = keyed.select(*_renamed({**on, **take}))
-    if is_bounded(keyed, max_broadcast_rows):
+    if is_bounded(values, max_broadcast_bytes):
         joined = df.join(F.broadcast(values), key, how)
     else:
         hot = hot_keys(df if rows is None else rows, key, parts or shuffle_parts(df))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bounded import MAX_BROADCAST_ROWS
+from .bounded import MAX_BROADCAST_BYTES
 from .lookup import SPLIT, assign_split, hot_keys, lookup_join, repeat_hot, shuffle_parts
 
 
@@ -24,7 +24,7 @@ def attach_first_marginal(
     required: bool = False,
     rows: DataFrame | None = None,
     parts: int | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add c1 = C(w1). A word without a count gives NULL, or no row if required."""
     return lookup_join(
@@ -36,7 +36,7 @@ def attach_first_marginal(
         how=_how(required),
         rows=rows,
         parts=parts,
-        max_broadcast_rows=max_broadcast_rows,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
 
 
@@ -46,7 +46,7 @@ def attach_second_marginal(
     required: bool = False,
     rows: DataFrame | None = None,
     parts: int | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add c2 = C(w2). A word without a count gives NULL, or no row if required."""
     return lookup_join(
@@ -58,7 +58,7 @@ def attach_second_marginal(
         how=_how(required),
         rows=rows,
         parts=parts,
-        max_broadcast_rows=max_broadcast_rows,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
 
 
@@ -67,7 +67,7 @@ def attach_total(
     totals: DataFrame,
     default: int = 1,
     rows: DataFrame | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Add n, the decade's total; ``default`` for a decade that has none.
 
@@ -81,7 +81,7 @@ def attach_total(
         take={"n": "n"},
         spread=["w1", "w2"],
         rows=rows,
-        max_broadcast_rows=max_broadcast_rows,
+        max_broadcast_bytes=max_broadcast_bytes,
     )
     return joined.withColumn("n", F.coalesce("n", F.lit(default).cast("bigint")))
 

@@ -1,4 +1,4 @@
-from .materialize import materialize
-from .pipeline import collocations, run, score_pairs
+from .materialize import Workspace
+from .pipeline import Run, collocations, run, score_pairs
 
-__all__ = ["collocations", "materialize", "run", "score_pairs"]
+__all__ = ["Run", "Workspace", "collocations", "run", "score_pairs"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 from collections.abc import Callable
 from functools import reduce
 
@@ -15,7 +16,7 @@ from ..sources import ngrams as ngram_sources
 from ..sources import tables as sources
 from ..sources import testtables
 from . import pipeline
-from .materialize import materialize, new_table_path, shared_folder
+from .materialize import Workspace, default_folder
 
 ENGLISH_STOP_WORDS = (
     "a an and are as at be by for from in is it of on or that the this to was with"
@@ -26,6 +27,32 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
+_WORKSPACES: dict[str, Workspace] = {}
+
+
+def workspace(spark: SparkSession) -> Workspace:
+    """One per Spark application; deleted when Python ends, if the application still runs."""
+    name = spark.sparkContext.applicationId
+    if name not in _WORKSPACES:
+        _WORKSPACES[name] = Workspace(spark, default_folder(spark))
+        atexit.register(_clear, name)
+    return _WORKSPACES[name]
+
+
+def _clear(name: str) -> None:
+    own = _WORKSPACES.pop(name)
+    if own.spark.sparkContext._jsc is not None:
+        own.close()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    return workspace(df.sparkSession).materialize(df)
+
+
+def new_table_path(spark: SparkSession) -> str:
+    return workspace(spark).new_path()
+
+
 def query(build: Query) -> Query:
     QUERIES[build.__name__] = build
     return build
@@ -106,6 +133,20 @@ def ngram_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.withColumn("n_tokens", F.size(text.ngram_tokens("ngram")))
 
 
+@query
+def ngram_rows_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet rows of which those of one year have no count and those of another no n-gram."""
+    rows = testtables.product_bigrams(spark, sf_dir)
+    year = F.col("year")
+    path = new_table_path(spark)
+    rows.select(
+        F.when(year != 1996, F.col("ngram")).alias("ngram"),
+        "year",
+        F.when(year != 1997, F.col("occurrences")).alias("occurrences"),
+    ).write.parquet(path)
+    return ngram_sources.read_ngrams(spark, path, mode="DROPMALFORMED")
+
+
 @query
 def ngram_fields_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of which those of one year have a bad count and those of another none."""
@@ -349,9 +390,9 @@ def attach_second_marginal(spark: SparkSession, sf_dir: str) -> DataFrame:
 def attach_marginals_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both marginals the way of large unigram tables: shuffled, hot words split."""
     pairs, words = document_pair_table(spark, sf_dir), document_unigram_table(spark, sf_dir)
-    with_first = marginals.attach_first_marginal(pairs, words, max_broadcast_rows=0)
+    with_first = marginals.attach_first_marginal(pairs, words, max_broadcast_bytes=0)
     return marginals.attach_second_marginal(
-        with_first, words, rows=pairs, max_broadcast_rows=0
+        with_first, words, rows=pairs, max_broadcast_bytes=0
     )
 
 
@@ -360,7 +401,7 @@ def attach_total_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The total the way of too many decades to broadcast."""
     words, pairs = document_unigram_table(spark, sf_dir), document_pair_table(spark, sf_dir)
     totals = materialize(counts.decade_totals(words))
-    return marginals.attach_total(pairs, totals, max_broadcast_rows=0)
+    return marginals.attach_total(pairs, totals, max_broadcast_bytes=0)
 
 
 @query
@@ -432,7 +473,9 @@ def _scored(pairs: DataFrame) -> DataFrame:
 
 def product_collocations(spark: SparkSession, sf_dir: str, mode: str = "log") -> DataFrame:
     twos = testtables.product_bigrams(spark, sf_dir)
-    return pipeline.collocations(testtables.words_of(twos), twos, "eng", english_stops(spark), mode)
+    return pipeline.collocations(
+        testtables.words_of(twos), twos, "eng", english_stops(spark), mode, workspace=workspace(spark)
+    )
 
 
 def english_collocations(spark: SparkSession, sf_dir: str, mode: str = "log") -> DataFrame:
@@ -442,6 +485,7 @@ def english_collocations(spark: SparkSession, sf_dir: str, mode: str = "log") ->
         "eng",
         english_stops(spark),
         mode,
+        workspace=workspace(spark),
     )
 
 
@@ -463,6 +507,7 @@ def collocations_heb(spark: SparkSession, sf_dir: str) -> DataFrame:
             testtables.hebrew_bigrams(spark, sf_dir),
             "heb",
             stop_list(spark, HEBREW_STOP_WORDS),
+            workspace=workspace(spark),
         )
     )
 
@@ -506,12 +551,14 @@ def collocations_ieee(spark: SparkSession, sf_dir: str) -> DataFrame:
 def with_position(ordered: DataFrame) -> DataFrame:
     """Number the rows of an ordered DataFrame from 1.
 
-    The order is fixed by a checkpoint. Each row's number is the count of rows in the
-    partitions before its own, one number per partition, plus its place in its own.
+    The order is fixed by storing each row with its partition and its place in it. Its
+    number is the count of rows in the partitions before its own, one number per
+    partition, plus its place in its own.
     """
-    shared_folder(ordered.sparkSession)
-    placed = ordered.checkpoint().select(
-        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id")
+    placed = materialize(
+        ordered.select(
+            "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id")
+        )
     )
     sizes = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("size"), F.min("_id").alias("_first"))
     before = F.sum("size").over(Window.orderBy("_part")) - F.col("size")
@@ -615,24 +662,53 @@ def write_pairs_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sources.read_pairs(spark, path, "text")
 
 
+@query
+def write_pairs_text_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that occur fewer than 2,000 times are taken from the unigrams: NULL for c1."""
+    words, totals, pairs = product_tables(spark, sf_dir)
+    partial = marginals.pair_marginals(pairs, words.where(F.col("c") >= 2000), totals)
+    path = new_table_path(spark)
+    sinks.write_pairs(partial, path, "text")
+    return sources.read_pairs(spark, path, "text")
+
+
+@query
+def write_scores_text_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores as text, NULL where a word occurs fewer than 2,000 times."""
+    words, totals, pairs = product_tables(spark, sf_dir)
+    frequent = words.where(F.col("c") >= 2000)
+    partial = marginals.pair_marginals(pairs, frequent, totals)
+    path = new_table_path(spark)
+    sinks.write_scores(pipeline.score_pairs(partial, frequent, rows=pairs), path, "text")
+    return _scored(sources.read_scores(spark, path, "text"))
+
+
 @query
 def write_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scores written as sorted text, read back as lines."""
+    """Scores written as sorted text, read back."""
     path = new_table_path(spark)
     sinks.write_scores(product_collocations(spark, sf_dir), path, "text", sorted=True)
-    fields = F.split("value", "\tLogLikelihood is: ")
-    return spark.read.text(path).select(
-        fields[0].alias("key"), rounded(fields[1].cast("double")).alias("llr")
-    )
+    return _scored(sources.read_scores(spark, path, "text"))
 
 
 @query
 def run_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole batch from files to files: corpus, stop list file, every stage's table."""
+    twos = testtables.product_bigrams(spark, sf_dir)
+    return _batch(spark, testtables.words_of(twos), twos)
+
+
+@query
+def run_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch over the n-grams of all documents."""
+    ones, twos = testtables.document_unigrams(spark, sf_dir), testtables.document_bigrams(spark, sf_dir)
+    return _batch(spark, ones, twos)
+
+
+def _batch(spark: SparkSession, ones: DataFrame, twos: DataFrame) -> DataFrame:
     root = new_table_path(spark)
     source = ngram_sources.corpus("eng", root=f"{root}/corpus")
-    twos = testtables.product_bigrams(spark, sf_dir)
-    for rows, path in ((testtables.words_of(twos), source.unigrams), (twos, source.bigrams)):
+    for rows, path in ((ones, source.unigrams), (twos, source.bigrams)):
         line = F.concat_ws("\t", *[F.col(c).cast("string") for c in rows.columns])
         rows.select(line).write.text(path)
     english_stops(spark).write.text(f"{root}/stop")

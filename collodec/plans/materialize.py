@@ -1,36 +1,78 @@
-"""Cut lineage in storage that outlives executors."""
+"""Intermediate tables, in storage that outlives executors, and who owns them."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from types import TracebackType
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; in local mode a folder of ours if none is named."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None:
-            if not context.master.startswith("local"):
-                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-            named = tempfile.mkdtemp(prefix="collodec-")
-        context.setCheckpointDir(named)
-    return context.getCheckpointDir()
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) as the cluster knows them."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
-def new_table_path(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/collodec-{uuid.uuid4().hex}"
+def exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """df as a table written to the shared folder and read back.
+def delete(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
 
-    A table and not ``checkpoint()``: it is columnar, so that its readers prune columns,
-    and its size is known when they are planned.
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a job has finished writing the table."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def default_folder(spark: SparkSession) -> str:
+    """The configured checkpoint folder, else one in the session's default file system.
+
+    A cluster shares both; the rule is the same for every master.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    return spark._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///").rstrip("/") + "/tmp/collodec"
+
+
+class Workspace:
+    """A folder of its own for the intermediate tables of some work.
+
+    ``with Workspace(spark, folder) as workspace:`` deletes all of it at the end; what was
+    made from the tables has to be written by then. Every executor has to see ``folder``.
     """
-    path = new_table_path(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    def __init__(self, spark: SparkSession, folder: str):
+        if not folder:
+            raise ValueError("name a folder that all executors share")
+        self.spark = spark
+        self.path = f"{folder.rstrip('/')}/collodec-{uuid.uuid4().hex}"
+
+    def new_path(self) -> str:
+        return f"{self.path}/{uuid.uuid4().hex}"
+
+    def materialize(self, df: DataFrame) -> DataFrame:
+        """df as a table written to the folder and read back.
+
+        A table and not ``checkpoint()``: it is columnar, so that its readers prune
+        columns, and its size is known when they are planned.
+        """
+        path = self.new_path()
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        delete(self.spark, self.path)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(
+        self, kind: type[BaseException] | None, error: BaseException | None, trace: TracebackType | None
+    ) -> None:
+        self.close()

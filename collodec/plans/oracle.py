@@ -202,6 +202,7 @@ ORACLE_SQL: dict[str, str] = {
                   CAST(len(string_split(ngram, ' ')) AS INTEGER) AS n_tokens FROM bi""",
     ),
     "ngram_fields_malformed": _with(PRODUCTS, BIGRAM_ROWS + " WHERE year NOT IN (1996, 1997)"),
+    "ngram_rows_malformed": _with(PRODUCTS, BIGRAM_ROWS + " WHERE year NOT IN (1996, 1997)"),
     "read_ngrams_parquet": _with(PRODUCTS, BIGRAM_ROWS),
     "read_ngrams_text": _with(PRODUCTS, BIGRAM_ROWS),
     "read_ngrams_sequence": _with(PRODUCTS, BIGRAM_ROWS),
@@ -352,9 +353,17 @@ ORACLE_SQL: dict[str, str] = {
     "write_totals_text": _with(TEXTS, TOTALS),
     "write_pairs": _with(PRODUCTS, PARTIAL_PAIRS),
     "write_pairs_text": _with(PRODUCTS, PARTIAL_PAIRS),
-    "write_scores": _with(
+    "write_pairs_text_missing": _with(
         PRODUCTS,
-        f"SELECT w1 || ' ' || w2 || ' ' || decade AS key, {_rounded('llr')} AS llr FROM scored",
+        "SELECT w1, w2, decade, CASE WHEN c1 >= 2000 THEN c1 END AS c1, c12, n FROM counted",
     ),
+    "write_scores_text_missing": _with(
+        PRODUCTS,
+        f"""SELECT w1, w2, decade,
+                   CASE WHEN c1 >= 2000 AND c2 >= 2000 THEN {_rounded('llr')} END AS llr
+            FROM scored""",
+    ),
+    "write_scores": _with(PRODUCTS, f"SELECT w1, w2, decade, {_rounded('llr')} AS llr FROM scored"),
+    "run_documents": _with(TEXTS, SCORES),
     "run_batch": _with(PRODUCTS, SCORES),
 }

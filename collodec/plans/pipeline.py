@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.counts import (
@@ -15,15 +18,17 @@ from ..operators.marginals import attach_second_marginal, pair_marginals
 from ..operators.scores import with_scores
 from ..sinks.tables import (
     RunPaths,
+    write_bigrams,
     write_pairs,
     write_scores,
     write_totals,
     write_unigrams,
 )
 from ..sources.ngrams import Corpus, read_ngrams
-from ..sources.tables import read_pairs, read_totals, read_unigrams
-from .materialize import materialize
+from ..sources.tables import read_bigrams, read_pairs, read_scores, read_totals, read_unigrams
+from .materialize import Workspace, delete, is_complete
 
+RUN_FORMATS = ("parquet", "text")
 SCORE_COLUMNS = ["w1", "w2", "decade", "c1", "c2", "c12", "n", "llr"]
 
 
@@ -46,50 +51,116 @@ def collocations(
     stop_words: DataFrame,
     mode: str = "log",
     required: bool = False,
+    *,
+    workspace: Workspace,
 ) -> DataFrame:
     """Scored pairs per decade of two n-gram tables.
 
-    The counts are written to the shared folder once, as several parts of the plan read
-    them: the unigram counts for c1, c2 and n, the pair counts for the joins and for
-    finding their hot words. The n-gram rows are read once, and losing executors later
-    on does not bring them back.
+    The counts are written to the workspace once, as several parts of the plan read them:
+    the unigram counts for c1, c2 and n, the pair counts for the joins and for finding
+    their hot words. The n-gram rows are read once, and losing executors later on does not
+    bring them back. The workspace has to stay until the result is used.
     """
-    words = materialize(unigram_counts(prepare_unigrams(unigrams, language, stop_words)))
-    totals = materialize(decade_totals(words))
-    counted = materialize(bigram_counts(prepare_bigrams(bigrams, language, stop_words)))
+    keep = workspace.materialize
+    words = keep(unigram_counts(prepare_unigrams(unigrams, language, stop_words)))
+    totals = keep(decade_totals(words))
+    counted = keep(bigram_counts(prepare_bigrams(bigrams, language, stop_words)))
     partial = pair_marginals(counted, words, totals, required)
     return score_pairs(partial, words, mode, required, rows=counted)
 
 
+@dataclass(frozen=True)
+class Run:
+    """One batch: its input, its options, and the tables that its stages leave.
+
+    Each stage reads the stored tables of those before it and can be called alone, also by
+    another session.
+
+    fmt         of the n-grams, parquet or text (sequence files: ``convert_ngrams`` first)
+    stage_fmt   of the unigram counts, the totals and the pairs; the pair counts, which no
+                other job reads, are parquet
+    required    drop pairs of which a word has no count
+    """
+
+    spark: SparkSession
+    source: Corpus
+    stop_words: DataFrame
+    paths: RunPaths
+    fmt: str = "parquet"
+    parse_mode: str = "FAILFAST"
+    score_mode: str = "log"
+    score_fmt: str = "parquet"
+    sorted: bool = False
+    required: bool = False
+    stage_fmt: str = "parquet"
+
+    def __post_init__(self) -> None:
+        if self.fmt not in RUN_FORMATS:
+            raise ValueError(f"a run reads {RUN_FORMATS}; convert {self.fmt!r} first")
+
+    def unigrams(self) -> DataFrame:
+        return read_unigrams(self.spark, self.paths.unigrams, self.stage_fmt)
+
+    def count_words(self) -> None:
+        """Stage 1: the unigram counts and the decade totals."""
+        rows = read_ngrams(self.spark, self.source.unigrams, self.fmt, self.parse_mode)
+        words = unigram_counts(prepare_unigrams(rows, self.source.language, self.stop_words))
+        write_unigrams(words, self.paths.unigrams, self.stage_fmt)
+        write_totals(decade_totals(self.unigrams()), self.paths.totals, self.stage_fmt)
+
+    def count_pairs(self) -> None:
+        """Stage 2: the pair counts, and with c1 and n."""
+        rows = read_ngrams(self.spark, self.source.bigrams, self.fmt, self.parse_mode)
+        counted = bigram_counts(prepare_bigrams(rows, self.source.language, self.stop_words))
+        write_bigrams(counted, self.paths.bigrams)
+        stored = read_bigrams(self.spark, self.paths.bigrams)
+        totals = read_totals(self.spark, self.paths.totals, self.stage_fmt)
+        pairs = pair_marginals(stored, self.unigrams(), totals, self.required)
+        # Stage 3 reads all of them once: no exchange for a layout.
+        write_pairs(pairs, self.paths.pairs, self.stage_fmt, by_decade=False)
+
+    def score(self) -> None:
+        """Stage 3: c2 and the scores."""
+        pairs = read_pairs(self.spark, self.paths.pairs, self.stage_fmt)
+        stored = read_bigrams(self.spark, self.paths.bigrams)
+        scores = score_pairs(pairs, self.unigrams(), self.score_mode, self.required, rows=stored)
+        write_scores(scores, self.paths.scores, self.score_fmt, self.sorted)
+
+    def stages(self) -> list[tuple[Callable[[], None], list[str]]]:
+        """Each stage and what it writes."""
+        return [
+            (self.count_words, [self.paths.unigrams, self.paths.totals]),
+            (self.count_pairs, [self.paths.bigrams, self.paths.pairs]),
+            (self.score, [self.paths.scores]),
+        ]
+
+    def all(self, resume: bool = False) -> DataFrame:
+        """All stages; the scores, read back (as text: without the counts).
+
+        ``resume`` skips the stages whose tables are complete, and does the first one that
+        is not, and all behind it, anew. Without it an existing table fails the run.
+        """
+        for stage, tables in self.stages():
+            if resume and all(is_complete(self.spark, t) for t in tables):
+                continue
+            if resume:
+                for table in tables:
+                    delete(self.spark, table)
+            stage()
+        return read_scores(self.spark, self.paths.scores, self.score_fmt)
+
+
 def run(
     spark: SparkSession,
     source: Corpus,
     stop_words: DataFrame,
     paths: RunPaths,
-    fmt: str = "parquet",
-    parse_mode: str = "FAILFAST",
-    score_mode: str = "log",
-    score_fmt: str = "parquet",
-    sorted: bool = False,
+    *,
+    resume: bool = False,
+    **options,
 ) -> DataFrame:
-    """The whole batch with every stage's table kept under ``paths``.
+    """The whole batch with every stage's table kept under ``paths``; options as in ``Run``.
 
-    Each stage reads the tables of those before it, so a failed run costs one stage.
-    Returns the scores, read back if they are parquet.
+    A failed run costs the stage that failed: call it again with ``resume``.
     """
-    ones = read_ngrams(spark, source.unigrams, fmt, parse_mode)
-    write_unigrams(
-        unigram_counts(prepare_unigrams(ones, source.language, stop_words)), paths.unigrams
-    )
-    words = read_unigrams(spark, paths.unigrams)
-
-    write_totals(decade_totals(words), paths.totals)
-    totals = read_totals(spark, paths.totals)
-
-    twos = read_ngrams(spark, source.bigrams, fmt, parse_mode)
-    counted = materialize(bigram_counts(prepare_bigrams(twos, source.language, stop_words)))
-    write_pairs(pair_marginals(counted, words, totals), paths.pairs)
-
-    scores = score_pairs(read_pairs(spark, paths.pairs), words, score_mode)
-    write_scores(scores, paths.scores, score_fmt, sorted)
-    return spark.read.schema(scores.schema).parquet(paths.scores) if score_fmt == "parquet" else scores
+    return Run(spark, source, stop_words, paths, **options).all(resume)

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import format_measures_line, format_score_line
+from ..functions.text import format_measures_line, format_score_line, format_totals_line
 from ..operators.ordering import output_order
 
 
@@ -39,6 +39,10 @@ class RunPaths:
     def totals(self) -> str:
         return self._path("totals")
 
+    @property
+    def bigrams(self) -> str:
+        return self._path("bigrams")
+
     @property
     def pairs(self) -> str:
         return self._path("pairs")
@@ -72,14 +76,25 @@ def write_totals(totals: DataFrame, path: str, fmt: str = "parquet") -> None:
     _check_format(fmt)
     if fmt == "parquet":
         return totals.write.parquet(path)
-    totals.select(F.concat_ws(" ", F.col("decade").cast("string"), F.col("n").cast("string"))).write.text(path)
+    totals.select(format_totals_line()).write.text(path)
+
 
+def write_bigrams(bigrams: DataFrame, path: str) -> None:
+    """B, as its aggregation leaves it: it is read once more per word, each time in full."""
+    bigrams.write.parquet(path)
 
-def write_pairs(pairs: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Pairs with c1, c12 and n; as text ``w1 w2 decade<TAB>c1 0 c12 n``."""
+
+def write_pairs(
+    pairs: DataFrame, path: str, fmt: str = "parquet", by_decade: bool = True
+) -> None:
+    """Pairs with c1, c12 and n; as text ``w1 w2 decade<TAB>c1 0 c12 n``.
+
+    Laying parquet out by decade costs an exchange of all pairs, for readers of some
+    decades; who reads all of them once does without.
+    """
     _check_format(fmt)
     if fmt == "parquet":
-        return _write_by_decade(pairs, path)
+        return _write_by_decade(pairs, path) if by_decade else pairs.write.parquet(path)
     line = format_measures_line("w1", "w2", "decade", "c1", F.lit(0), "c12", "n")
     pairs.select(line).write.text(path)
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_rule
+from .strict import PARSE_MODES, check_mode, read_named
 
 NGRAM_SCHEMA = T.StructType(
     [
@@ -19,7 +20,6 @@ NGRAM_SCHEMA = T.StructType(
 )
 
 FORMATS = ("parquet", "text", "sequence")
-PARSE_MODES = ("FAILFAST", "DROPMALFORMED")
 
 # The folder of each language's collection in the public book n-gram release.
 COLLECTIONS = {"eng": "eng-us-all", "heb": "heb-all"}
@@ -71,8 +71,7 @@ def parse_ngram_line(lines: DataFrame, mode: str = "FAILFAST") -> DataFrame:
     The fields come out of a generator, because filters are not pushed below one: below a
     plain projection each use of ``ngram`` in a filter would split the line once more.
     """
-    if mode not in PARSE_MODES:
-        raise ValueError(f"unknown mode {mode!r}; known: {PARSE_MODES}")
+    check_mode(mode)
     (line,) = lines.columns
     split = lines.select(F.split(line, "\t").alias("_fields"))
     rows = split.select(F.inline(F.array(F.struct(*_typed_fields(mode)))))
@@ -84,13 +83,15 @@ def read_ngrams(
 ) -> DataFrame:
     """Read n-gram rows.
 
-    ``parquet`` has the three columns of NGRAM_SCHEMA, ``text`` and ``sequence`` hold
-    tab-separated lines; in a sequence file they are the Text values. Spark has no
-    DataFrame reader for sequence files, so that format passes through Python workers:
-    to read a corpus more than once, write it to parquet first.
+    ``parquet`` has the three columns of NGRAM_SCHEMA, found by name; ``text`` and
+    ``sequence`` hold tab-separated lines, in a sequence file as the Text values. In all of
+    them ``mode`` says what becomes of a row with a field missing. Spark has no DataFrame
+    reader for sequence files, so that format passes through Python workers row by row:
+    ``convert_ngrams`` writes such a corpus to parquet once.
     """
+    check_mode(mode)
     if fmt == "parquet":
-        return spark.read.schema(NGRAM_SCHEMA).parquet(path)
+        return read_named(spark, path, NGRAM_SCHEMA, mode)
     if fmt == "text":
         return parse_ngram_line(spark.read.text(path), mode)
     if fmt == "sequence":
@@ -100,3 +101,10 @@ def read_ngrams(
         lines = spark.createDataFrame(records.values(), "string", verifySchema=False)
         return parse_ngram_line(lines, mode)
     raise ValueError(f"unknown format {fmt!r}; known: {FORMATS}")
+
+
+def convert_ngrams(
+    spark: SparkSession, source: str, target: str, fmt: str = "sequence", mode: str = "FAILFAST"
+) -> None:
+    """One pass over a corpus of any format to the parquet form."""
+    read_ngrams(spark, source, fmt, mode).write.parquet(target)

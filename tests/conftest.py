@@ -25,6 +25,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture
+def workspace(spark, tmp_path):
+    from collodec import Workspace
+
+    with Workspace(spark, str(tmp_path / "tables")) as own:
+        yield own
+    assert not os.listdir(tmp_path / "tables")
+
+
 @pytest.fixture
 def ngrams(spark):
     def build(rows):

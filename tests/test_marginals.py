@@ -55,7 +55,7 @@ def shuffled(request, spark):
     """Lookups beyond the broadcast bound; Spark may still choose one, or may not."""
     if request.param == "shuffled":
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield {"max_broadcast_rows": 0}
+    yield {"max_broadcast_bytes": 0}
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
@@ -111,12 +111,12 @@ def test_hot_list_is_bounded(spark, sizes):
     assert set(splits) == {f"w{i}" for i, size in enumerate(sizes) if size > fair}
 
 
-@pytest.mark.parametrize("max_broadcast_rows", [100, 1, 0])
-def test_total_with_default(spark, max_broadcast_rows):
+@pytest.mark.parametrize("max_broadcast_bytes", [1000, 1, 0])
+def test_total_with_default(spark, max_broadcast_bytes):
     pairs = [("a", "b", 1800, 1), ("a", "c", 1810, 1), ("a", "b", 1820, 1)]
     totals = spark.createDataFrame([(1800, 50), (1810, 7)], "decade int, n bigint")
     got = attach_total(
-        spark.createDataFrame(pairs, PAIRS), totals, max_broadcast_rows=max_broadcast_rows
+        spark.createDataFrame(pairs, PAIRS), totals, max_broadcast_bytes=max_broadcast_bytes
     )
     assert [r[4] for r in sorted_rows(got)] == [50, 1, 7]
 

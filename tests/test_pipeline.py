@@ -1,11 +1,13 @@
 import math
+import os
 import random
 from collections import Counter
 
 import pytest
 
 from collodec import __main__ as job
-from collodec import RunPaths, collocations, corpus, read_ngrams, read_stop_words, run
+from collodec import convert as conversion
+from collodec import Run, RunPaths, Workspace, collocations, corpus, read_ngrams, read_stop_words, run
 from collodec.operators import (
     bigram_counts,
     key_order,
@@ -17,8 +19,10 @@ from collodec.operators import (
 )
 from collodec.plans import catalogue
 from collodec.plans.catalogue import with_position
+from collodec.plans.materialize import default_folder
 from collodec.sinks import write_pairs, write_scores, write_totals, write_unigrams
 from collodec.sources import parse_ngram_line, read_pairs, read_totals, read_unigrams
+from collodec.sources.tables import read_scores
 
 from conftest import rows_of
 
@@ -102,15 +106,15 @@ def nothing_is_small(spark, monkeypatch):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-def test_collocations_against_brute_force(spark, ngrams, stop_words, seed):
+def test_collocations_against_brute_force(spark, ngrams, stop_words, workspace, seed):
     ones, twos = random_tables(seed)
-    got = collocations(ngrams(ones).repartition(5), ngrams(twos), "eng", stop_words)
+    got = collocations(ngrams(ones).repartition(5), ngrams(twos), "eng", stop_words, workspace=workspace)
     assert_same(as_dict(got), brute_force(ones, twos, {"the", "cant"}))
 
 
-def test_collocations_of_large_tables(spark, ngrams, stop_words, nothing_is_small):
+def test_collocations_of_large_tables(spark, ngrams, stop_words, workspace, nothing_is_small):
     ones, twos = random_tables(3)
-    got = collocations(ngrams(ones), ngrams(twos).repartition(5), "eng", stop_words)
+    got = collocations(ngrams(ones), ngrams(twos).repartition(5), "eng", stop_words, workspace=workspace)
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert_same(as_dict(got), brute_force(ones, twos, {"the", "cant"}))
     assert "Python" not in plan and "ArrowEval" not in plan
@@ -152,24 +156,80 @@ def write_sequence(spark, rows, path):
     )
 
 
-@pytest.mark.parametrize("score_fmt", ["parquet", "text"])
-def test_run_from_files(spark, tmp_path, score_fmt):
-    ones, twos = random_tables(4)
+def small_corpus(spark, tmp_path, seed):
+    ones, twos = random_tables(seed)
     source = corpus("eng", root=str(tmp_path / "corpus"))
     write_lines(spark, [x + "\t9\t9" for x in lines(ones)], source.unigrams)
     write_lines(spark, lines(twos), source.bigrams)
     write_lines(spark, ["the", "cant"], str(tmp_path / "stop"))
     stop = read_stop_words(spark, str(tmp_path / "stop"))
+    return source, stop, brute_force(ones, twos, {"the", "cant"})
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "text"])
+def test_run_from_files(spark, tmp_path, fmt):
+    source, stop, expected = small_corpus(spark, tmp_path, 4)
     paths = RunPaths(str(tmp_path / "out"))
-    got = run(spark, source, stop, paths, fmt="text", score_fmt=score_fmt, sorted=True)
-    expected = brute_force(ones, twos, {"the", "cant"})
-    assert_same(as_dict(got), expected)
-    if score_fmt == "text":
+    got = run(spark, source, stop, paths, fmt="text", score_fmt=fmt, stage_fmt=fmt, sorted=True)
+    if fmt == "parquet":
+        assert_same(as_dict(got), expected)
+    else:
         written = [r.value for r in spark.read.text(paths.scores).collect()]
         keys = [tuple(x.split("\t")[0].split(" ")) for x in written]
         ordered = sorted(keys, key=lambda k: (int(k[2]), k[1], k[0]))
         assert keys == ordered and len(keys) == len(expected)
-    assert read_totals(spark, paths.totals).count() == len({k[2] for k in expected})
+        for r in got.collect():
+            assert r.llr == pytest.approx(expected[r.w1, r.w2, r.decade][4], abs=1e-8)
+    totals = read_totals(spark, paths.totals, fmt)
+    assert totals.count() == len({k[2] for k in expected})
+    assert sorted(os.listdir(tmp_path / "out" / paths.run_id)) == [
+        "bigrams", "pairs", "scores", "totals", "unigrams",
+    ]
+
+
+def test_run_goes_on(spark, tmp_path):
+    """Stages one by one; what is complete is not written again, what is not is."""
+    source, stop, expected = small_corpus(spark, tmp_path, 5)
+    paths = RunPaths(str(tmp_path / "out"), "r")
+    first = Run(spark, source, stop, paths, fmt="text")
+    first.count_words()
+    first.count_pairs()
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        first.all()
+    os.remove(tmp_path / "out" / "r" / "pairs" / "_SUCCESS")
+    before = sorted(os.listdir(tmp_path / "out" / "r" / "unigrams" / "decade=1800"))
+    again = run(spark, source, stop, paths, fmt="text", resume=True)
+    assert sorted(os.listdir(tmp_path / "out" / "r" / "unigrams" / "decade=1800")) == before
+    assert_same(as_dict(again), expected)
+    with pytest.raises(ValueError, match="convert"):
+        Run(spark, source, stop, paths, fmt="sequence")
+
+
+def test_required_in_a_run(spark, tmp_path):
+    """Pairs of a word that the unigrams lack."""
+    source = corpus("eng", root=str(tmp_path / "corpus"))
+    write_lines(spark, ["a\t1801\t5", "b\t1801\t4"], source.unigrams)
+    write_lines(spark, ["a b\t1801\t2", "a c\t1801\t1"], source.bigrams)
+    write_lines(spark, ["x"], str(tmp_path / "stop"))
+    stop = read_stop_words(spark, str(tmp_path / "stop"))
+    for required, words in ((False, ["b", "c"]), (True, ["b"])):
+        paths = RunPaths(str(tmp_path / "out"))
+        got = run(spark, source, stop, paths, fmt="text", required=required, stage_fmt="text")
+        assert sorted(r.w2 for r in got.collect()) == words
+
+
+def test_run_reads_in_the_jvm(spark, tmp_path):
+    """The default way of the job has no Python node, and its pairs cross one exchange per word."""
+    source, stop, _ = small_corpus(spark, tmp_path, 6)
+    paths = RunPaths(str(tmp_path / "out"))
+    batch = Run(spark, source, stop, paths, fmt="text")
+    batch.count_words()
+    batch.count_pairs()
+    rows = read_ngrams(spark, source.bigrams, "text")
+    for df in (rows, read_pairs(spark, paths.pairs)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "ArrowEval" not in plan and "Scan ExistingRDD" not in plan
+    assert not [p for p in os.listdir(tmp_path / "out" / paths.run_id / "pairs") if "decade=" in p]
 
 
 def test_job(spark, tmp_path):
@@ -177,11 +237,13 @@ def test_job(spark, tmp_path):
     ones = [("שָׁלוֹם", 1801, 9), ("רב", 1802, 5), ("של", 1803, 7), ("x", 1803, 7)]
     twos = [("שָׁלוֹם רב", 1801, 4), ("של רב", 1801, 1)]
     source = corpus("heb", root=str(tmp_path / "corpus"))
-    write_sequence(spark, ones, source.unigrams)
-    write_sequence(spark, twos, source.bigrams)
+    for rows, target in ((ones, source.unigrams), (twos, source.bigrams)):
+        write_sequence(spark, rows, target + "-sequence")
+        conversion.main([target + "-sequence", target])
     write_lines(spark, ["של"], str(tmp_path / "stop"))
     arguments = ["heb", "--corpus", str(tmp_path / "corpus"), "--stop-words", str(tmp_path / "stop")]
-    paths = job.main([*arguments, "--output", str(tmp_path / "out"), "--run-id", "r1"])
+    arguments += ["--output", str(tmp_path / "out"), "--run-id", "r1"]
+    paths = job.main(arguments)
     (line,) = [r.value for r in spark.read.text(paths.scores).collect()]
     key, score = line.split("\tLogLikelihood is: ")
     assert key == "שלום רב 1800"
@@ -189,17 +251,38 @@ def test_job(spark, tmp_path):
     expected = 5 * math.log(5 / 14) + 9 * math.log(9 / 14)
     expected -= 4 * math.log(4 / 9) + 5 * math.log(5 / 9) + math.log(1 / 5) + 4 * math.log(4 / 5)
     assert float(score) == pytest.approx(expected)
+    job.main([*arguments, "--resume"])
     with pytest.raises(SystemExit):
         job.main(["lat", "--stop-words", "x", "--output", "y"])
 
 
+def test_workspaces(spark, tmp_path):
+    with Workspace(spark, str(tmp_path)) as own:
+        table = own.materialize(spark.range(3))
+        assert table.count() == 3 and os.listdir(tmp_path)
+    assert not os.listdir(tmp_path)
+    with pytest.raises(ValueError, match="name a folder"):
+        Workspace(spark, "")
+
+
+def test_folder_where_none_is_configured(spark):
+    """The same rule for every master: the session's default file system."""
+
+    class Unconfigured:
+        conf = type("conf", (), {"get": staticmethod(lambda name, default=None: default)})
+        _jsc = spark._jsc
+
+    assert default_folder(Unconfigured).endswith("/tmp/collodec")
+    assert default_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
 @pytest.mark.parametrize("seed", [7])
-def test_partitions_and_input_order_do_not_matter(spark, ngrams, stop_words, seed):
+def test_partitions_and_input_order_do_not_matter(spark, ngrams, stop_words, workspace, seed):
     ones, twos = random_tables(seed)
-    one_way = collocations(ngrams(ones).coalesce(1), ngrams(twos).coalesce(1), "eng", stop_words)
+    one_way = collocations(ngrams(ones).coalesce(1), ngrams(twos).coalesce(1), "eng", stop_words, workspace=workspace)
     random.Random(seed).shuffle(ones)
     random.Random(seed).shuffle(twos)
-    other = collocations(ngrams(ones).repartition(7), ngrams(twos).repartition(3), "eng", stop_words)
+    other = collocations(ngrams(ones).repartition(7), ngrams(twos).repartition(3), "eng", stop_words, workspace=workspace)
     assert as_dict(one_way) == as_dict(other)
 
 
@@ -253,6 +336,51 @@ def test_lines_are_split_once(spark, stop_words):
     assert pairs._jdf.queryExecution().executedPlan().toString().count("split(") == 1
 
 
+def test_parquet_columns_by_name(spark, tmp_path, ngrams):
+    """Other orders and types are cast; a missing column fails, a NULL as the mode says."""
+    path = str(tmp_path / "odd")
+    spark.sql("SELECT 7 AS occurrences, 'god' AS ngram, '1801' AS year").write.parquet(path)
+    assert rows_of(read_ngrams(spark, path)) == [("god", 1801, 7)]
+    for column in ("ngram", "year", "occurrences"):
+        missing = str(tmp_path / column)
+        ngrams([("god", 1801, 1)]).drop(column).write.parquet(missing)
+        with pytest.raises(Exception, match=column):
+            read_ngrams(spark, missing).collect()
+    path = str(tmp_path / "nulls")
+    ngrams([("god", 1801, None), ("end", 1802, 2)]).write.parquet(path)
+    assert rows_of(read_ngrams(spark, path, mode="DROPMALFORMED")) == [("end", 1802, 2)]
+    with pytest.raises(Exception, match="missing value of occurrences"):
+        read_ngrams(spark, path).collect()
+    with pytest.raises(ValueError, match="unknown mode"):
+        read_ngrams(spark, path, mode="PERMISSIVE")
+
+
+def test_text_with_missing_numbers(spark, tmp_path):
+    """NULL is marked and comes back; a line with three measures fails."""
+    p = spark.createDataFrame(
+        [("a", "b", 1800, None, 2, 8), ("a", "c", 1800, 5, 2, None)],
+        "w1 string, w2 string, decade int, c1 bigint, c12 bigint, n bigint",
+    )
+    write_pairs(p, str(tmp_path / "p"), "text")
+    got = {tuple(r) for r in read_pairs(spark, str(tmp_path / "p"), "text").select(*p.columns).collect()}
+    assert got == {tuple(r) for r in p.collect()}
+    s = spark.createDataFrame([("a", "b", 1800, None)], "w1 string, w2 string, decade int, llr double")
+    write_scores(s, str(tmp_path / "s"), "text")
+    assert spark.read.text(str(tmp_path / "s")).first()[0] == "a b 1800\tLogLikelihood is: \\N"
+    assert read_scores(spark, str(tmp_path / "s"), "text").first().llr is None
+    for bad in ("a b 1800\t1 2 3", "a b\t1 2 3 4", "a b 1800"):
+        write_lines(spark, [bad], str(tmp_path / f"bad{len(bad)}"))
+        with pytest.raises(Exception, match="malformed line"):
+            read_pairs(spark, str(tmp_path / f"bad{len(bad)}"), "text").collect()
+
+
+def test_totals_in_odd_lines(spark, tmp_path):
+    write_lines(spark, ["1800 5", "1810", "x y", "1820 7 8"], str(tmp_path / "n"))
+    assert rows_of(read_totals(spark, str(tmp_path / "n"), "text", "DROPMALFORMED")) == [(1800, 5)]
+    with pytest.raises(Exception, match="malformed line|CAST_INVALID_INPUT"):
+        read_totals(spark, str(tmp_path / "n"), "text").collect()
+
+
 @pytest.mark.parametrize("fmt", ["parquet", "text"])
 def test_round_trips(spark, tmp_path, fmt):
     u = spark.createDataFrame([("a", 1800, 5), ("b", 1810, 3)], "w string, decade int, c bigint")

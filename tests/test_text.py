@@ -80,10 +80,13 @@ def test_tokens_and_arity(spark):
         last_token("g").alias("last"),
     ).collect()
     for r in rows:
-        assert r.tokens == r.g.rstrip(" ").split(" ")
+        # Only spaces are no token at all.
+        only_spaces = r.g != "" and not r.g.strip(" ")
+        assert r.tokens == ([] if only_spaces else r.g.rstrip(" ").split(" "))
         assert r.arity == len(r.tokens)
-        assert r.first == r.tokens[0]
-        assert r.last == r.tokens[-1]
+        if r.tokens:
+            assert r.first == r.tokens[0]
+            assert r.last == r.tokens[-1]
 
 
 def test_decade_truncates(spark):
@@ -94,10 +97,10 @@ def test_decade_truncates(spark):
 
 def test_lines(spark):
     df = spark.createDataFrame(
-        [("thanke", "god", 1610, -5.5718890356207975)], "w1 string, w2 string, decade int, llr double"
+        [("salt", "wind", 1730, -12.25)], "w1 string, w2 string, decade int, llr double"
     )
     line = df.select(format_score_line()).first()[0]
-    assert line == "thanke god 1610\tLogLikelihood is: -5.5718890356207975"
+    assert line == "salt wind 1730\tLogLikelihood is: -12.25"
     numbers = [F.lit(i) for i in (7, 0, 3, 900)]
     line = df.select(format_measures_line("w1", "w2", "decade", *numbers)).first()[0]
-    assert line == "thanke god 1610\t7 0 3 900"
+    assert line == "salt wind 1730\t7 0 3 900"
