@@ -14,11 +14,12 @@ map of fixed size, made of the tokens that are frequent within the parts of the
 frequent tokens than the map can tell apart make more tokens count as frequent, never a
 wrong result.
 
-Keys are exchanged as rows, in the order of key and node, and read as a stream: a hot key
-needs no memory. First each node of a key is compared with the key's first node; what is
-similar is joined to components. Then only pairs of different components are left, and
-those are compared that share enough of their prefixes. Nodes that are known to be connected
-are never paired, so copies and near copies, however many, cost one comparison each and key.
+Keys are exchanged as rows and read as a sorted stream: a hot key needs no memory. In two
+rounds each node of a key is compared with one node of the key, first with the one that
+shares most keys, then with others; what is similar is joined to components. Then only pairs
+of different components are left, and those are compared that share enough of their
+prefixes. Nodes known to be connected are not paired, so copies and near copies, however
+many, cost one comparison each and key.
 
 Similarity is verified on the whole sets of hashes. The union of the links is all that is
 kept of them: components, not pairs.
@@ -45,7 +46,7 @@ from .components import components
 WORDS = 5
 PERCENT = 80
 #: Times that a token occurs in a part of the corpus to be told of, and in all told of to be frequent.
-LOCAL, FREQUENT = 3, 32
+LOCAL, FREQUENT = 2, 10
 #: Tokens per part for counting.
 PART_TOKENS = 4_000_000
 #: Tokens of a set per sub-class of frequent tokens, about.
@@ -93,6 +94,11 @@ def least_overlap(n: np.ndarray | int):
     return (PERCENT * n + 99) // 100
 
 
+def least_shared(n):
+    """Tokens that two similar sets share at least, by the sum of their sizes."""
+    return (PERCENT * n + 99 + PERCENT) // (100 + PERCENT)
+
+
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of two kinds: documents with their nodes, and tokens frequent in this part."""
     tokens: list[np.ndarray] = []
@@ -157,7 +163,11 @@ def keys_of(tokens: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.nd
 
 
 def _postings(batches: Iterator[pa.RecordBatch], frequent: BitMap) -> Iterator[pa.RecordBatch]:
-    """key, node, n and whether the node has keys of pairs; each node of a batch once."""
+    """key, node and its sizes; each node of a batch once.
+
+    The lowest bit of a key says that it is a single token; the sizes are tokens of the set
+    and, in the low half, those among its keys.
+    """
     for batch in as_batches(batches):
         sets = token_sets(batch.column("text"))
         nodes = np.array([node_of(s) if len(s) else 0 for s in sets], np.int64)
@@ -166,63 +176,72 @@ def _postings(batches: Iterator[pa.RecordBatch], frequent: BitMap) -> Iterator[p
         if not once:
             continue
         flags = frequent.of(np.concatenate([sets[i] for i in once]))
-        keys, counts, paired, at = [], [], [], 0
+        keys, counts, sizes, at = [], [], [], 0
         for i in once:
             singles, pairs = keys_of(sets[i], flags[at : at + len(sets[i])])
             at += len(sets[i])
-            keys += [singles, pairs]
+            keys += [singles | np.uint64(1), pairs & ~np.uint64(1)]
             counts.append(len(singles) + len(pairs))
-            paired.append(len(pairs) > 0)
-        size = np.array([len(sets[i]) for i in once], np.int32)
+            sizes.append((len(sets[i]) << 32) | len(singles))
         columns = [
             pa.array(joined(keys, np.uint64).view(np.int64)),
             pa.array(np.repeat(nodes[once], counts)),
-            pa.array(np.repeat(size, counts)),
-            pa.array(np.repeat(np.array(paired), counts)),
+            pa.array(np.repeat(np.array(sizes, np.int64), counts)),
         ]
-        yield pa.RecordBatch.from_arrays(columns, ["key", "node", "n", "paired"])
+        yield pa.RecordBatch.from_arrays(columns, ["key", "node", "sizes"])
 
 
-POSTING = "key long, node long, n int, paired boolean"
+POSTING = "key long, node long, sizes long"
 
 
 def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by key and node: those of keys with several nodes, once, with the first node."""
-    names = ["key", "node", "n", "paired", "first", "first_n"]
-    held: tuple | None = None  # the first row of the last key, whether it was given out, the last node
+    """Of rows sorted by key and node: each node once, of keys that have several."""
+    names = ["key", "node", "sizes"]
+    held: tuple | None = None  # the last row of another node, and whether it was given out
+    given = False
     for batch in batches:
         if not batch.num_rows:
             continue
-        key, node, n, paired = (batch.column(c).to_numpy(zero_copy_only=False) for c in names[:4])
-        if held is not None:  # the held first row stands in front
-            key, node, n, paired = (np.insert(a, 0, h) for a, h in zip((key, node, n, paired), held[0], strict=True))
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in names]
+        if held is not None:
+            columns = [np.insert(c, 0, h) for c, h in zip(columns, held, strict=True)]
+        key, node = columns[:2]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        if held is not None and len(key) > 1:
-            new[1] = (key[1] != key[0]) | (node[1] != held[2])
-        last_node = node[-1]
-        key, node, n, paired = (a[new] for a in (key, node, n, paired))
-        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-        size = np.diff(np.append(start, len(key)))
-        first = np.repeat(start, size)
-        keep = np.repeat(size > 1, size)
-        given = held is not None and held[1]
-        if given:
+        columns = [c[new] for c in columns]
+        key = columns[0]
+        same = key[1:] == key[:-1]
+        keep = np.zeros(len(key), bool)
+        keep[1:] |= same
+        keep[:-1] |= same
+        if held is not None and given:
             keep[0] = False
-            keep[1 : size[0]] = True
-        out = np.flatnonzero(keep)
-        at = start[-1]
-        again = bool(keep[at]) or (given and at == 0)
-        held = ((key[at], node[at], n[at], paired[at]), again, last_node)
-        if len(out):
-            rows = [key[out], node[out], n[out], paired[out], node[first[out]], n[first[out]]]
-            yield pa.RecordBatch.from_arrays(list(map(pa.array, rows)), names)
+        last_given = bool(keep[-1]) or (len(key) == 1 and held is not None and given)
+        held, given = tuple(c[-1] for c in columns), last_given
+        if keep.any():
+            yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names)
 
 
-def _similar_size(a: str, b: str):
-    """No set of one size is similar to one of the other size beyond this."""
-    small, large = F.least(a, b).cast("long"), F.greatest(a, b).cast("long")
-    return 100 * small >= PERCENT * large
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by key: the key's first node with each that may be similar and is not
+    known to be connected with it."""
+    held: tuple | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(c).to_numpy() for c in ("key", "node", "n", "most", "component")]
+        if held is not None:
+            columns = [np.insert(c, 0, h) for c, h in zip(columns, held, strict=True)]
+        key, node, n, most, component = columns
+        start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+        first = np.repeat(start, np.diff(np.append(start, len(key))))
+        least = np.maximum(least_shared(n + n[first]), least_overlap(np.maximum(n, n[first])))
+        out = (component != component[first]) & (np.minimum(most, most[first]) >= least)
+        held = tuple(c[start[-1]] for c in columns)
+        if out.any():
+            a, b = np.minimum(node, node[first])[out], np.maximum(node, node[first])[out]
+            once = np.unique(np.stack((a, b), 1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(once[:, 0]), pa.array(once[:, 1])], ["a", "b"])
 
 
 def _candidate_sets(batches: Iterator[pa.RecordBatch], wanted: BitMap) -> Iterator[pa.RecordBatch]:
@@ -259,43 +278,61 @@ def verify(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return stored(both.mapInArrow(_verified, "a long, b long"))
 
 
-def links(docs: DataFrame, frequent: BitMap) -> DataFrame | None:
-    """Links (a, b) between nodes that connect all similar nodes; None if there is none."""
+def links(docs: DataFrame, frequent: BitMap) -> DataFrame:
+    """Links (a, b) between nodes that connect all similar nodes."""
     spark = docs.sparkSession
     postings = texts(docs).mapInArrow(lambda b: _postings(b, frequent), POSTING)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = postings.repartition(n, "key").sortWithinPartitions("key", "node")
-    keys = stored(sorted_.mapInArrow(_shared_keys, f"{POSTING}, first long, first_n int"))
-    stars = keys.where((F.col("node") != F.col("first")) & _similar_size("n", "first_n"))
-    found = verify(docs, stars.select(F.col("first").alias("a"), F.col("node").alias("b")))
-    labels = components(found)
-    # What is left: nodes of one key in different components.
-    labelled = keys.join(labels, "node", "left").select(
-        "key", "node", "n", "paired", F.coalesce("component", "node").alias("component")
+    keys = stored(sorted_.mapInArrow(_shared_keys, POSTING))
+    # Who shares most keys is the likeliest to be what the others are copies of. A single
+    # token among a node's keys that no other node has cannot be shared with any.
+    n_tokens, n_single = F.shiftright("sizes", 32), F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1))
+    shared = F.sum(F.col("key").bitwiseAND(F.lit(1)))
+    support = keys.groupBy("node", "sizes").agg(F.count("key").alias("support"), shared.alias("shared"))
+    support = support.select(
+        "node", "support", n_tokens.alias("n"), n_single.alias("singles"),
+        (n_tokens - n_single + F.col("shared")).alias("most"),
+    )
+    support = support.where(F.col("most") >= F.ceil(F.lit(PERCENT) * F.col("n") / 100))
+    open_ = stored(keys.drop("sizes").join(support, "node").withColumn("component", F.col("node")))
+    found: DataFrame | None = None
+    for order in (F.desc("support"), F.xxhash64("node")):
+        by_key = open_.repartition(n, "key").sortWithinPartitions("key", order, "node")
+        pairs = by_key.select("key", "node", "n", "most", "component").mapInArrow(_stars, "a long, b long")
+        more = verify(docs, pairs)
+        found = more if found is None else found.unionByName(more)
+        labels = components(found)
+        # What is left: nodes of one key in different components.
+        labelled = open_.drop("component").join(labels, "node", "left").withColumn(
+            "component", F.coalesce("component", "node")
+        )
+        spans = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        open_ = stored(labelled.join(spans.where("low < high").select("key"), "key"))
+    more = verify(docs, _crossing(open_))
+    return components(found.unionByName(more)).select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _crossing(open_: DataFrame) -> DataFrame:
+    """Pairs of nodes that share keys and are not connected, so far as they may be similar."""
+    names = ("node", "n", "most", "singles", "component")
+    one, two = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
+    both = F.col("n_a") + F.col("n_b")
+    least = F.greatest(
+        F.ceil(F.lit(PERCENT) * both / (100 + PERCENT)), F.ceil(F.lit(PERCENT) * F.greatest("n_a", "n_b") / 100)
     )
-    spans = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    open_ = stored(labelled.join(spans.where("low < high").select("key"), "key"))
-    one, two = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "paired", "component")]) for s in "ab")
     met = one.join(two, "key").where(
-        (F.col("component_a") != F.col("component_b")) & (F.col("node_a") < F.col("node_b")) & _similar_size("n_a", "n_b")
+        (F.col("component_a") != F.col("component_b")) & (F.col("node_a") < F.col("node_b")) & (F.least("most_a", "most_b") >= least)
     )
-    shared = met.groupBy("node_a", "node_b").agg(
-        F.count("key").alias("shared"), F.max("n_a").alias("n_a"), F.max("n_b").alias("n_b"),
-        F.bool_or(F.col("paired_a") | F.col("paired_b")).alias("paired"),
+    shared = met.groupBy("node_a", "node_b", "n_a", "n_b", "singles_a", "singles_b").agg(
+        F.sum(F.col("key").bitwiseAND(F.lit(1))).alias("shared")
     )
-    # Of two prefixes of single tokens, what lies behind them bounds the rest of the overlap.
-    least = F.ceil(F.lit(PERCENT) * (F.col("n_a") + F.col("n_b")) / (100 + PERCENT))
-    behind = [F.floor(F.lit(PERCENT) * F.col(c) / 100 + F.lit(0.999)) - 1 for c in ("n_a", "n_b")]
-    enough = F.col("paired") | (F.col("shared") + F.greatest(*behind) >= least)
-    rest = shared.where(enough).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
-    # Pairs with a key's first node were compared before.
-    compared = stars.select(F.least("first", "node").alias("a"), F.greatest("first", "node").alias("b")).distinct()
-    rest = stored(rest.join(compared, ["a", "b"], "left_anti"))
-    if rest.isEmpty():
-        return labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    more = verify(docs, rest)
-    joined_ = labels.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more)
-    return components(joined_).select(F.col("node").alias("a"), F.col("component").alias("b"))
+    # Shared tokens that are not counted lie behind the single tokens of one of the two; of
+    # both, if both have all their rare tokens among them.
+    behind = [F.col(f"n_{x}") - F.col(f"singles_{x}") for x in "ab"]
+    whole = [F.col(f"singles_{x}") <= F.col(f"n_{x}") - F.ceil(F.lit(PERCENT) * F.col(f"n_{x}") / 100) for x in "ab"]
+    rest = F.when(whole[0] & whole[1], F.least(*behind)).otherwise(F.greatest(*behind))
+    return shared.where(F.col("shared") + rest >= least).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 
 def _classes(docs: DataFrame) -> DataFrame:
