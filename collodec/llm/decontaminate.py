@@ -148,7 +148,10 @@ class WaveletTree:
 
 
 class FMIndex:
+    """Of symbols below ``n_symbols``; a smaller one is put behind the last."""
+
     def __init__(self, symbols: np.ndarray, n_symbols: int):
+        symbols, n_symbols = np.append(symbols + 1, 0), n_symbols + 1
         order = suffix_array(symbols)
         self.tree = WaveletTree(symbols[order - 1], n_symbols)
         self.first = np.concatenate(([0], np.cumsum(np.bincount(symbols, minlength=n_symbols))))
@@ -162,7 +165,7 @@ class FMIndex:
         which = np.arange(len(phrases))
         low, high = np.zeros(len(phrases), np.int64), np.full(len(phrases), self.size, np.int64)
         for step in range(phrases.shape[1] - 1, -1, -1):
-            symbol = phrases[which, step]
+            symbol = phrases[which, step] + 1
             below, above = self.tree.ranks(symbol, low, high)
             low, high = self.first[symbol] + below, self.first[symbol] + above
             live = low < high

@@ -40,6 +40,8 @@ from .common import _BYTES, _MIX, _powers, as_batches, joined, mixed, slice_hash
 
 LENGTH = 50
 GRAM = 20
+#: Bytes of text whose suffixes are sorted at once; each step needs some twenty arrays of it.
+CHUNK = (1 << 20) - 1
 #: Bytes of the hash that name an anchor in step 1, without those that choose the shard.
 _NAME = np.uint64(0xFFFFFFFF)
 
@@ -93,7 +95,7 @@ def _split(values: np.ndarray, shard_bits: int) -> Iterator[tuple[int, int, int]
 
 def _anchor_names(batches: Iterator[pa.RecordBatch], shard_bits: int) -> Iterator[pa.RecordBatch]:
     """Names of a chunk's anchors by shard: once, or twice if several documents have them."""
-    for batch in as_batches(batches):
+    for batch in as_batches(batches, size=CHUNK):
         data, offsets = text_bytes(batch.column("text"))
         text, _, _, _, grams = anchors(data, offsets)
         if not len(grams):
@@ -162,7 +164,7 @@ def _runs(batches: Iterator[pa.RecordBatch], repeated: BitMap, shard_bits: int)
     front of the anchor, nearest first, then the number of bytes from the anchor on.
     """
     part = TaskContext.get().partitionId()
-    for number, batch in enumerate(as_batches(batches)):
+    for number, batch in enumerate(as_batches(batches, size=CHUNK)):
         chunk = (part << 32) | number
         data, offsets = text_bytes(batch.column("text"))
         text, anchor, first, last, grams = anchors(data, offsets)

@@ -172,6 +172,7 @@ class Encoder:
         size = self.tokenizer.get_vocab_size()
         letters = _byte_letters()
         special = {k: v.content for k, v in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = [s.encode() for s in special.values()]
         self.token_bytes = np.zeros(size, np.int64)
         for token, i in self.tokenizer.get_vocab().items():
             self.token_bytes[i] = len(special[i].encode()) if i in special else sum(c in letters for c in token)
@@ -190,6 +191,7 @@ class Encoder:
         splits = np.zeros(len(data), bool)
         splits[:-1] = (data[:-1] == 0x20) & _PLAIN[data[1:]]
         splits[1:] |= _LETTER[data[:-1]] & ~_LETTER[data[1:]] & (data[1:] < 0x80)
+        self._join_special(data, splits)
         last = offsets[1:-1]
         last = last[(last > 0) & (last <= len(data))] - 1
         splits[last] &= _LETTER[data[np.maximum(last - 1, 0)]]  # not by a text's last space
@@ -206,6 +208,15 @@ class Encoder:
         edges = per_text[np.searchsorted(starts, offsets)]
         return self.ids[spread(first[codes], sizes)], np.diff(edges)
 
+    def _join_special(self, data: np.ndarray, splits: np.ndarray) -> None:
+        """Special tokens stay in one piece."""
+        raw = data.tobytes()
+        for token in self.special:
+            at = raw.find(token)
+            while at >= 0:
+                splits[at + 1 : at + len(token)] = False
+                at = raw.find(token, at + 1)
+
     def _look_up(self, pieces: list[str]) -> np.ndarray:
         """Index of each piece among the known ones, after encoding the others."""
         if len(self.known) > KNOWN_PIECES:
