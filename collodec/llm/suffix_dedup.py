@@ -158,7 +158,8 @@ def _front_coded(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
 
 
 def _runs(batches: Iterator[pa.RecordBatch], repeated: BitMap, shard_bits: int) -> Iterator[pa.RecordBatch]:
-    """Per chunk and shard a run (kind 1) and where its suffixes occur (kind 0).
+    """Per chunk and shard a run (kind 1) and where its suffixes occur (kind 0); per chunk
+    the ids of its texts (kind 2).
 
     A suffix is written from its anchor to the end of its last window, then the bytes in
     front of the anchor, nearest first, then the number of bytes from the anchor on.
@@ -181,10 +182,13 @@ def _runs(batches: Iterator[pa.RecordBatch], repeated: BitMap, shard_bits: int)
         ]
         shard = (name >> np.uint64(32)).astype(np.int64).tolist()
         order = sorted(range(len(keys)), key=lambda i: (shard[i], keys[i]))
-        doc_id = batch.column("doc_id").to_numpy()[text]
+        ids, text_hash = batch.column("doc_id").to_numpy(), batch.column("h").to_numpy()
+        doc_id = ids[text]
         place = first - offsets[text]
-        text_hash = batch.column("h").to_numpy()[text]
         columns: list[list] = [[] for _ in range(5)]
+        # What the texts of the chunk are called.
+        for column, x in zip(columns, (hash_key(chunk), 2, chunk, -1, np.stack((ids, text_hash)).tobytes()), strict=True):
+            column.append(x)
         at = 0
         while at < len(order):
             own_shard, end = shard[order[at]], at
@@ -202,8 +206,8 @@ def _runs(batches: Iterator[pa.RecordBatch], repeated: BitMap, shard_bits: int)
             rows = order[at:end]
             run = np.array([len(strings)], np.int64).tobytes() + same.tobytes() + size.tobytes()
             run += np.array(smallest, np.int64).tobytes() + behind
-            where = [np.array(index, np.int64), doc_id[rows], text_hash[rows], place[rows], (last - first)[rows] + 1]
-            occurrences = np.stack(where).astype(np.int64).tobytes()
+            where = [np.array(index), text[rows], place[rows], (last - first)[rows] + 1]
+            occurrences = b"".join(x.astype(t).tobytes() for x, t in zip(where, OCCURRENCE, strict=True))
             # Runs go by shard; occurrences by chunk, where they wait for the answers.
             for kind, key, value in ((1, own_shard, run), (0, chunk, occurrences)):
                 for column, x in zip(columns, (key if kind else hash_key(chunk), kind, chunk, own_shard, value), strict=True):
@@ -213,6 +217,8 @@ def _runs(batches: Iterator[pa.RecordBatch], repeated: BitMap, shard_bits: int)
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], RUN_NAMES)
 
 
+#: Place in the run, text of the chunk, first window, number of windows.
+OCCURRENCE = (np.int32, np.int32, np.int32, np.uint8)
 RUN_NAMES = ["key", "kind", "chunk", "shard", "value"]
 RUN = "key long, kind int, chunk long, shard long, value binary"
 
@@ -365,9 +371,17 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         answers: dict[int, bytes] = {}
         for r in rows:
             for kind, shard, value in zip(r.column("kind").to_pylist(), r.column("shard").to_pylist(), r.column("value"), strict=True):
-                (answers if kind else held)[shard] = value.as_py()
+                if kind == 2:
+                    names = np.frombuffer(value.as_py(), np.int64).reshape(2, -1)
+                else:
+                    (answers if kind else held)[shard] = value.as_py()
         for shard, occurrences in held.items():
-            index, doc_id, h, place, n_windows = np.frombuffer(occurrences, np.int64).reshape(5, -1)
+            size, at, columns = len(occurrences) // 13, 0, []
+            for t in OCCURRENCE:
+                columns.append(np.frombuffer(occurrences, t, size, at).astype(np.int64))
+                at += columns[-1].size * np.dtype(t).itemsize
+            index, text, place, n_windows = columns
+            doc_id, h = names[0][text], names[1][text]
             answer = np.frombuffer(answers[shard], np.int64)
             n, n_listed = int(answer[0]), int(answer[1])
             smallest = answer[2 : 2 + n]
