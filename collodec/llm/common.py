@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a task works on at once; one longer text is worked on by itself.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = (2 << 20) - 4096
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -49,6 +50,9 @@ def as_batches(
     batches: Iterator[pa.RecordBatch], column: str = "text", size: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``size`` bytes of text or one row."""
+    # A worker serves one task after the other; what the last one left stays until here.
+    gc.collect()
+    pa.default_memory_pool().release_unused()
     for batch in batches:
         ends = np.cumsum(lengths(batch.column(column)), dtype=np.int64)
         start = 0

@@ -39,6 +39,7 @@ BITS = np.array([64, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 0])
 BLOCK = 128
 FILE_IDS = 1 << 21
 KNOWN_PIECES = 300_000
+CHUNK = 4 << 20  # the more text at once, the fewer pieces to look up
 PACK_IDS = 1 << 17  # ids worked on at once, whole blocks
 END_ID = 2
 MAGIC, VERSION = 0x4238_504D_4953, 1
@@ -282,7 +283,7 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str, encoder: Callable[[],
             kept.clear()
         return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], ["part", "number", "file", "n_ids", "n_docs"])
 
-    for batch in as_batches(batches):
+    for batch in as_batches(batches, size=CHUNK):
         own, counts = encode(batch.column("text"))
         own = np.insert(own, np.cumsum(counts), END_ID)
         ids.append(own)
