@@ -224,19 +224,27 @@ def _shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows sorted by key: the key's first node with each that may be similar and is not
-    known to be connected with it."""
+    known to be connected with it.
+
+    Shared tokens that are not among the single tokens of both lie behind those of one of the
+    two (of both, if both have all their rare tokens among them). A token that no other node
+    has as a key may still be shared: it can stand behind the other's single tokens.
+    """
     held: tuple | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        columns = [batch.column(c).to_numpy() for c in ("key", "node", "n", "most", "component")]
+        columns = [batch.column(c).to_numpy() for c in ("key", "node", "n", "singles", "shared", "component")]
         if held is not None:
             columns = [np.insert(c, 0, h) for c, h in zip(columns, held, strict=True)]
-        key, node, n, most, component = columns
+        key, node, n, singles, shared, component = columns
         start = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
         first = np.repeat(start, np.diff(np.append(start, len(key))))
         least = np.maximum(least_shared(n + n[first]), least_overlap(np.maximum(n, n[first])))
-        out = (component != component[first]) & (np.minimum(most, most[first]) >= least)
+        behind, whole = n - singles, singles <= n - least_overlap(n)
+        rest = np.where(whole & whole[first], np.minimum(behind, behind[first]), np.maximum(behind, behind[first]))
+        most = np.minimum(np.minimum(shared, shared[first]) + rest, np.minimum(n, n[first]))
+        out = (component != component[first]) & (most >= least)
         held = tuple(c[start[-1]] for c in columns)
         if out.any():
             a, b = np.minimum(node, node[first])[out], np.maximum(node, node[first])[out]
@@ -285,21 +293,16 @@ def links(docs: DataFrame, frequent: BitMap) -> DataFrame:
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sorted_ = postings.repartition(n, "key").sortWithinPartitions("key", "node")
     keys = stored(sorted_.mapInArrow(_shared_keys, POSTING))
-    # Who shares most keys is the likeliest to be what the others are copies of. A single
-    # token among a node's keys that no other node has cannot be shared with any.
+    # Who shares most keys is the likeliest to be what the others are copies of.
     n_tokens, n_single = F.shiftright("sizes", 32), F.col("sizes").bitwiseAND(F.lit((1 << 32) - 1))
     shared = F.sum(F.col("key").bitwiseAND(F.lit(1)))
     support = keys.groupBy("node", "sizes").agg(F.count("key").alias("support"), shared.alias("shared"))
-    support = support.select(
-        "node", "support", n_tokens.alias("n"), n_single.alias("singles"),
-        (n_tokens - n_single + F.col("shared")).alias("most"),
-    )
-    support = support.where(F.col("most") >= F.ceil(F.lit(PERCENT) * F.col("n") / 100))
+    support = support.select("node", "support", "shared", n_tokens.alias("n"), n_single.alias("singles"))
     open_ = stored(keys.drop("sizes").join(support, "node").withColumn("component", F.col("node")))
     found: DataFrame | None = None
     for order in (F.desc("support"), F.xxhash64("node")):
         by_key = open_.repartition(n, "key").sortWithinPartitions("key", order, "node")
-        pairs = by_key.select("key", "node", "n", "most", "component").mapInArrow(_stars, "a long, b long")
+        pairs = by_key.select("key", "node", "n", "singles", "shared", "component").mapInArrow(_stars, "a long, b long")
         more = verify(docs, pairs)
         found = more if found is None else found.unionByName(more)
         labels = components(found)
@@ -315,23 +318,23 @@ def links(docs: DataFrame, frequent: BitMap) -> DataFrame:
 
 def _crossing(open_: DataFrame) -> DataFrame:
     """Pairs of nodes that share keys and are not connected, so far as they may be similar."""
-    names = ("node", "n", "most", "singles", "component")
+    names = ("node", "n", "shared", "singles", "component")
     one, two = (open_.select("key", *[F.col(c).alias(f"{c}_{s}") for c in names]) for s in "ab")
     both = F.col("n_a") + F.col("n_b")
     least = F.greatest(
         F.ceil(F.lit(PERCENT) * both / (100 + PERCENT)), F.ceil(F.lit(PERCENT) * F.greatest("n_a", "n_b") / 100)
     )
+    # As in _stars.
+    behind = [F.col(f"n_{x}") - F.col(f"singles_{x}") for x in "ab"]
+    whole = [F.col(f"singles_{x}") <= F.col(f"n_{x}") - F.ceil(F.lit(PERCENT) * F.col(f"n_{x}") / 100) for x in "ab"]
+    rest = F.when(whole[0] & whole[1], F.least(*behind)).otherwise(F.greatest(*behind))
     met = one.join(two, "key").where(
-        (F.col("component_a") != F.col("component_b")) & (F.col("node_a") < F.col("node_b")) & (F.least("most_a", "most_b") >= least)
+        (F.col("component_a") != F.col("component_b")) & (F.col("node_a") < F.col("node_b"))
+        & (F.least("n_a", "n_b") >= least) & (F.least("shared_a", "shared_b") + rest >= least)
     )
     shared = met.groupBy("node_a", "node_b", "n_a", "n_b", "singles_a", "singles_b").agg(
         F.sum(F.col("key").bitwiseAND(F.lit(1))).alias("shared")
     )
-    # Shared tokens that are not counted lie behind the single tokens of one of the two; of
-    # both, if both have all their rare tokens among them.
-    behind = [F.col(f"n_{x}") - F.col(f"singles_{x}") for x in "ab"]
-    whole = [F.col(f"singles_{x}") <= F.col(f"n_{x}") - F.ceil(F.lit(PERCENT) * F.col(f"n_{x}") / 100) for x in "ab"]
-    rest = F.when(whole[0] & whole[1], F.least(*behind)).otherwise(F.greatest(*behind))
     return shared.where(F.col("shared") + rest >= least).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
 
 

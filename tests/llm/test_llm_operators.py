@@ -266,6 +266,25 @@ def test_frequent_tokens_make_pairs(spark, monkeypatch):
     assert len({c for _, c in expected}) > 6
 
 
+def test_one_sided_edits_of_rare_tokens(spark):
+    """Isolated pairs near the threshold: what only one of two has may push shared tokens out of its prefix."""
+    rng = random.Random(11)
+    rows, near = [], 0
+    for k in range(150):
+        n = rng.randint(30, 160)
+        own = [f"{k}u{i}" for i in range(n)]
+        more = [f"{k}v{i}" for i in range(rng.randint((n - 4) * 15 // 100, (n - 4) // 4))]
+        at = (n, rng.randrange(n), 0)[k % 3]  # a footer, an inserted paragraph, a cut head
+        texts = [" ".join(own), " ".join(own[:at] + more + own[at:])]
+        a, b = map(brute.shingles, texts)
+        near += 80 <= 100 * len(a & b) / len(a | b) <= 87
+        rows += [(2 * k, texts[0]), (2 * k + 1, texts[1])]
+    assert near > 90
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.join_documents(docs).collect()}
+    assert [got[i] for i, _ in rows] == brute.components(*zip(*rows))
+
+
 @pytest.mark.parametrize("seed", range(3))
 def test_similar_sets_share_a_key(seed):
     """The prefix argument itself, over random sets and random classes of tokens."""
