@@ -1,10 +1,11 @@
 """Secret scans with an incremental ledger of content-addressed blobs.
 
 Every version of every text is a blob, named by the SHA-256 of its bytes. The ledger lists
-which rule versions have been run over which blob, and what they found. A scan takes from
+which rule versions have been run over which blob, and what each found. A scan takes from
 the history the blobs for which a rule version is missing, one copy of each, runs only the
-missing rules over them, appends the findings, and joins all findings back to every version
-of every path. A second scan of the same history reads no text but for its hash.
+missing rules over them, appends the findings, and joins the findings of the rule versions
+it was asked for back to every version of every path. A second scan of the same history
+reads no text but for its hash.
 
 Copies of a blob are put together before the exchange and after it; findings reach hot
 blobs through a join that Spark may split. Nothing is collected.
@@ -40,6 +41,9 @@ RULES = (
 BASE = ("assign", "access", "hex")
 KINDS = [r[0] for r in RULES]
 FINDING = "array<struct<kind: string, start: long, end: long>>"
+#: In the ledger each finding has its rule's id. Where it has none, it is that of its kind among the row's rules.
+LEDGER_FINDING = "array<struct<kind: string, start: long, end: long, rule: string>>"
+LEDGER = f"blob binary, rules array<string>, findings {LEDGER_FINDING}"
 
 
 def rule_id(rule: tuple) -> str:
@@ -48,20 +52,27 @@ def rule_id(rule: tuple) -> str:
 
 def find(text: str, rules: tuple = RULES, compiled: dict | None = None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all findings, by start and then by the rules' order."""
+    return [(rules[order][0], start, end) for start, order, end in _found(text, rules, compiled)]
+
+
+def _found(text: str, rules: tuple, compiled: dict | None) -> list[tuple[int, int, int]]:
+    """(start, place of the rule, end) of all findings, sorted."""
     lowered, found = text.encode("utf-8", "surrogatepass").lower(), []
-    for order, (kind, _, pattern, group, least, needed) in enumerate(rules):
+    for order, (_, _, pattern, group, least, needed) in enumerate(rules):
         if needed and not any(word in lowered for word in needed):
             continue
         matcher = compiled[pattern] if compiled else re.compile(pattern)
         for m in matcher.finditer(text):
             if m.end(group) - m.start(group) >= least:
-                found.append((m.start(), order, kind, m.end()))
-    return [(kind, start, end) for start, _, kind, end in sorted(found)]
+                found.append((m.start(), order, m.end()))
+    return sorted(found)
 
 
 def _scan(batches: Iterator[pa.RecordBatch], rules: tuple) -> Iterator[pa.RecordBatch]:
     compiled = {r[2]: re.compile(r[2]) for r in rules}
-    kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
+    kind = pa.list_(
+        pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("rule", pa.string())])
+    )
     by_id = {rule_id(r): r for r in rules}
     for batch in batches:
         found = []
@@ -69,7 +80,10 @@ def _scan(batches: Iterator[pa.RecordBatch], rules: tuple) -> Iterator[pa.Record
         for text, own in zip(batch.column("text"), missing, strict=True):
             todo = rules if len(own) == len(rules) else tuple(by_id[r] for r in own)
             found.append(
-                [{"kind": k, "start": a, "end": b} for k, a, b in find(text.as_py(), todo, compiled)]
+                [
+                    {"kind": todo[k][0], "start": a, "end": b, "rule": rule_id(todo[k])}
+                    for a, k, b in _found(text.as_py(), todo, compiled)
+                ]
             )
         columns = [batch.column("blob"), batch.column("rules"), pa.array(found, kind)]
         yield pa.RecordBatch.from_arrays(columns, ["blob", "rules", "findings"])
@@ -101,12 +115,19 @@ def scan(history: DataFrame, ledger: str, *keys: str, rules: tuple = RULES) -> D
     # The lists of one blob are equal; one copy of its text is kept on both sides of the exchange.
     unseen = versions_todo.groupBy("blob").agg(F.first("text").alias("text"), F.first("rules").alias("rules"))
     scanned = unseen.mapInArrow(
-        lambda batches: _scan(batches, rules), f"blob binary, rules array<string>, findings {FINDING}"
+        lambda batches: _scan(batches, rules), LEDGER
     )
     scanned.write.mode("append").parquet(ledger)
+    def is_wanted(f):
+        own = F.filter("rules", lambda r: F.substring_index(r, "@", 1) == f.kind)
+        return F.coalesce(f.rule, F.get(own, F.lit(0))).isin(wanted)
+
+    def place(f):
+        return F.struct(f.kind.alias("kind"), f.start.alias("start"), f.end.alias("end"))
+
     known = (
-        spark.read.parquet(ledger)
-        .select("blob", F.filter("findings", lambda f: f.kind.isin([r[0] for r in rules])).alias("findings"))
+        spark.read.schema(LEDGER).parquet(ledger)
+        .select("blob", F.transform(F.filter("findings", is_wanted), place).alias("findings"))
         .where(F.size("findings") > 0)
         .groupBy("blob")
         .agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))

@@ -130,6 +130,27 @@ def test_secret_scan(spark, docs, nothing, tmp_path):
     assert newest.count() == blobs + 1 and newest.where(F.size("rules") > 1).count() == 0
 
 
+def test_secret_scan_of_a_raised_version(spark, tmp_path):
+    """Of a rule's versions only the wanted one's findings come back."""
+    docs = spark.createDataFrame([(1, "cata catb dogs")], "doc_id long, text string")
+    ledger = str(tmp_path / "raised")
+
+    def scanned(version, pattern):
+        rules = (("cat", version, pattern, 0, 1, ()),)
+        (row,) = secrets.scan(docs, ledger, "doc_id", rules=rules).collect()
+        return [(f.kind, f.start, f.end) for f in row.findings]
+
+    assert scanned(1, "cat[a-z]") == [("cat", 0, 4), ("cat", 5, 9)]
+    assert scanned(2, "catb|dogs") == [("cat", 5, 9), ("cat", 10, 14)]
+    assert scanned(1, "cat[a-z]") == [("cat", 0, 4), ("cat", 5, 9)]
+    assert spark.read.parquet(ledger).count() == 2
+    # A ledger whose findings have no rule yet.
+    without = F.transform("findings", lambda f: F.struct(f.kind.alias("kind"), f.start.alias("start"), f.end.alias("end")))
+    old, ledger = ledger, str(tmp_path / "old")
+    spark.read.parquet(old).withColumn("findings", without).write.parquet(ledger)
+    assert scanned(2, "catb|dogs") == [("cat", 5, 9), ("cat", 10, 14)]
+
+
 def test_pseudonyms(spark, docs, nothing):
     texts = [
         "a.b-1@ex.com and Ä.é7@b.co.uk end", "card 4111 1111 1111 1111, not 4111 1111 1111 1112", "4111111111111111",
