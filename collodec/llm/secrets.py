@@ -36,7 +36,7 @@ RULES = (
     ("pem", 1, r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]*(?:-----END [A-Z ]*PRIVATE KEY-----)?",
      0, 1, (b"private key",)),
     ("jwt", 1, r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 1, (b"eyj",)),
-    ("url", 1, r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/@]{3,128}@", 0, 1, (b"://",)),
+    ("url", 2, r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]*+:[^\s/@]{3,}+@", 0, 1, (b"://",)),
 )
 BASE = ("assign", "access", "hex")
 KINDS = [r[0] for r in RULES]

@@ -151,6 +151,13 @@ def test_secret_scan_of_a_raised_version(spark, tmp_path):
     assert scanned(2, "catb|dogs") == [("cat", 5, 9), ("cat", 10, 14)]
 
 
+@pytest.mark.parametrize("user", ["", "u", "u" * 65, "u" * 5000])
+@pytest.mark.parametrize("password", ["abc", "p" * 129, "p" * 5000])
+def test_passwords_in_urls(user, password):
+    url = f"redis://{user}:{password}@"
+    assert ("url", 4, 4 + len(url)) in secrets.find(f"see {url}host/0 and http://host:80/x")
+
+
 def test_pseudonyms(spark, docs, nothing):
     texts = [
         "a.b-1@ex.com and Ä.é7@b.co.uk end", "card 4111 1111 1111 1111, not 4111 1111 1111 1112", "4111111111111111",
