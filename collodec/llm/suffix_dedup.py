@@ -82,7 +82,8 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
 
 
 def _name(grams: np.ndarray, shard_bits: int) -> np.ndarray:
-    return grams >> np.uint64(32 - shard_bits)
+    # Mixed again, as the anchors are the grams whose own top bits are least.
+    return mixed(grams) >> np.uint64(32 - shard_bits)
 
 
 def _split(values: np.ndarray, shard_bits: int) -> Iterator[tuple[int, int, int]]:
@@ -451,7 +452,7 @@ def spans_of(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Shards of a few MB, whatever the size of the input.
+    # Even shards. Their number follows the partitions alone, so they grow with the input.
     shard_bits = min(30, max(6, (8 * n - 1).bit_length()))
     names = docs.select("text").mapInArrow(lambda b: _anchor_names(b, shard_bits), "shard long, names binary")
     sorted_ = names.repartition(n, "shard").sortWithinPartitions("shard")

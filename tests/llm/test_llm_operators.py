@@ -389,6 +389,14 @@ def test_suffix_dedup_of_random_texts(spark, seed):
     assert pairs(map(tuple, suffix_dedup.remove_repeats(docs).collect())) == pairs((i, *expected[i, t]) for i, t in rows)
 
 
+def test_anchors_are_dealt_evenly_to_shards():
+    """Anchors are the grams of the least hashes; their shards do not follow from that."""
+    data = np.random.default_rng(3).integers(97, 123, 400_000).astype(np.uint8)
+    grams = suffix_dedup.anchors(data, np.array([0, len(data)]))[-1]
+    counts = np.bincount((suffix_dedup._name(grams, 9) >> np.uint64(32)).astype(np.int64), minlength=512)
+    assert counts.max() < 2 * counts.mean()
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_loser_tree(seed):
     rng = random.Random(seed)
