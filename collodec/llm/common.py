@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +41,21 @@ def stored(df: DataFrame, folder: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[Hashable, object] = {}
+
+
+def per_worker(key: Hashable, make: Callable[[], object]):
+    """What ``make`` gives, made once per Python worker and kept between its tasks.
+
+    The last value of each kind (the key's first part) is kept.
+    """
+    kind = key[0] if isinstance(key, tuple) else key
+    if _KEPT.get(kind, (None,))[0] != key:
+        _KEPT.pop(kind, None)
+        _KEPT[kind] = key, make()
+    return _KEPT[kind][1]
+
+
 def texts(docs: DataFrame, *columns: str) -> DataFrame:
     """The given columns and the text, NULL as the empty text."""
     return docs.select(*columns, F.coalesce(F.col("text"), F.lit("")).alias("text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, fingerprint, jaccard_join, pieces, pii, quality, secrets, suffix_dedup, tokenfile, toxicity
+from . import decontaminate, fingerprint, jaccard_join, pieces, pii, quality, secrets, suffix_dedup, tokenfile, toxicity, transducer
 from .common import table
 
 
@@ -58,5 +58,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op4_sentencepiece, op5_quality, op6_token_files, op7_jaccard_join, op8_fingerprint, op9_suffix_dedup, op10_toxicity)}
+def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = transducer.Vocabulary(tokenizer_path("word_bpe_49k.json"))
+    return transducer.digest(transducer.encode_documents(table(spark, sf_dir, "documents"), vocabulary, decoded=True))
+
+
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op4_sentencepiece, op5_quality, op6_token_files, op7_jaccard_join, op8_fingerprint, op9_suffix_dedup, op10_toxicity, op12_bpe)}
 ORACLE_SQL: dict[str, str] = {}
