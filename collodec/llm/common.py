@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Hashable, Iterator
 
 import numpy as np
@@ -12,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.materialize import Workspace, default_folder
+
 #: Text bytes that a task works on at once; one longer text is worked on by itself.
 CHUNK_BYTES = (2 << 20) - 4096
 
@@ -20,18 +21,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WORKSPACES: dict[str, Workspace] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """A new folder's name below ``spark.checkpoint.dir``, which all executors see.
 
-    Where that is unset (tests, local sessions) a temporary folder takes its place; on a
-    cluster it has to be set.
+    All such folders of one Spark application are in one workspace, deleted when Python
+    ends if the application still runs.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = "file://" + tempfile.mkdtemp(prefix="llm-")
-    return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
+    name = spark.sparkContext.applicationId
+    if name not in _WORKSPACES:
+        _WORKSPACES[name] = Workspace(spark, default_folder(spark))
+        atexit.register(_clear, name)
+    return _WORKSPACES[name].new_path()
+
+
+def _clear(name: str) -> None:
+    own = _WORKSPACES.pop(name)
+    if own.spark.sparkContext._jsc is not None:
+        own.close()
 
 
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:

@@ -1,7 +1,9 @@
 """Plain versions of the operators, text by text, for tests."""
 
 import hashlib
+import heapq
 import re
+import zlib
 from collections import Counter, defaultdict
 
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
@@ -77,3 +79,67 @@ def secrets(text):
         counts.append(len(own))
         found += [(m.start(), order, f"{kind}:{m.start()}:{m.end()}") for m in own]
     return *counts, hashlib.sha256(",".join(x[2] for x in sorted(found)).encode()).hexdigest()
+
+
+def damaged(rows):
+    """{conv_id: [(turn, role, text)]} in order, of (conv_id, turn, role, text) rows."""
+    out = defaultdict(list)
+    for conv, turn, role, text in rows:
+        out[conv]
+        key = f"{' ' if conv is None else conv}:{' ' if turn is None else turn}"
+        kind = zlib.crc32(key.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if kind == 1:
+            text = ""
+        elif kind == 2:
+            text = re.sub("[.!?]", "", text)
+        elif kind == 4:
+            role = "user"
+        out[conv] += [(turn, role, text)] * ({0: 0, 3: 2}.get(kind, 1))
+    key = lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode())
+    return {conv: sorted(own, key=key) for conv, own in out.items()}
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, digest) of messages in order.
+
+    All edits are tried from the least cost on, the least audit first.
+    """
+    faults, seen = [], set()
+    for _, role, text in rows:
+        marks = re.sub(r"[\x20\x09-\x0D]+", "", text)
+        fault = "blank" if not marks else "duplicate" if (role, text) in seen else "truncated" if marks[-1] not in ".!?" else ""
+        seen.add((role, text))
+        faults.append(fault)
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    best, heap = None, [(0, "", 0, "", ())]
+    done = set()
+    while heap:
+        cost, audit, at, initials, kept = heapq.heappop(heap)
+        state = initials[-1:] if len(initials) < 2 or initials[-1] != "u" else "u"
+        if at == len(rows) and re.fullmatch("(s?(ua)+)?", initials):
+            best = cost, audit, kept
+            break
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+
+        def go(price, letter, to, message=None):
+            new = initials + (message[0][:1] if message else "")
+            if re.fullmatch("s?(ua)*u?", new):
+                heapq.heappush(heap, (cost + price, audit + letter, to, new, (*kept, message) if message else kept))
+
+        for role in ("user", "assistant"):
+            go(2, "I", at, (role, ""))
+        if at < len(rows):
+            go(3, "D", at + 1)
+            if faults[at] not in ("blank", "duplicate"):
+                more = faults[at] == "truncated"
+                go(more, "K", at + 1, rows[at][1:])
+                for role in ("user", "assistant"):
+                    go(2 + more, "R", at + 1, (role, rows[at][2]))
+    cost, audit, kept = best
+    digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in kept).encode()).hexdigest()
+    return (gaps, *(faults.count(k) for k in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest)
