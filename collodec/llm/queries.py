@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import conversations, decontaminate, fingerprint, jaccard_join, pieces, pii, quality, secrets, suffix_dedup, tokenfile, toxicity, transducer
+from . import conversations, decontaminate, fingerprint, jaccard_join, lexical, pieces, pii, quality, secrets, suffix_dedup, tokenfile, toxicity, transducer
 from .common import table
 
 
@@ -58,6 +58,10 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op12_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = transducer.Vocabulary(tokenizer_path("word_bpe_49k.json"))
     return transducer.digest(transducer.encode_documents(table(spark, sf_dir, "documents"), vocabulary, decoded=True))
@@ -67,5 +71,5 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_conversations(table(spark, sf_dir, "conversations"))
 
 
-QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op4_sentencepiece, op5_quality, op6_token_files, op7_jaccard_join, op8_fingerprint, op9_suffix_dedup, op10_toxicity, op12_bpe, op13_conversation_repair)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_pii, op2_decontaminate, op3_secret_scan, op4_sentencepiece, op5_quality, op6_token_files, op7_jaccard_join, op8_fingerprint, op9_suffix_dedup, op10_toxicity, op11_lexical_search, op12_bpe, op13_conversation_repair)}
+ORACLE_SQL: dict[str, str] = {"op11_lexical_search": lexical.SQL}
