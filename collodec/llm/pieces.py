@@ -27,7 +27,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .common import as_batches, joined, spread, text_bytes, texts
+from .common import as_batches, joined, per_worker, spread, text_bytes, texts
 
 CHUNK = 2 << 20
 KNOWN_WORDS = 200_000
@@ -44,7 +44,10 @@ class Vocabulary:
         from sentencepiece import SentencePieceProcessor
 
         model = SentencePieceProcessor(model_file=path)
+        if not self._merged(path):
+            raise ValueError("only merge-ordered (BPE) vocabularies are known")
         n = model.get_piece_size()
+        self.name = f"{path}:{n}"
         self.pieces = [model.id_to_piece(i) for i in range(n)]
         normal = [
             i for i in range(n) if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i))
@@ -98,6 +101,13 @@ class Vocabulary:
         self.surface_start = np.cumsum(self.surface_size) - self.surface_size
         self.bytes_ = np.array(self.bytes_, np.int64)
 
+    @staticmethod
+    def _merged(path: str) -> bool:
+        from sentencepiece import sentencepiece_model_pb2
+
+        with open(path, "rb") as file:
+            return sentencepiece_model_pb2.ModelProto.FromString(file.read()).trainer_spec.model_type == 2
+
     def _last_merge(self, text: str, by_text: dict[str, int]) -> tuple[int, int] | None:
         """The two pieces that the last merge of ``text`` joins; None if merging ends before."""
         parts = list(text)
@@ -210,7 +220,9 @@ def encode_words(words: list[str], vocabulary: Vocabulary) -> tuple[np.ndarray,
     # By distance from the start of the word: all words advance together.
     word_start = np.repeat(starts, sizes + 1)[: len(points)]
     distance = end - word_start[begin]
-    sorting = np.argsort(distance, kind="stable")
+    # Of 16 bits, where they do, numpy sorts by radix.
+    small = distance.astype(np.uint16) if len(distance) and distance.max() < 1 << 16 else distance
+    sorting = np.argsort(small, kind="stable")
     begin, piece, end = begin[sorting], piece[sorting], end[sorting]
     edges = np.flatnonzero(np.diff(distance[sorting], prepend=-1))
     edges = np.append(edges, len(begin))
@@ -328,7 +340,7 @@ def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 def _encode(batches: Iterator[pa.RecordBatch], vocabulary: Vocabulary, key: str, check: bool) -> Iterator[pa.RecordBatch]:
-    encoder = Encoder(vocabulary)
+    encoder = per_worker(("pieces", vocabulary.name), lambda: Encoder(vocabulary))
     for batch in as_batches(batches, size=CHUNK):
         column = batch.column("text")
         ids, counts = encoder.encode(column)

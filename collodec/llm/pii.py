@@ -7,9 +7,10 @@ rounds one half is shifted by a keyed SHA-256 of the other. That is a permutatio
 values of the format, so equal values stay equal across documents, different ones stay
 different, and whoever has the key can undo it. What a format fixes stays or is computed
 anew: separators, country codes, a card's first digit, check digits. The pseudonym of a
-valid value is valid.
+valid value is valid, but that a telephone number may get an area code nobody uses.
 
-* e-mail: the local part, each letter in its own alphabet, each digit as a digit.
+* e-mail: the local part, each plain or Western letter in its own alphabet, each digit as a
+  digit, any other letter or number among those of its group of ``GROUP`` code points.
 * IBAN: the digits of the account; letters and country stay, check digits follow.
 * IPv4: the 32 bits. * date: the day in its block of 40,000 days from 1920-01-01 on.
 * social security number: area, group and serial within their ranges.
@@ -29,13 +30,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
+#: Letters that are no plain or Western ones change places within groups of code points.
+GROUP = 64
 #: The key of the registered queries. A real run passes its own secret.
 DEFAULT_KEY = "not-a-secret"
 
 _EDGE, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 # The kinds' patterns, in the order in which they are tried at a place.
 PATTERNS = {
-    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]+(?:\.[\p{L}\p{N}-]+)+",
+    "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[\p{L}\p{N}-]++(?:\.[\p{L}\p{N}-]++)++",
     "iban": r"(?=[A-Z]{2}\d)" + _EDGE + r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?" + _END,
     "ip": r"(?=\d)(?<![\p{L}\p{N}_.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\p{L}\p{N}_]|\.\d)",
     "date": r"(?=\d)" + _EDGE + r"(?:\d{4}-\d{2}-\d{2}|\d{1,2}/\d{1,2}/\d{4}|\d{1,2}\.\d{1,2}\.\d{4})" + _END,
@@ -277,12 +280,36 @@ def _shifted_by(s: Column, stream: Column) -> Column:
             .when(c.between("a", "z"), within(97, 26))
             .when(c.between("A", "Z"), within(65, 26))
             .when(place > 0, F.substring(F.lit("".join(latin)), F.pmod(place - 1 + byte, F.lit(len(latin))) + 1, F.lit(1)))
-            .otherwise(c)
+            .otherwise(_among_neighbours(c, byte))
         )
 
     return F.array_join(F.transform(chars, move), "")
 
 
+def _among_neighbours(c: Column, byte: Column) -> Column:
+    """The letter that comes first in steps of so many places around its group of code points.
+
+    That is a permutation of the letters and numbers of the group. Other characters stay.
+    """
+    letter = r"^[\p{L}\p{N}]$"
+
+    def written(point: Column) -> Column:
+        return F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
+
+    def walked(point: Column) -> Column:
+        low = point - point % GROUP
+        start = F.struct(point.alias("point"), F.lit(False).alias("done"))
+
+        def step(s: Column, _: Column) -> Column:
+            new = low + F.pmod(s.point - low + byte, F.lit(GROUP))
+            further = _let(new, lambda n: F.struct(n.alias("point"), written(n).rlike(letter).alias("done")))
+            return F.when(s.done, s).otherwise(further)
+
+        return F.aggregate(F.sequence(F.lit(1), F.lit(GROUP)), start, step, lambda s: written(s.point))
+
+    return F.when(c.rlike(letter), _let(F.ascii(c), walked)).otherwise(c)
+
+
 def _email(v: Column, key: str) -> Column:
     local, domain = F.regexp_extract(v, "^[^@]*", 0), F.regexp_extract(v, "@.*$", 0)
     n = F.length(local)

@@ -10,6 +10,9 @@ documents, each 8 bytes; the words; the blocks' word offsets; the documents' ids
 each; a byte per document that says whether its id is known; the documents' first
 positions. Files end after ``FILE_IDS`` ids, at a document's end.
 
+Tasks write and read files through pyarrow's file systems, so the folder has to be in a store
+that these know by its URI: ``file``, ``hdfs``, ``s3``, ``gs``; not ``s3a``, ``abfss``.
+
 Rules: documents come in ascending id, NULL first, equal ids in the order of their texts'
 hashes; a NULL text is empty and has the end id only. Every row of the input is a document,
 also repeated ones. A text that holds the tokenizer's special token gets its id, as the
@@ -21,7 +24,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import as_batches, joined, shared_folder, spread, stored, text_bytes, texts
+from .common import as_batches, joined, per_worker, shared_folder, spread, stored, text_bytes, texts
 
 # Fixed values of Simple-8b: ids per word by selector, and bits of each.
 COUNTS = np.array([1, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 120])
@@ -128,6 +131,8 @@ def unpack(words: np.ndarray, n: int) -> np.ndarray:
 
 def unpack_blocks(words: np.ndarray, offsets: np.ndarray, n: int, low: int, high: int) -> np.ndarray:
     """Values of the blocks low to high, from their words alone."""
+    if low >= high:
+        return np.zeros(0, np.uint64)
     end = int(offsets[high]) if high < len(offsets) else len(words)
     return unpack(words[int(offsets[low]) : end], min(n, high * BLOCK) - low * BLOCK)
 
@@ -263,10 +268,10 @@ def _byte_letters() -> set[str]:
     return {chr(b) for b in own} | {chr(256 + i) for i in range(256 - len(own))}
 
 
-def _write(batches: Iterator[pa.RecordBatch], folder: str, encoder: Callable[[], Encoder]) -> Iterator:
+def _write(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     files, root = fs.FileSystem.from_uri(folder)
-    encode, number = encoder().encode, 0
+    encode, number = per_worker(("token files", tokenizer), lambda: Encoder(tokenizer)).encode, 0
     ids, keys, sizes = [], [], []
 
     def flush() -> pa.RecordBatch:
@@ -305,7 +310,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, folder: str) -> DataFrame:
         .sortWithinPartitions("doc_id", F.xxhash64("text"))
     )
     schema = "part long, number long, file string, n_ids long, n_docs long"
-    listed = ordered.mapInArrow(lambda b: _write(b, folder, lambda: Encoder(tokenizer)), schema)
+    listed = ordered.mapInArrow(lambda b: _write(b, folder, tokenizer), schema)
     return stored(listed)
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import heapq
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -143,3 +144,28 @@ def repaired(rows):
     cost, audit, kept = best
     digest = hashlib.sha256("\n".join(f"{r}:{t}" for r, t in kept).encode()).hexdigest()
     return (gaps, *(faults.count(k) for k in ("blank", "duplicate", "truncated")), illegal, cost, audit, digest)
+
+
+def lexical_terms(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(ASCII_LOWER))
+
+
+def ranked(rows, items, k):
+    """[(item id, rank, document id, score)]: every document scored for every item."""
+    own = [(i, Counter(lexical_terms(t))) for i, t in rows]
+    sizes = [sum(c.values()) for _, c in own]
+    n_docs, n_terms = sum(s > 0 for s in sizes), sum(sizes)
+    df = Counter(term for _, c in own for term in c)
+    out = []
+    for item, text in items:
+        scores = []
+        for (doc_id, counts), size in zip(own, sizes):
+            m = 50 + (50 * size * n_docs) // max(n_terms, 1)
+            score = 0
+            for term in set(lexical_terms(text)) & counts.keys():
+                w = math.floor(1000 * math.log((2 * n_docs + 2) / (2 * df[term] + 1)))
+                score += w * ((10**9 * counts[term]) // (1000 * counts[term] + 20 * m))
+            if score > 0:
+                scores.append((-score, doc_id is not None, doc_id or 0, doc_id))
+        out += [(item, rank, d, -s) for rank, (s, _, _, d) in enumerate(sorted(scores, key=lambda x: x[:3])[:k], 1)]
+    return out

@@ -12,9 +12,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from collodec.llm import (
+    conversations,
     decontaminate,
     fingerprint,
     jaccard_join,
+    lexical,
     pieces,
     pii,
     quality,
@@ -22,6 +24,7 @@ from collodec.llm import (
     suffix_dedup,
     tokenfile,
     toxicity,
+    transducer,
 )
 from collodec.llm.queries import tokenizer_path
 
@@ -452,3 +455,184 @@ def test_gapped_insults(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r.score for r in toxicity.score(df, model).collect()}
     assert got[2] < 0.2 < got[0] and got[1] > got[2]
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "x@" + "ab." * 330_000 + "c", "DE89 " + "3704 " * 200_000, "4111 " * 200_000, "+1 " + "415 " * 250_000,
+        "1.2.3." * 170_000, "1984-02-29" * 100_000, "123-45-" * 140_000, "1" * 1_000_000, "a@" * 500_000,
+    ],
+    ids=["email", "iban", "card", "phone", "ip", "date", "ssn", "digits", "ats"],
+)
+def test_pseudonyms_of_adversarial_texts(spark, text):
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    (row,) = pii.pseudonymize(df, "key").select(F.length("text").alias("n")).collect()
+    assert row.n == len(text)
+
+
+def test_pseudonyms_of_other_scripts(spark):
+    names = ["иван", "αβγδ", "李小龙", "שלום", "𝒜𝒞𝒟", "ñandú"]
+    df = spark.createDataFrame([(n, f"{n}@пример.рф") for n in names], "name string, text string")
+    for name, text in map(tuple, pii.pseudonymize(df, "key").collect()):
+        local, domain = text.split("@")
+        assert local != name and len(local) == len(name) and domain == "пример.рф"
+        assert all(abs(ord(a) - ord(b)) < 512 for a, b in zip(local, name)) and local.isalpha()
+    # All names of a group of letters, each reached once.
+    letters = [chr(x) for x in range(0x0430, 0x0440)]
+    pairs_ = [a + b for a in letters for b in letters]
+    df = spark.createDataFrame([(f"{p}@x.ru",) for p in pairs_], "v string")
+    changed = df.select(pii.replaced(F.col("v"), "key").alias("p")).distinct()
+    assert changed.count() == len(pairs_)
+
+
+def test_unigram_pieces_are_refused(tmp_path):
+    from sentencepiece import sentencepiece_model_pb2
+
+    with open(tokenizer_path("piece_bpe_32k.model"), "rb") as file:
+        model = sentencepiece_model_pb2.ModelProto.FromString(file.read())
+    model.trainer_spec.model_type = 1
+    path = tmp_path / "unigram.model"
+    path.write_bytes(model.SerializeToString())
+    with pytest.raises(ValueError, match="merge-ordered"):
+        pieces.Vocabulary(str(path))
+
+
+ITEMS = [(1, ROWS[0][1]), (2, None), (3, "one ONE two"), (3, "one ONE two"), (10, words(random.Random(7), 40)), (None, "cat é Tiond"), (4, "")]
+
+
+@pytest.mark.parametrize("shard, block, items", [(1 << 24, 128, 1 << 20), (3000, 2, 40)])
+def test_lexical_search(spark, docs, nothing, monkeypatch, shard, block, items):
+    """One shard and many, short blocks, items in one pass and in several."""
+    for name, value in (("SHARD_BYTES", shard), ("BLOCK", block), ("ITEM_BYTES", items)):
+        monkeypatch.setattr(lexical, name, value)
+    asked = spark.createDataFrame(ITEMS, "item_id long, text string")
+    for k in (50, 3):
+        index = lexical.build_index(docs)
+        got = pairs(map(tuple, lexical.search(index, asked, k=k).collect()))
+        assert got == pairs(brute.ranked(ROWS, ITEMS, k)) and got
+    assert lexical.search_documents(nothing, asked).count() == 0
+    assert lexical.search_documents(docs, asked.where("false")).count() == 0
+
+
+def test_blocks_are_left_compressed():
+    """Documents of one common word cannot get in beside those of a rare one."""
+    rng = np.random.default_rng(1)
+    n = rng.integers(20, 60, 20_000)
+    hashes, places = [], []
+    for term, share in ((1, 1.0), (2, 0.5), (3, 0.005)):
+        own = np.flatnonzero(rng.random(len(n)) < share)
+        hashes.append(np.full(len(own), term, np.uint64))
+        places.append(own)
+    shard = lexical.Shard.pack(np.concatenate(hashes), np.concatenate(places), n)
+    weights = np.array([lexical.weight(int(d), len(n)) for d in shard.df])
+    searcher = lexical.Searcher(np.arange(1, 4, dtype=np.uint64), weights, [np.arange(3)], len(n), int(n.sum()), 10)
+    searcher.search(shard, lexical.pa.array(np.arange(len(n))))
+    assert searcher.blocks_read < searcher.blocks_met / 2
+    m = lexical.length_parts(n, len(n), int(n.sum()))
+    total = np.zeros(len(n), np.int64)
+    for own, w in zip(places, weights, strict=True):
+        total[own] += w * lexical.frequency_parts(np.ones(len(own)), m[own])
+    best = sorted(range(len(n)), key=lambda i: (-total[i], i))[:10]
+    assert searcher.heaps[0].ids == best and searcher.heaps[0].scores.tolist() == total[best].tolist()
+
+
+@pytest.fixture(scope="module")
+def bpe():
+    return transducer.Vocabulary(tokenizer_path("word_bpe_49k.json"))
+
+
+def test_transducer(spark, docs, nothing, bpe):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+    expected = [library.encode(t or "", add_special_tokens=False).ids for _, t in ROWS]
+    encoded = transducer.encode_documents(docs, bpe, decoded=True)
+    got = [(r.doc_id, r.n_tokens, list(r.ids), r.decoded) for r in encoded.collect()]
+    assert pairs(got) == pairs((i, len(e), e, library.decode(e, skip_special_tokens=False)) for (i, _), e in zip(ROWS, expected))
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    digests = [(i, len(e), sha(" ".join(map(str, e))), sha(library.decode(e, skip_special_tokens=False))) for (i, _), e in zip(ROWS, expected)]
+    assert pairs(map(tuple, transducer.digest(encoded).collect())) == pairs(digests)
+    assert transducer.encode_documents(nothing, bpe, decoded=True).count() == 0
+    texts = {r.doc_id: r.text for r in transducer.decode_documents(encoded, bpe).collect()}
+    assert texts[7] == "one " and texts[1] == ""
+
+
+def random_text(rng):
+    size = rng.choice([0, 1, 3, 20, 90, 700, 1500])
+    kinds = [
+        lambda: chr(rng.choice([rng.randrange(0xD800), rng.randrange(0xE000, 0x110000), rng.randrange(0x250)])),
+        lambda: rng.choice("ab' \n19!Σést"),
+        lambda: rng.choice("etaoinshr"),
+        lambda: rng.choice(["<|endoftext|>", "<|startoftext|>", "<|", "a", "'s", " ", "'ll", "\x1c", "\x85", "\u3000", "é", "e\u0301", "İ"]),
+        lambda: rng.choice(["th", "e", "in", "ing", "er", "tion"]),
+        lambda: "x",
+    ]
+    kind = rng.choice(kinds)
+    return "".join(kind() for _ in range(size))
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_transducer_of_random_text(bpe, seed):
+    """Also words of several windows, and an encoder that has forgotten."""
+    from tokenizers import Tokenizer
+
+    library, rng = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json")), random.Random(seed)
+    encoder = transducer.Encoder(bpe)
+    for _ in range(40):
+        rows = [random_text(rng) for _ in range(8)]
+        ids, counts = encoder.encode(rows)
+        ends = np.cumsum(counts)
+        for text, a, b in zip(rows, ends - counts, ends):
+            own = library.encode(text, add_special_tokens=False).ids
+            assert ids[a:b].tolist() == own
+            decoder = transducer.TokenDecoder(bpe)
+            assert decoder.feed(own[:3]) + decoder.feed(own[3:]) == library.decode(own, skip_special_tokens=False)
+            plain = transducer.TextDecoder(bpe)
+            parts = "".join(plain.feed([i]) for i in own) + plain.finish()
+            whole = transducer.TextDecoder(bpe)
+            assert parts == whole.feed(own) + whole.finish()
+
+
+def test_simple_runs_split_as_the_library_does(bpe):
+    splitter = transducer.Splitter(bpe)
+    for point in range(0x250):
+        for run in (chr(point), "a" + chr(point), chr(point) + "b."):
+            simple = transducer._SIMPLE.fullmatch(run)
+            if simple:
+                letters, mark = simple.groups()
+                assert list(splitter.words(run)) == [letters.lower().encode(), *([mark.encode()] if mark else [])]
+
+
+def test_lookahead_is_sufficient(bpe):
+    """What follows an emitted token changes nothing: windows of the least size give merging's tokens."""
+    rng = random.Random(11)
+    machine = transducer.Transducer(bpe)
+    assert machine.window == 2 * bpe.lookahead and 32 <= bpe.lookahead < 1000
+    for _ in range(60):
+        word = "".join(rng.choice(["th", "e", "in", "ing", "er", "s", "an", "ti", "on"]) for _ in range(rng.randrange(100, 900))).encode()
+        symbols = [bpe.inner[b] for b in word]
+        symbols[-1] = bpe.final[word[-1]]
+        assert list(machine.word(word)) == transducer.merge(symbols, bpe.rules)
+
+
+def odd_conversations(rng):
+    roles = ["system", "user", "assistant", "user", "assistant", "tool", "", None, "sys"]
+    said = ["Hi.", "ok", "", "  ", None, "What?", "a b c!", "x.  ", "end\u00a0"]
+    rows = []
+    for c in range(150):
+        for t in range(rng.choice([1, 1, 2, 3, 5, 8, 20])):
+            rows.append((None if c == 7 else c, rng.choice([None, t, t, t, t + 1, t * 3]), rng.choice(roles), rng.choice(said)))
+    for t in range(1500):  # several segments, also within one turn
+        rows.append((1000, t if t % 50 else None, rng.choice(["user", "assistant", "assistant", "tool"]), rng.choice([f"Hi. {t}", "ok", "long. " * 500])))
+    return [*rows, *[rows[3]] * 5, *[(2000, 1, "user", "again")] * 1300]
+
+
+def test_conversation_repair(spark):
+    rows = odd_conversations(random.Random(5))
+    schema = "conv_id long, turn long, role string, text string, conv string, seg int, said string"
+    table = spark.createDataFrame([(*r, None, 1, "x") for r in rows], schema).repartition(5)
+    expected = {c: brute.repaired(own) for c, own in brute.damaged(rows).items()}
+    got = {r[0]: tuple(r)[1:] for r in conversations.repair_conversations(table).collect()}
+    assert got == expected and any(not e[6] for e in expected.values())
+    assert conversations.repair_conversations(table.where("false")).count() == 0
