@@ -13,7 +13,7 @@ from collodec.operators import (
     split_union,
     union_marginals_and_pairs,
 )
-from collodec.operators.lookup import SPLIT, assign_split, hot_keys, repeat_hot
+from collodec.operators.lookup import SPLIT, assign_split, frequent_keys, hot_keys, lookup_join, repeat_hot
 
 from conftest import rows_of
 
@@ -111,6 +111,38 @@ def test_hot_list_is_bounded(spark, sizes):
     assert set(splits) == {f"w{i}" for i, size in enumerate(sizes) if size > fair}
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_no_hot_key_is_missed(spark, seed):
+    """Far more keys than counters, in many tasks, the frequent ones at the edge of a fair share."""
+    rng, parts = random.Random(seed), 8
+    n = 40_000
+    edges = [n // parts + d for d in (2, 1, 0, -1)]
+    words = [f"h{i}" for i, size in enumerate(edges) for _ in range(size)]
+    words += [f"w{rng.randrange(15_000)}" for _ in range(n - len(words))]
+    rng.shuffle(words)
+    rows = spark.createDataFrame([(w, f"v{i}", 1800, 1) for i, w in enumerate(words)], PAIRS).repartition(13)
+    hot = hot_keys(rows, ["w1", "decade"], parts)
+    assert sorted((r.w1, r._splits) for r in hot.collect()) == [("h0", 2), ("h1", 2)]
+    found = frequent_keys(rows, ["w1", "decade"], parts).first()
+    assert found.n == n and len(found.top) <= 2 * parts
+
+
+def test_hot_keys_exchange_no_keys(spark, tmp_path):
+    """What tasks pass on to find hot keys is one summary each, and the join counts nothing."""
+    b, u = (str(tmp_path / name) for name in "bu")
+    pairs, words = skewed(3)
+    spark.createDataFrame(pairs, PAIRS).write.parquet(b)
+    spark.createDataFrame(words, WORDS).write.parquet(u)
+    stored_b, stored_u = spark.read.parquet(b), spark.read.parquet(u)
+    plan = frequent_keys(stored_b, ["w1", "decade"], 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Exchange SinglePartition" in plan and "partial_approx_top_k" in plan
+    joined = lookup_join(
+        stored_b, stored_u, {"w": "w1", "decade": "decade"}, {"c": "c1"}, ["w2"], max_broadcast_bytes=0
+    )
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("Exchange hashpartitioning") == 2
+
+
 @pytest.mark.parametrize("max_broadcast_bytes", [1000, 1, 0])
 def test_total_with_default(spark, max_broadcast_bytes):
     pairs = [("a", "b", 1800, 1), ("a", "c", 1810, 1), ("a", "b", 1820, 1)]
