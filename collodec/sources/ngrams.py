@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import clean_rule
+from .sequence import read_sequence
 from .strict import PARSE_MODES, check_mode, read_named
 
 NGRAM_SCHEMA = T.StructType(
@@ -19,7 +20,7 @@ NGRAM_SCHEMA = T.StructType(
     ]
 )
 
-FORMATS = ("parquet", "text", "sequence")
+FORMATS = ("parquet", "text", "sequence", "sequence-hadoop")
 
 # The folder of each language's collection in the public book n-gram release.
 COLLECTIONS = {"eng": "eng-us-all", "heb": "heb-all"}
@@ -85,9 +86,9 @@ def read_ngrams(
 
     ``parquet`` has the three columns of NGRAM_SCHEMA, found by name; ``text`` and
     ``sequence`` hold tab-separated lines, in a sequence file as the Text values. In all of
-    them ``mode`` says what becomes of a row with a field missing. Spark has no DataFrame
-    reader for sequence files, so that format passes through Python workers row by row:
-    ``convert_ngrams`` writes such a corpus to parquet once.
+    them ``mode`` says what becomes of a row with a field missing. Sequence files are parsed
+    in Arrow batches; ``sequence-hadoop`` is for compressed ones, through Hadoop's reader and
+    Python workers row by row. ``convert_ngrams`` writes such a corpus to parquet once.
     """
     check_mode(mode)
     if fmt == "parquet":
@@ -95,6 +96,8 @@ def read_ngrams(
     if fmt == "text":
         return parse_ngram_line(spark.read.text(path), mode)
     if fmt == "sequence":
+        return parse_ngram_line(read_sequence(spark, path), mode)
+    if fmt == "sequence-hadoop":
         records = spark.sparkContext.sequenceFile(
             path, "org.apache.hadoop.io.LongWritable", "org.apache.hadoop.io.Text"
         )
