@@ -26,6 +26,7 @@ from ..sinks.tables import (
 )
 from ..sources.ngrams import Corpus, read_ngrams
 from ..sources.tables import read_bigrams, read_pairs, read_scores, read_totals, read_unigrams
+from . import manifest
 from .materialize import Workspace, delete, is_complete
 
 RUN_FORMATS = ("parquet", "text")
@@ -69,6 +70,17 @@ def collocations(
     return score_pairs(partial, words, mode, required, rows=counted)
 
 
+@dataclass(frozen=True)
+class Stage:
+    """A part of a run: what it does, the tables it leaves, the n-grams and options it takes."""
+
+    name: str
+    work: Callable[[], None]
+    tables: list[str]
+    source: str | None
+    options: dict[str, object]
+
+
 @dataclass(frozen=True)
 class Run:
     """One batch: its input, its options, and the tables that its stages leave.
@@ -107,6 +119,7 @@ class Run:
         words = unigram_counts(prepare_unigrams(rows, self.source.language, self.stop_words))
         write_unigrams(words, self.paths.unigrams, self.stage_fmt)
         write_totals(decade_totals(self.unigrams()), self.paths.totals, self.stage_fmt)
+        self._finish("words")
 
     def count_pairs(self) -> None:
         """Stage 2: the pair counts, and with c1 and n."""
@@ -118,6 +131,7 @@ class Run:
         pairs = pair_marginals(stored, self.unigrams(), totals, self.required)
         # Stage 3 reads all of them once: no exchange for a layout.
         write_pairs(pairs, self.paths.pairs, self.stage_fmt, by_decade=False)
+        self._finish("pairs")
 
     def score(self) -> None:
         """Stage 3: c2 and the scores."""
@@ -125,28 +139,52 @@ class Run:
         stored = read_bigrams(self.spark, self.paths.bigrams)
         scores = score_pairs(pairs, self.unigrams(), self.score_mode, self.required, rows=stored)
         write_scores(scores, self.paths.scores, self.score_fmt, self.sorted)
+        self._finish("scores")
 
-    def stages(self) -> list[tuple[Callable[[], None], list[str]]]:
-        """Each stage and what it writes."""
+    def stages(self) -> list[Stage]:
+        """What each stage does, writes, and is made from."""
+        paths, rows = self.paths, {"fmt": self.fmt, "parse_mode": self.parse_mode, "language": self.source.language}
+        kept = {"stage_fmt": self.stage_fmt}
         return [
-            (self.count_words, [self.paths.unigrams, self.paths.totals]),
-            (self.count_pairs, [self.paths.bigrams, self.paths.pairs]),
-            (self.score, [self.paths.scores]),
-        ]
+            Stage("words", self.count_words, [paths.unigrams, paths.totals], self.source.unigrams, rows | kept),
+            Stage("pairs", self.count_pairs, [paths.bigrams, paths.pairs], self.source.bigrams, rows | kept | {"required": self.required}),
+            Stage("scores", self.score, [paths.scores], None, {
+                "mode": self.score_mode, "fmt": self.score_fmt, "sorted": self.sorted, "required": self.required,
+            }),
+        ]
+
+    def _manifest(self, name: str) -> dict:
+        """What the stage's manifest says if the stage is made now."""
+        stages = {stage.name: stage for stage in self.stages()}
+        own = stages[name]
+        inputs = {"stop_words": manifest.content(self.stop_words)}
+        if own.source is not None:
+            inputs[own.source] = manifest.listing(self.spark, own.source)
+        before = list(stages)[: list(stages).index(name)]
+        upstream = [manifest.read_id(self.spark, stages[n].tables[-1]) for n in before]
+        return manifest.expected(name, inputs, own.options, upstream)
+
+    def _finish(self, name: str) -> None:
+        """Write the stage's manifest, the last that it does."""
+        (tables,) = (stage.tables for stage in self.stages() if stage.name == name)
+        manifest.write(self.spark, tables[-1], self._manifest(name))
 
     def all(self, resume: bool = False) -> DataFrame:
         """All stages; the scores, read back (as text: without the counts).
 
-        ``resume`` skips the stages whose tables are complete, and does the first one that
-        is not, and all behind it, anew. Without it an existing table fails the run.
+        Every stage leaves a manifest of its inputs, its options and the stages before it,
+        written when its tables are whole. ``resume`` skips the stages up to the first one
+        whose tables are not complete or whose manifest says something else: that one and all
+        behind it are done anew. Without it an existing table fails the run.
         """
-        for stage, tables in self.stages():
-            if resume and all(is_complete(self.spark, t) for t in tables):
-                continue
+        for stage in self.stages():
             if resume:
-                for table in tables:
+                whole = all(is_complete(self.spark, t) for t in stage.tables)
+                if whole and manifest.matches(self.spark, stage.tables[-1], self._manifest(stage.name)):
+                    continue
+                for table in stage.tables:
                     delete(self.spark, table)
-            stage()
+            stage.work()
         return read_scores(self.spark, self.paths.scores, self.score_fmt)
 
 

@@ -1,9 +1,11 @@
 import math
 import os
 import random
+import shutil
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from collodec import __main__ as job
 from collodec import convert as conversion
@@ -17,7 +19,7 @@ from collodec.operators import (
     prepare_unigrams,
     unigram_counts,
 )
-from collodec.plans import catalogue
+from collodec.plans import catalogue, manifest
 from collodec.plans.catalogue import with_position
 from collodec.plans.materialize import default_folder
 from collodec.sinks import write_pairs, write_scores, write_totals, write_unigrams
@@ -205,6 +207,61 @@ def test_run_goes_on(spark, tmp_path):
         Run(spark, source, stop, paths, fmt="sequence")
 
 
+def made(tmp_path, run_id):
+    """What identifies each table's current writing."""
+    root = tmp_path / "out" / run_id
+    return {name: sorted(os.listdir(root / name)) + [os.stat(root / name).st_ino] for name in os.listdir(root)}
+
+
+def test_resume_does_not_mix_runs(spark, tmp_path):
+    """A stage is kept only if it was made from what the run has now."""
+    source, stop, expected = small_corpus(spark, tmp_path, 8)
+    paths = RunPaths(str(tmp_path / "out"), "r")
+    options = {"fmt": "text", "resume": True}
+    run(spark, source, stop, paths, **options)
+    first = made(tmp_path, "r")
+    run(spark, source, stop, paths, **options)
+    assert made(tmp_path, "r") == first
+    # Another score alone: stages 1 and 2 stay.
+    run(spark, source, stop, paths, score_mode="ieee", **options)
+    other = made(tmp_path, "r")
+    assert {n for n in first if first[n] != other[n]} == {"scores"}
+    run(spark, source, stop, paths, **options)
+    # The first stage's table is gone: everything behind it is made anew, too.
+    shutil.rmtree(tmp_path / "out" / "r" / "unigrams")
+    before = made(tmp_path, "r")
+    got = run(spark, source, stop, paths, **options)
+    after = made(tmp_path, "r")
+    assert all(before[n] != after[n] for n in before)
+    assert_same(as_dict(got), expected)
+    # Other stop words, and another file of 2-grams.
+    more = stop.unionByName(spark.createDataFrame([("a",)], stop.schema))
+    words = {r.w1 for r in run(spark, source, more, paths, **options).collect()}
+    assert "a" not in words and {k[0] for k in expected} - words == ({"a"} & {k[0] for k in expected})
+    before = made(tmp_path, "r")
+    os.makedirs(source.bigrams, exist_ok=True)
+    with open(f"{source.bigrams}/more.txt", "w") as file:
+        file.write("b c\t1801\t7\n")
+    run(spark, source, more, paths, **options)
+    after = made(tmp_path, "r")
+    assert {n for n in after if before[n] != after[n]} == {"bigrams", "pairs", "scores"}
+
+
+def test_manifests(spark, tmp_path):
+    folder = str(tmp_path)
+    wanted = manifest.expected("words", {"a": "b"}, {"fmt": "text"}, [])
+    assert manifest.read_id(spark, folder) is None and not manifest.matches(spark, folder, wanted)
+    own = manifest.write(spark, folder, wanted)
+    assert manifest.read_id(spark, folder) == own and manifest.matches(spark, folder, wanted)
+    assert not [n for n in os.listdir(folder) if own in n]
+    assert not manifest.matches(spark, folder, wanted | {"upstream": ["x"]})
+    assert manifest.write(spark, folder, wanted) != own
+    rows = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "word string")
+    assert manifest.content(rows) == manifest.content(rows.orderBy(F.desc("word")).repartition(3))
+    assert manifest.content(rows) != manifest.content(rows.distinct())
+    assert manifest.content(rows.where("false")) == "0 None None"
+
+
 def test_required_in_a_run(spark, tmp_path):
     """Pairs of a word that the unigrams lack."""
     source = corpus("eng", root=str(tmp_path / "corpus"))
