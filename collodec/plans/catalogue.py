@@ -10,12 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import likelihood, text
-from ..operators import counts, filters, marginals, ordering, scores
+from ..operators import counters, counts, filters, marginals, ordering, scores, top
 from ..sinks import tables as sinks
 from ..sources import ngrams as ngram_sources
 from ..sources import tables as sources
 from ..sources import testtables
-from . import pipeline
+from . import pipeline, releases
 from .materialize import Workspace, default_folder
 
 ENGLISH_STOP_WORDS = (
@@ -161,6 +161,26 @@ def ngram_fields_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_sources.parse_ngram_line(rows.select(line), "DROPMALFORMED")
 
 
+@query
+def ngram_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of some years without a count, with a bad one, and with a bad year: kept and rejected."""
+    rows = testtables.product_bigrams(spark, sf_dir)
+    year = F.col("year")
+    shown = F.when(year == 1998, F.concat(F.lit("y"), year.cast("string"))).otherwise(year.cast("string"))
+    count = (
+        F.when(year == 1996, F.lit("many"))
+        .when(year == 1997, F.lit(None))
+        .otherwise(F.col("occurrences").cast("string"))
+    )
+    source = new_table_path(spark)
+    rows.select(F.concat_ws("\t", "ngram", shown, count)).write.text(source)
+    kept, rejected = ngram_sources.quarantine_ngrams(spark, source, new_table_path(spark))
+    line = F.concat_ws("\t", *[F.col(c).cast("string") for c in kept.columns])
+    return kept.select(F.lit("kept").alias("kind"), line.alias("line")).unionByName(
+        rejected.select(F.col("reason").alias("kind"), "line")
+    )
+
+
 def _read_back(spark: SparkSession, sf_dir: str, fmt: str) -> DataFrame:
     """Product 2-grams written in a format and read from it."""
     rows = testtables.product_bigrams(spark, sf_dir)
@@ -344,6 +364,36 @@ def sum_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.sum_measures(measured)
 
 
+@query
+def stage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the counting stages read and kept, observed while they ran."""
+    stop = english_stops(spark)
+    rows = []
+    for read, count in (
+        (testtables.document_unigrams, counters.counted_unigrams),
+        (testtables.document_bigrams, counters.counted_bigrams),
+    ):
+        table, own = count(read(spark, sf_dir), "eng", stop)
+        materialize(table)
+        rows += [(own.stage, name, value) for name, value in own.values().items()]
+    return spark.createDataFrame(rows, "stage string, counter string, value bigint")
+
+
+@query
+def add_release(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the first half of all years, to which a release with the other half is added."""
+    words = testtables.document_unigrams(spark, sf_dir)
+    late = F.col("year") >= 1915
+    first, second = (
+        counts.unigram_counts(counts.prepare_unigrams(rows, "eng", english_stops(spark)))
+        for rows in (words.where(~late), words.where(late))
+    )
+    path = new_table_path(spark)
+    sinks.write_unigrams(first, path)
+    releases.add_release(sources.read_unigrams(spark, path), path, second, "c", workspace(spark))
+    return sources.read_unigrams(spark, path)
+
+
 # Set operations and joins.
 
 
@@ -417,11 +467,16 @@ def pair_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marginals.pair_marginals(pairs, words, totals)
 
 
+def _frequent_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = counts.unigram_counts(document_words(spark, sf_dir))
+    return materialize(counted.where(F.col("c") >= 2))
+
+
 @query
 def missing_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that occur once are taken from the unigrams; their pairs stay, with NULL."""
     pairs = document_pair_table(spark, sf_dir)
-    words = document_unigram_table(spark, sf_dir).where(F.col("c") >= 2)
+    words = _frequent_words(spark, sf_dir)
     with_first = marginals.attach_first_marginal(pairs, words)
     return marginals.attach_second_marginal(with_first, words, rows=pairs)
 
@@ -430,7 +485,7 @@ def missing_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def required_marginals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``missing_marginals``, but such pairs go."""
     pairs = document_pair_table(spark, sf_dir)
-    words = document_unigram_table(spark, sf_dir).where(F.col("c") >= 2)
+    words = _frequent_words(spark, sf_dir)
     with_first = marginals.attach_first_marginal(pairs, words, required=True)
     return marginals.attach_second_marginal(with_first, words, required=True, rows=pairs)
 
@@ -499,6 +554,12 @@ def collocations_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(english_collocations(spark, sf_dir))
 
 
+@query
+def strongest_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 strongest pairs of every decade, of scores rounded alike in all engines."""
+    return top.strongest_pairs(_scored(english_collocations(spark, sf_dir)), 20)
+
+
 @query
 def collocations_heb(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(

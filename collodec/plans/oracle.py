@@ -123,7 +123,7 @@ HEBREWS = {**HEBREW_STEPS, **_count_steps("heb", HEBREW_STOP_WORDS)}
 
 def _with(steps: dict[str, str], select: str) -> str:
     # The steps that others read more than once are computed once, whatever the engine.
-    kept = {"docs", "uni", "bi", "u", "b"}
+    kept = {"docs", "uni", "bi", "u", "b", "often"}
     named = ",\n".join(
         f"{name} AS {'MATERIALIZED ' if name in kept else ''}({body})" for name, body in steps.items()
     )
@@ -154,16 +154,40 @@ SINGLE_MARGINAL = """
     SELECT b.w1, b.w2, b.decade, b.c12, u.c AS {name}
     FROM b LEFT JOIN u ON u.w = b.{word} AND u.decade = b.decade"""
 
+FREQUENT = {**TEXTS, "often": "SELECT * FROM u WHERE c >= 2"}
 TWO_MARGINALS = """
     SELECT b.w1, b.w2, b.decade, b.c12, x.c AS c1, y.c AS c2
-    FROM b {join} (SELECT * FROM u WHERE c >= 2) x ON x.w = b.w1 AND x.decade = b.decade
-           {join} (SELECT * FROM u WHERE c >= 2) y ON y.w = b.w2 AND y.decade = b.decade"""
+    FROM b {join} often x ON x.w = b.w1 AND x.decade = b.decade
+           {join} often y ON y.w = b.w2 AND y.decade = b.decade"""
 
 PARTIAL_PAIRS = "SELECT w1, w2, decade, c1, c12, n FROM counted"
 UNIGRAMS = "SELECT w, decade, c FROM u"
 TOTALS = "SELECT decade, n FROM n"
 FIRST_MARGINAL = _with(TEXTS, SINGLE_MARGINAL.format(name="c1", word="w1"))
 
+
+
+def _counters() -> str:
+    """One row per counter of the counting stages; a row of the tables is one occurrence."""
+    tokens = "string_split(rtrim(ngram, ' '), ' ')"
+    parts = []
+    for stage, rows, n, counted, kept, measure in (
+        ("unigrams", "uni", 1, "u", "words", "c"), ("bigrams", "bi", 2, "b", "pairs", "c12"),
+    ):
+        right = f"len({tokens}) = {n}"
+        clean = " AND ".join([right, *[_clean(f"{tokens}[{i}]", "eng") + " <> ''" for i in range(1, n + 1)]])
+        values = {
+            "rows_read": f"SELECT sum(occurrences) FROM {rows}",
+            "right_arity": f"SELECT sum(occurrences) FROM {rows} WHERE {right}",
+            "cleaned": f"SELECT sum(occurrences) FROM {rows} WHERE {clean}",
+            "kept": f"SELECT sum(occurrences) FROM {kept}",
+            "groups": f"SELECT count(*) FROM {counted}",
+            "occurrences": f"SELECT sum({measure}) FROM {counted}",
+        }
+        parts += [f"SELECT '{stage}' AS stage, '{k}' AS counter, CAST(({v}) AS BIGINT) AS value" for k, v in values.items()]
+    return " UNION ALL ".join(parts)
+
+
 # The formula as it is written: powers, their products, logarithms of those.
 _DRAWS = (("k12", "k1", "p"), ("k2 - k12", "kn - k1", "p"), ("k12", "k1", "p1"), ("k2 - k12", "kn - k1", "p2"))
 
@@ -202,6 +226,13 @@ ORACLE_SQL: dict[str, str] = {
                   CAST(len(string_split(ngram, ' ')) AS INTEGER) AS n_tokens FROM bi""",
     ),
     "ngram_fields_malformed": _with(PRODUCTS, BIGRAM_ROWS + " WHERE year NOT IN (1996, 1997)"),
+    "ngram_quarantine": _with(PRODUCTS, """
+        SELECT CASE year WHEN 1996 THEN 'occurrences' WHEN 1997 THEN 'fields' WHEN 1998 THEN 'year' ELSE 'kept' END AS kind,
+               concat_ws(chr(9), ngram, CASE WHEN year = 1998 THEN 'y' ELSE '' END || year,
+                         CASE year WHEN 1996 THEN 'many' WHEN 1997 THEN NULL ELSE CAST(occurrences AS VARCHAR) END) AS line
+        FROM bi"""),
+    "stage_counters": _with(TEXTS, _counters()),
+    "add_release": _with(TEXTS, UNIGRAMS),
     "ngram_rows_malformed": _with(PRODUCTS, BIGRAM_ROWS + " WHERE year NOT IN (1996, 1997)"),
     "read_ngrams_parquet": _with(PRODUCTS, BIGRAM_ROWS),
     "read_ngrams_text": _with(PRODUCTS, BIGRAM_ROWS),
@@ -288,8 +319,8 @@ ORACLE_SQL: dict[str, str] = {
            FROM b LEFT JOIN n ON n.decade = b.decade AND n.decade <> 2000""",
     ),
     "pair_marginals": _with(PRODUCTS, PARTIAL_PAIRS),
-    "missing_marginals": _with(TEXTS, TWO_MARGINALS.format(join="LEFT JOIN")),
-    "required_marginals": _with(TEXTS, TWO_MARGINALS.format(join="JOIN")),
+    "missing_marginals": _with(FREQUENT, TWO_MARGINALS.format(join="LEFT JOIN")),
+    "required_marginals": _with(FREQUENT, TWO_MARGINALS.format(join="JOIN")),
     "reverse_pairs": _with(PRODUCTS, "SELECT w2 AS w1, w1 AS w2, decade, c12 FROM b"),
     "likelihood_terms": _with(
         PRODUCTS,
@@ -311,6 +342,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "collocations": _with(PRODUCTS, SCORES),
     "collocations_text": _with(ENGLISH_TEXTS, SCORES),
+    "strongest_pairs": _with(ENGLISH_TEXTS, f"""
+        SELECT decade, CAST(rank AS INTEGER) AS rank, w1, w2, llr FROM (
+            SELECT *, row_number() OVER (PARTITION BY decade ORDER BY llr, w1, w2) AS rank FROM ({SCORES}))
+        WHERE rank <= 20"""),
     "collocations_heb": _with(HEBREWS, SCORES),
     "collocations_ieee": _with(
         {**ENGLISH_TEXTS, **IEEE_STEPS},

@@ -111,3 +111,33 @@ def convert_ngrams(
 ) -> None:
     """One pass over a corpus of any format to the parquet form."""
     read_ngrams(spark, source, fmt, mode).write.parquet(target)
+
+
+QUARANTINE_SCHEMA = "ngram string, year int, occurrences bigint, reason string, line string, file string"
+
+
+def quarantine_ngrams(spark: SparkSession, source: str, target: str) -> tuple[DataFrame, DataFrame]:
+    """Text n-grams parsed in one pass: (rows, rejected lines with the reason and their file).
+
+    Both are written below ``target``, a folder for each. Reasons, the first that holds:
+    ``fields`` (fewer than three), ``year`` and ``occurrences`` (no number that fits).
+    """
+    text = spark.read.text(source)
+    fields = text.select("value", F.split("value", "\t").alias("f"), F.col("_metadata.file_path").alias("file"))
+    ngram, year, occurrences = (F.get("f", F.lit(i)).try_cast(c.dataType) for i, c in enumerate(NGRAM_SCHEMA))
+    reason = (
+        F.when(F.size("f") < len(NGRAM_SCHEMA), "fields").when(year.isNull(), "year").when(occurrences.isNull(), "occurrences")
+    )
+    judged = fields.select(ngram.alias("ngram"), year.alias("year"), occurrences.alias("occurrences"), reason.alias("reason"), "value", "file")
+    bad = F.col("reason").isNotNull()
+    parted = judged.select(
+        *[F.when(~bad, F.col(c.name)).alias(c.name) for c in NGRAM_SCHEMA],
+        "reason",
+        F.when(bad, F.col("value")).alias("line"),
+        F.when(bad, F.col("file")).alias("file"),
+        bad.alias("rejected"),
+    )
+    parted.write.partitionBy("rejected").parquet(target)
+    both = spark.read.schema(QUARANTINE_SCHEMA + ", rejected boolean").parquet(target)
+    rows = both.where(~F.col("rejected")).select(*[c.name for c in NGRAM_SCHEMA])
+    return rows, both.where("rejected").select("reason", "line", "file")
