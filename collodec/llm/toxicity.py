@@ -8,8 +8,11 @@ document by its worst word and by the share of its words that the machine object
 
 Training takes at most ``MAX_TRAINING`` labelled documents, chosen by a hash of their ids.
 Their sentences have the label of the document; which word carries it is found as usual for
-labelled bags: words that stand in toxic sentences far more often than chance allows are
-positive, words of clean sentences are negative. In ``TURNS`` turns the clean words that the
+labelled bags. Every run of ``WINDOW`` letters of a word is tested: it is evidence if it stands
+in more toxic documents than chance allows, by the exact binomial tail, with at most
+``FALSE_SHARE`` of all evidence false. Words that hold evidence, and are no commoner in clean
+documents than in all, are positive: so the many forms of one insult count together, and a
+language with few toxic documents is learned too. Words of clean sentences are negative. In ``TURNS`` turns the clean words that the
 machine likes best join the negatives, and words of toxic sentences alone that it objects to
 join the positives. Landmarks are the surest words of either kind. The machine is linear in
 K_mm^(-1/2) k(landmarks, word), which adds up to one weight per subsequence: scoring looks
@@ -41,7 +44,8 @@ DECAY = 0.5
 #: Letters skipped at most, by length of the subsequence.
 SKIPPED = {4: 1, 5: 2, 6: 2}
 TABLE = 1 << 20  # subsequences are hashed to so many weights
-SURE = 7.0  # standard deviations from chance
+WINDOW = 5
+FALSE_SHARE = 0.01
 THRESHOLD = 0.7
 
 _EDGE = 0
@@ -192,6 +196,81 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["word", "toxic", "clean"])
 
 
+def _windows(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each run of letters, index of its word); shorter words are one run."""
+    symbols, first, left = _letters(words)
+    sizes = np.diff(np.append(first, len(symbols)))
+    code = np.zeros(len(symbols), np.uint32)
+    for k in range(WINDOW):
+        following = np.zeros(len(symbols), np.uint32)
+        following[: len(symbols) - k] = symbols[k:]
+        code = code * np.uint32(0x9E3779B1) + np.where(left > k, following + 1, 0).astype(np.uint32)
+    code = (code ^ (code >> np.uint32(15))) * np.uint32(0x85EBCA6B)
+    starts = np.zeros(len(symbols), bool)
+    starts[spread(first, np.maximum(sizes - WINDOW + 1, 1))] = True
+    owner = np.repeat(np.arange(len(words)), sizes)
+    return (code ^ (code >> np.uint32(13)))[starts].astype(np.int64) & (TABLE - 1), owner[starts]
+
+
+def _count_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per run of letters: toxic and clean documents of a task that it is in."""
+    total = np.zeros((2, TABLE), np.int64)
+    for batch in as_batches(batches):
+        words, doc = words_of(batch.column("text"))
+        encoded = words.dictionary_encode()
+        code, owner = _windows(encoded.dictionary)
+        sizes = np.bincount(owner, minlength=len(encoded.dictionary))
+        word = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        runs = code[spread((np.cumsum(sizes) - sizes)[word], sizes[word])]
+        pairs = np.unique(np.repeat(doc, sizes[word]) * TABLE + runs)
+        label = batch.column("label").to_numpy(zero_copy_only=False)[pairs // TABLE]
+        for y in (0, 1):
+            total[y] += np.bincount(pairs[label == y] % TABLE, minlength=TABLE)
+    seen = np.flatnonzero(total.sum(0))
+    columns = [pa.array(seen), pa.array(total[1][seen]), pa.array(total[0][seen])]
+    yield pa.RecordBatch.from_arrays(columns, ["code", "toxic", "clean"])
+
+
+def _log_tails(toxic: np.ndarray, n: np.ndarray, share: float) -> np.ndarray:
+    """ln of the chance of at least ``toxic`` of n, each with the given chance."""
+    top = int(n.max())
+    log_factorial = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, top + 1)))))
+    pairs, back = np.unique(n * (top + 1) + toxic, return_inverse=True)
+    out = np.empty(len(pairs))
+    for i, pair in enumerate(pairs.tolist()):
+        size, k = divmod(pair, top + 1)
+        j = np.arange(k, size + 1)
+        terms = log_factorial[size] - log_factorial[j] - log_factorial[size - j] + j * np.log(share) + (size - j) * np.log1p(-share)
+        out[i] = terms.max() + np.log(np.exp(terms - terms.max()).sum())
+    return out[back]
+
+
+def evidence(rows: DataFrame, share: float) -> np.ndarray:
+    """Whether each run of letters is evidence. At most ``TABLE`` counts come to the driver."""
+    counted = rows.mapInArrow(_count_windows, "code long, toxic long, clean long")
+    found = counted.groupBy("code").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).toArrow()
+    code, toxic, clean = (found.column(c).to_numpy() for c in ("code", "toxic", "clean"))
+    over = toxic > share * (toxic + clean)
+    tails = np.zeros(len(code))
+    tails[over] = _log_tails(toxic[over], (toxic + clean)[over], share)
+    order = np.argsort(tails, kind="stable")
+    allowed = np.log(FALSE_SHARE * np.arange(1, len(code) + 1) / len(code))
+    passed = np.flatnonzero(tails[order] <= allowed)
+    mask = np.zeros(TABLE, bool)
+    mask[code[order[: passed[-1] + 1 if len(passed) else 0]]] = True
+    # A run in more clean documents than toxic ones tells of no single insult.
+    mask[code[clean >= toxic]] = False
+    return mask
+
+
+def _with_evidence(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[pa.RecordBatch]:
+    mask = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+    for batch in batches:
+        code, owner = _windows(batch.column("word").cast(pa.large_binary()))
+        held = np.bincount(owner, mask[code], minlength=batch.num_rows) > 0
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held)], [*batch.schema.names, "held"])
+
+
 def _features(words: pa.Array, landmarks: pa.Array) -> np.ndarray:
     """Kernel values of words and landmarks."""
     symbols, first, left = _letters(landmarks)
@@ -272,9 +351,9 @@ def _like(batches: Iterator[pa.RecordBatch], weights: np.ndarray, bias: float) -
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Model:
     """``labels``: doc_id and label (0 or 1)."""
-    rows = training_rows(docs, labels, limit)
+    rows = stored(training_rows(docs, labels, limit))
     schema = "word binary, toxic long, clean long"
-    counted = rows.mapInArrow(_count_words, schema).where(F.length("word").between(2, 64))
+    counted = rows.mapInArrow(_count_words, schema)
     counted = counted.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     nothing = np.zeros(0, np.int64), np.zeros(0, np.float32)
@@ -284,7 +363,11 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Model:
     share = n[1] / (n[0] + n[1])
     seen = F.col("toxic") + F.col("clean")
     z = (F.col("toxic") - seen * share) / F.sqrt(seen * share * (1 - share))
-    counted = stored(counted.withColumn("z", z))
+    bits = np.packbits(evidence(rows, share)).tobytes()
+    marked = counted.withColumn("z", z).mapInArrow(
+        lambda b: _with_evidence(b, bits), f"{schema}, z double, held boolean"
+    )
+    counted = stored(marked.withColumn("sure", F.col("held") & (F.col("z") > 0)).drop("held"))
     known: dict[bytes, tuple[int, int, float, bool]] = {}
 
     def learn(part: DataFrame, positive: bool) -> list[bytes]:
@@ -293,7 +376,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Model:
             known[word] = (r["toxic"], r["clean"], r["z"], positive or known.get(word, (0, 0, 0, False))[3])
         return [word for word, _ in new]
 
-    sure = (F.col("z") >= SURE) & (F.col("toxic") > 8 * F.col("clean"))
+    sure = F.col("sure")
     learn(counted.where(sure).orderBy(F.desc("z"), "word").limit(MAX_WORDS), True)
     if not known:  # few documents: the likeliest words
         learn(counted.where("clean = 0").orderBy(F.desc("z"), "word").limit(5), True)
@@ -314,7 +397,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Model:
         table, bias = _machine(words, positive, np.array(marks), weight)
         if turn == TURNS - 1:
             break
-        kinds = f"{schema}, z double, margin double"
+        kinds = f"{schema}, z double, sure boolean, margin double"
         liked = counted.mapInArrow(lambda b, t=table, c=bias: _like(b, t, c), kinds)
         hard = learn(
             liked.where((F.col("clean") > 0) & ~sure & (F.col("margin") > -0.5)).orderBy(F.desc("margin"), "word").limit(MAX_WORDS),
