@@ -10,8 +10,8 @@ Training takes at most ``MAX_TRAINING`` labelled documents, chosen by a hash of
 Their sentences have the label of the document; which word carries it is found as usual for
 labelled bags. Every run of ``WINDOW`` letters of a word is tested: it is evidence if it stands
 in more toxic documents than chance allows, by the exact binomial tail, with at most
-``FALSE_SHARE`` of all evidence false. Words that hold evidence, and are no commoner in clean
-documents than in all, are positive: so the many forms of one insult count together, and a
+``FALSE_SHARE`` of all evidence false. Words that hold evidence, and are in more toxic
+documents than clean ones, are positive: so the many forms of one insult count together, and a
 language with few toxic documents is learned too. Words of clean sentences are negative. In ``TURNS`` turns the clean words that the
 machine likes best join the negatives, and words of toxic sentences alone that it objects to
 join the positives. Landmarks are the surest words of either kind. The machine is linear in
@@ -258,8 +258,6 @@ def evidence(rows: DataFrame, share: float) -> np.ndarray:
     passed = np.flatnonzero(tails[order] <= allowed)
     mask = np.zeros(TABLE, bool)
     mask[code[order[: passed[-1] + 1 if len(passed) else 0]]] = True
-    # A run in more clean documents than toxic ones tells of no single insult.
-    mask[code[clean >= toxic]] = False
     return mask
 
 
@@ -317,11 +315,22 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> DataFrame:
-    """text and label of at most ``limit`` labelled documents; their ids may be broadcast."""
+    """text and label of at most ``limit`` labelled documents; their ids may be broadcast.
+
+    Of documents of one label that share both the least and the greatest hash of their runs of
+    five words, which copies do and near copies mostly, one stays: what is said once is
+    counted once.
+    """
     own = labels.where("doc_id IS NOT NULL AND label IS NOT NULL")
     own = own.groupBy("doc_id").agg(F.max("label").cast("int").alias("label"))
     chosen = own.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
-    return texts(docs, "doc_id").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    rows = texts(docs, "doc_id").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    runs = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("words") - 4, F.lit(1))), lambda i: F.xxhash64(F.slice("words", i, 5))
+    )
+    hashed = rows.withColumn("words", F.split(F.lower("text"), r"\s+")).withColumn("runs", runs)
+    ends = hashed.select("label", "text", F.array_min("runs").alias("least"), F.array_max("runs").alias("greatest"))
+    return ends.groupBy("label", "least", "greatest").agg(F.min("text").alias("text")).select("text", "label")
 
 
 def _machine(words: pa.Array, positive: np.ndarray, sure: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
@@ -367,7 +376,7 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_TRAINING) -> Model:
     marked = counted.withColumn("z", z).mapInArrow(
         lambda b: _with_evidence(b, bits), f"{schema}, z double, held boolean"
     )
-    counted = stored(marked.withColumn("sure", F.col("held") & (F.col("z") > 0)).drop("held"))
+    counted = stored(marked.withColumn("sure", F.col("held") & (F.col("toxic") > F.col("clean"))).drop("held"))
     known: dict[bytes, tuple[int, int, float, bool]] = {}
 
     def learn(part: DataFrame, positive: bool) -> list[bytes]:
