@@ -233,7 +233,7 @@ def _count_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _log_tails(toxic: np.ndarray, n: np.ndarray, share: float) -> np.ndarray:
     """ln of the chance of at least ``toxic`` of n, each with the given chance."""
-    top = int(n.max())
+    top = int(n.max(initial=0))
     log_factorial = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, top + 1)))))
     pairs, back = np.unique(n * (top + 1) + toxic, return_inverse=True)
     out = np.empty(len(pairs))
@@ -269,22 +269,30 @@ def _with_evidence(batches: Iterator[pa.RecordBatch], bits: bytes) -> Iterator[p
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held)], [*batch.schema.names, "held"])
 
 
-def _features(words: pa.Array, landmarks: pa.Array) -> np.ndarray:
-    """Kernel values of words and landmarks."""
-    symbols, first, left = _letters(landmarks)
-    owner = np.repeat(np.arange(len(landmarks)), np.diff(np.append(first, len(symbols))))
-    parts = [(c[left > r], owner[left > r], np.full((left > r).sum(), w)) for w, r, c in _subsequences(symbols)]
-    codes, owners, weights = (np.concatenate(p) for p in zip(*parts, strict=True))
-    order = np.argsort(codes, kind="stable")
-    codes, owners, weights = codes[order], owners[order], weights[order]
-    kernel = np.zeros((len(words), len(landmarks)))
+def _profile(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, subsequence, summed weight) of all words, each pair once, in order of both."""
     symbols, first, left = _letters(words)
     owner = np.repeat(np.arange(len(words)), np.diff(np.append(first, len(symbols))))
+    keys, weights = [np.zeros(0, np.int64)], [np.zeros(0)]
     for weight, reach, code in _subsequences(symbols):
         own = left > reach
-        low, high = np.searchsorted(codes, code[own]), np.searchsorted(codes, code[own], "right")
-        hits = spread(low, high - low)
-        np.add.at(kernel, (np.repeat(owner[own], high - low), owners[hits]), weight * weights[hits])
+        found, times = np.unique(owner[own] * TABLE + code[own], return_counts=True)
+        keys.append(found)
+        weights.append(weight * times)
+    pairs, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return pairs // TABLE, pairs % TABLE, np.bincount(back, np.concatenate(weights), minlength=len(pairs))
+
+
+def _features(words: pa.Array, landmarks: pa.Array) -> np.ndarray:
+    """Kernel values of words and landmarks."""
+    owners, codes, weights = _profile(landmarks)
+    order = np.argsort(codes, kind="stable")
+    owners, codes, weights = owners[order], codes[order], weights[order]
+    owner, code, weight = _profile(words)
+    kernel = np.zeros((len(words), len(landmarks)))
+    low, high = np.searchsorted(codes, code), np.searchsorted(codes, code, "right")
+    hits = spread(low, high - low)
+    np.add.at(kernel, (np.repeat(owner, high - low), owners[hits]), np.repeat(weight, high - low) * weights[hits])
     return kernel / _norms(words)[:, None] / _norms(landmarks)[None, :]
 
 
