@@ -17,7 +17,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def test_all_queries_are_registered():
     registered = contract.queries()
     assert set(QUERIES) <= set(registered) and "pipeline" in registered
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark):
