@@ -8,16 +8,17 @@ equal anchors, and whatever occurs twice is found among the suffixes of one anch
 
 1. The hashes of all anchors are exchanged, packed; those that more than one document has
    make a bit map of fixed size. Other anchors cannot be part of a repetition.
-2. Each chunk of text sorts the suffixes at the anchors that are left, each with the bytes in
-   front that its windows need (nearest first), and writes them as runs: equal ones once,
-   with the smallest document id; of each only the bytes behind what it shares with the one
-   before. Runs are exchanged by the anchor's hash and merged by a loser tree that keeps, for
+2. Each task sorts the suffixes at the anchors that are left, some MB at a time, each with the
+   bytes in front that its windows need (nearest first), and writes them as one run for each
+   shard: equal ones once, with the smallest document id; of each only the bytes behind what
+   it shares with the one before. Shards are named by the anchor's hash; there is one for some
+   MB of text, however many partitions Spark makes of them. Runs are exchanged by the anchor's hash and merged by a loser tree that keeps, for
    each loser, how much it shares with the winner: known prefixes are not compared again.
    Where suffixes of one anchor differ, their windows are compared by hash.
-3. Back at its chunk, each occurrence is compared with the smallest id that has each of its
+3. Back with its group, each occurrence is compared with the smallest id that has each of its
    windows. Documents from which something goes get their spans by a join.
 
-A passage in a third of all documents is one suffix per chunk in the exchange.
+A passage in a third of all documents is one suffix per run in the exchange.
 
 Rules: a NULL text is empty. Equal ids are not smaller than each other. Rows without an id
 neither lose bytes nor take any. Each row gets a row, repeated ones alike. Other columns are
@@ -42,6 +43,12 @@ LENGTH = 50
 GRAM = 20
 #: Bytes of text whose suffixes are sorted at once; each step needs some twenty arrays of it.
 CHUNK = (1 << 20) - 1
+#: Bytes of suffixes that a task sorts to one run for each shard.
+RUN_BYTES = 16 << 20
+#: Names of anchors that a task sorts at once.
+NAMES = 2 << 20
+#: Bytes of text for each shard; a shard is merged in memory.
+SHARD_BYTES = 4 << 20
 #: Bytes of the hash that name an anchor in step 1, without those that choose the shard.
 _NAME = np.uint64(0xFFFFFFFF)
 
@@ -86,7 +93,7 @@ def _name(grams: np.ndarray, shard_bits: int) -> np.ndarray:
     return mixed(grams) >> np.uint64(32 - shard_bits)
 
 
-def _split(values: np.ndarray, shard_bits: int) -> Iterator[tuple[int, int, int]]:
+def _split(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(shard, first, last + 1) of sorted names."""
     shard = (values >> np.uint64(32)).astype(np.int64)
     edges = np.flatnonzero(np.diff(shard, prepend=-1))
@@ -94,26 +101,40 @@ def _split(values: np.ndarray, shard_bits: int) -> Iterator[tuple[int, int, int]
         yield int(shard[a]), int(a), int(b)
 
 
-def _anchor_names(batches: Iterator[pa.RecordBatch], shard_bits: int) -> Iterator[pa.RecordBatch]:
-    """Names of a chunk's anchors by shard: once, or twice if several documents have them."""
+def _anchor_names(batches: Iterator[pa.RecordBatch], shard_bits: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Names of anchors by shard: of each ``NAMES`` of them once, or twice if several documents have them."""
+    held: list[np.ndarray] = []
     for batch in as_batches(batches, size=CHUNK):
         data, offsets = text_bytes(batch.column("text"))
         text, _, _, _, grams = anchors(data, offsets)
-        if not len(grams):
-            continue
         name = _name(grams, shard_bits)
         order = np.lexsort((text, name))
         name, text = name[order], text[order]
         keep = np.ones(len(name), bool)
         keep[1:] = (name[1:] != name[:-1]) | (text[1:] != text[:-1])
-        name = name[keep]
-        third = np.zeros(len(name), bool)
-        third[2:] = (name[2:] == name[:-2])
-        name = name[~third]
-        parts = list(_split(name, shard_bits))
-        low = (name & _NAME).astype(np.uint32)
-        columns = [pa.array([s for s, _, _ in parts]), pa.array([low[a:b].tobytes() for _, a, b in parts], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, ["shard", "names"])
+        held.append(_at_most_twice(name[keep]))
+        if sum(map(len, held)) >= NAMES:
+            yield _names_by_shard(held, parts)
+            held = []
+    if any(map(len, held)):
+        yield _names_by_shard(held, parts)
+
+
+def _at_most_twice(names: np.ndarray) -> np.ndarray:
+    keep = np.ones(len(names), bool)
+    keep[2:] = names[2:] != names[:-2]
+    return names[keep]
+
+
+def _names_by_shard(held: list[np.ndarray], parts: int) -> pa.RecordBatch:
+    # Texts of different chunks are different, so one name of each tells of two documents.
+    name = _at_most_twice(np.sort(np.concatenate(held)))
+    shards = list(_split(name))
+    low = (name & _NAME).astype(np.uint32)
+    values = [low[a:b].tobytes() for _, a, b in shards]
+    shard = np.array([s for s, _, _ in shards])
+    columns = [pa.array((shard % parts).astype(np.int32)), pa.array(shard), pa.array(values, pa.binary())]
+    return pa.RecordBatch.from_arrays(columns, ["to", "shard", "names"])
 
 
 def _by_shard(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[pa.RecordBatch]]]:
@@ -158,16 +179,16 @@ def _front_coded(keys: list[bytes]) -> tuple[np.ndarray, np.ndarray, bytes]:
     return same.astype(np.uint8), (size - same).astype(np.uint8), behind.tobytes()
 
 
-def _runs(batches: Iterator[pa.RecordBatch], repeated: BitMap, shard_bits: int) -> Iterator[pa.RecordBatch]:
-    """Per chunk and shard a run (kind 1) and where its suffixes occur (kind 0); per chunk
-    the ids of its texts (kind 2).
+def _runs(batches: Iterator[pa.RecordBatch], repeated: BitMap, shard_bits: int, parts: int) -> Iterator[pa.RecordBatch]:
+    """Per ``RUN_BYTES`` of suffixes, a group: for each shard a run (kind 1); one row (kind 0) of
+    where the suffixes occur and of the texts that have them.
 
     A suffix is written from its anchor to the end of its last window, then the bytes in
     front of the anchor, nearest first, then the number of bytes from the anchor on.
     """
-    part = TaskContext.get().partitionId()
-    for number, batch in enumerate(as_batches(batches, size=CHUNK)):
-        chunk = (part << 32) | number
+    part, number = TaskContext.get().partitionId(), 0
+    group = _Group()
+    for batch in as_batches(batches, size=CHUNK):
         data, offsets = text_bytes(batch.column("text"))
         text, anchor, first, last, grams = anchors(data, offsets)
         name = _name(grams, shard_bits)
@@ -181,51 +202,75 @@ def _runs(batches: Iterator[pa.RecordBatch], repeated: BitMap, shard_bits: int)
             raw[a : e + LENGTH] + back[n - a : n - f] + bytes((e + LENGTH - a,))
             for a, f, e in zip(anchor.tolist(), first.tolist(), last.tolist(), strict=True)
         ]
-        shard = (name >> np.uint64(32)).astype(np.int64).tolist()
-        order = sorted(range(len(keys)), key=lambda i: (shard[i], keys[i]))
-        ids, text_hash = batch.column("doc_id").to_numpy(), batch.column("h").to_numpy()
-        doc_id = ids[text]
-        place = first - offsets[text]
-        columns: list[list] = [[] for _ in range(5)]
-        # What the texts of the chunk are called.
-        for column, x in zip(columns, (hash_key(chunk), 2, chunk, -1, np.stack((ids, text_hash)).tobytes()), strict=True):
+        used, which = np.unique(text, return_inverse=True)
+        ids, text_hash = (batch.column(c).to_numpy()[used] for c in ("doc_id", "h"))
+        group.add(keys, name >> np.uint64(32), which, first - offsets[text], last - first + 1, ids, text_hash)
+        if group.size >= RUN_BYTES:
+            yield group.rows((part << 32) | number, (part + number) % parts, parts)
+            group, number = _Group(), number + 1
+    if group.size:
+        yield group.rows((part << 32) | number, (part + number) % parts, parts)
+
+
+class _Group:
+    """Suffixes of some chunks, until they are sorted."""
+
+    def __init__(self):
+        self.keys: list[bytes] = []
+        self.size = self.n_texts = 0
+        self.columns: list[list[np.ndarray]] = [[] for _ in range(6)]
+
+    def add(self, keys, shard, text, place, n_windows, ids, hashes) -> None:
+        self.keys += keys
+        self.size += sum(map(len, keys))
+        for column, x in zip(self.columns, (shard, text + self.n_texts, place, n_windows, ids, hashes), strict=True):
             column.append(x)
-        at = 0
-        while at < len(order):
-            own_shard, end = shard[order[at]], at
-            index, strings, smallest = [], [], []
-            while end < len(order) and shard[order[end]] == own_shard:
-                i = order[end]
-                if not strings or strings[-1] != keys[i]:
-                    strings.append(keys[i])
-                    smallest.append(doc_id[i])
-                elif doc_id[i] < smallest[-1]:
-                    smallest[-1] = doc_id[i]
-                index.append(len(strings) - 1)
-                end += 1
-            same, size, behind = _front_coded(strings)
-            rows = order[at:end]
-            run = np.array([len(strings)], np.int64).tobytes() + same.tobytes() + size.tobytes()
-            run += np.array(smallest, np.int64).tobytes() + behind
-            where = [np.array(index), text[rows], place[rows], (last - first)[rows] + 1]
-            occurrences = b"".join(x.astype(t).tobytes() for x, t in zip(where, OCCURRENCE, strict=True))
-            # Runs go by shard; occurrences by chunk, where they wait for the answers.
-            for kind, key, value in ((1, own_shard, run), (0, chunk, occurrences)):
-                for column, x in zip(columns, (key if kind else hash_key(chunk), kind, chunk, own_shard, value), strict=True):
-                    column.append(x)
-            at = end
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], RUN_NAMES)
-
-
-#: Place in the run, text of the chunk, first window, number of windows.
+        self.n_texts += len(ids)
+
+    def rows(self, name: int, home: int, parts: int) -> pa.RecordBatch:
+        shard, text, place, n_windows, ids, hashes = map(np.concatenate, self.columns)
+        shard = shard.astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        edges = np.append(np.flatnonzero(np.diff(shard[order], prepend=-1)), len(order))
+        out, index = [], []
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            strings = [self.keys[i] for i in order[a:b].tolist()]
+            by_key = sorted(range(b - a), key=strings.__getitem__)
+            order[a:b] = rows = order[a:b][by_key]
+            strings = [strings[i] for i in by_key]
+            new = np.ones(b - a, bool)
+            new[1:] = [x != y for x, y in zip(strings, strings[1:])]
+            starts = np.flatnonzero(new)
+            smallest = np.minimum.reduceat(ids[text[rows]], starts)
+            index.append(np.cumsum(new) - 1)
+            same, size, behind = _front_coded([strings[i] for i in starts.tolist()])
+            own = int(shard[rows[0]])
+            run = np.array([len(starts)], np.int64).tobytes() + same.tobytes() + size.tobytes()
+            out.append((own % parts, own, 1, name, own, run + smallest.tobytes() + behind))
+        # Runs go by shard; occurrences to the group's place, where they wait for the answers.
+        head = np.array([len(ids), len(out), len(order)], np.int64)
+        where = [np.concatenate(index), text[order], place[order], n_windows[order]]
+        value = b"".join(x.tobytes() for x in (head, ids, hashes, shard[order][edges[:-1]], edges[1:]))
+        value += b"".join(x.astype(t).tobytes() for x, t in zip(where, OCCURRENCE, strict=True))
+        out.append((home, hash_key(name), 0, name, -1, value))
+        return _rows(out)
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, RUN_TYPES, strict=True)], RUN_NAMES)
+
+
+#: Place in the run, text of the group, first window, number of windows.
 OCCURRENCE = (np.int32, np.int32, np.int32, np.uint8)
-RUN_NAMES = ["key", "kind", "chunk", "shard", "value"]
-RUN = "key long, kind int, chunk long, shard long, value binary"
+#: ``to`` is the partition that a row goes to next.
+RUN = "to int, key long, kind int, chunk long, shard long, value binary"
+RUN_NAMES = ["to", "key", "kind", "chunk", "shard", "value"]
+RUN_TYPES = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()]
 
 
 def hash_key(chunk: int) -> int:
-    """A negative number, so that chunks and shards do not mix."""
+    """A negative number, so that groups and shards do not mix."""
     return -1 - chunk
 
 
@@ -306,35 +351,43 @@ def merged(runs: list[tuple[list[bytes], list[int]]]) -> Iterator[tuple[int, int
             node >>= 1
 
 
-def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _answers(batches: Iterator[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
     """Runs in, by shard; for each run the smallest ids of its suffixes out. Occurrences pass."""
     for key, rows in _by_shard(batches, "key"):
         if key < 0:
             yield from rows
             continue
-        chunks = [c for r in rows for c in r.column("chunk").to_pylist()]
+        names = [c for r in rows for c in r.column("chunk").to_pylist()]
         decoded = [_decoded(v.as_py()) for r in rows for v in r.column("value")]
-        group: list[np.ndarray] = [np.zeros(len(d[0]), np.int64) for d in decoded]
+        runs = [d[0] for d in decoded]
+        group = [[0] * len(r) for r in runs]
         strings: list[bytes] = []
+        size = -1
         for run, at, share in merged([d[:2] for d in decoded]):
-            own = decoded[run][0][at]
-            if not strings or share != len(own) or len(strings[-1]) != len(own):
+            own = runs[run][at]
+            if share != size or share != len(own):
                 strings.append(own)
+                size = len(own)
             group[run][at] = len(strings) - 1
         smallest = np.full(len(strings), np.iinfo(np.int64).max)
-        for own, (_, _, ids) in zip(group, decoded, strict=True):
-            np.minimum.at(smallest, own, ids)
+        for i, (_, _, ids) in enumerate(decoded):
+            group[i] = np.array(group[i], np.int64)
+            # A run has each string once.
+            smallest[group[i]] = np.minimum(smallest[group[i]], ids)
         windows, of_string = _window_minima(strings, smallest)
-        for chunk, own in zip(chunks, group, strict=True):
+        ends = np.fromiter(map(len, strings), np.int64, len(strings)) - LENGTH
+        out = []
+        for name, own in zip(names, group, strict=True):
             listed = of_string[own] >= 0
-            sizes = np.array([len(strings[g]) - LENGTH for g in own[listed]], np.int64)
+            sizes = ends[own[listed]]
             values = [
                 np.array([len(own), listed.sum()], np.int64), smallest[own], np.flatnonzero(listed), sizes,
                 windows[spread(of_string[own[listed]], sizes)],
             ]
             value = b"".join(v.astype(np.int64).tobytes() for v in values)
-            columns = [pa.array([x], t) for x, t in zip((hash_key(chunk), 1, chunk, key, value), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary()), strict=True)]
-            yield pa.RecordBatch.from_arrays(columns, RUN_NAMES)
+            home = ((name >> 32) + (name & 0xFFFFFFFF)) % parts
+            out.append((home, hash_key(name), 1, name, key, value))
+        yield _rows(out)
 
 
 def _window_minima(strings: list[bytes], smallest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -367,22 +420,24 @@ def _window_minima(strings: list[bytes], smallest: np.ndarray) -> tuple[np.ndarr
 def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per document of a chunk that loses bytes: the spans, as pairs of byte positions."""
     for _, rows in _by_shard(batches, "key"):
-        held: dict[int, bytes] = {}
         ids, hashes, starts, ends = [], [], [], []
         answers: dict[int, bytes] = {}
         for r in rows:
             for kind, shard, value in zip(r.column("kind").to_pylist(), r.column("shard").to_pylist(), r.column("value"), strict=True):
-                if kind == 2:
-                    names = np.frombuffer(value.as_py(), np.int64).reshape(2, -1)
+                if kind:
+                    answers[shard] = value.as_py()
                 else:
-                    (answers if kind else held)[shard] = value.as_py()
-        for shard, occurrences in held.items():
-            size, at, columns = len(occurrences) // 13, 0, []
-            for t in OCCURRENCE:
-                columns.append(np.frombuffer(occurrences, t, size, at).astype(np.int64))
-                at += columns[-1].size * np.dtype(t).itemsize
-            index, text, place, n_windows = columns
-            doc_id, h = names[0][text], names[1][text]
+                    held = value.as_py()
+        n_texts, n_shards, n_all = np.frombuffer(held, np.int64, 3).tolist()
+        own_ids, own_hashes = np.frombuffer(held, np.int64, 2 * n_texts, 24).reshape(2, -1)
+        shards, edges = np.frombuffer(held, np.int64, 2 * n_shards, 24 + 16 * n_texts).reshape(2, -1).tolist()
+        at, occurrences = 24 + 16 * n_texts + 16 * n_shards, []
+        for t in OCCURRENCE:
+            occurrences.append(np.frombuffer(held, t, n_all, at))
+            at += occurrences[-1].nbytes
+        for shard, low, high in zip(shards, [0, *edges], edges):
+            index, text, place, n_windows = (x[low:high].astype(np.int64) for x in occurrences)
+            doc_id, h = own_ids[text], own_hashes[text]
             answer = np.frombuffer(answers[shard], np.int64)
             n, n_listed = int(answer[0]), int(answer[1])
             smallest = answer[2 : 2 + n]
@@ -450,18 +505,18 @@ def spans_of(docs: DataFrame) -> DataFrame:
 
     ``docs``: doc_id (long), text, h (its hash).
     """
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Even shards. Their number follows the partitions alone, so they grow with the input.
-    shard_bits = min(30, max(6, (8 * n - 1).bit_length()))
-    names = docs.select("text").mapInArrow(lambda b: _anchor_names(b, shard_bits), "shard long, names binary")
-    sorted_ = names.repartition(n, "shard").sortWithinPartitions("shard")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Even shards of some MB each: their number follows the texts, not the partitions.
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    shard_bits = min(30, max(4, (n_bytes // SHARD_BYTES).bit_length()))
+    names = docs.select("text").mapInArrow(lambda b: _anchor_names(b, shard_bits, n), "to int, shard long, names binary")
+    sorted_ = names.repartitionById(n, F.col("to")).drop("to").sortWithinPartitions("shard")
     repeated = bit_map(sorted_.mapInArrow(_repeated, "name long"))
-    runs = docs.mapInArrow(lambda b: _runs(b, repeated, shard_bits), RUN)
-    by_shard = runs.repartition(n, "key").sortWithinPartitions("key")
-    answered = by_shard.mapInArrow(_answers, RUN)
-    by_chunk = answered.repartition(n, "chunk").sortWithinPartitions("key")
-    return by_chunk.mapInArrow(_spans, "doc_id long, h long, spans binary")
+    runs = docs.mapInArrow(lambda b: _runs(b, repeated, shard_bits, n), RUN)
+    by_shard = runs.repartitionById(n, F.col("to")).sortWithinPartitions("key")
+    answered = by_shard.mapInArrow(lambda b: _answers(b, n), RUN)
+    by_group = answered.repartitionById(n, F.col("to")).sortWithinPartitions("key")
+    return by_group.mapInArrow(_spans, "doc_id long, h long, spans binary")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
