@@ -8,8 +8,10 @@ phrases are searched backward at once, each step two rank queries per phrase; ph
 when their row range is empty. Occurrences are located by walking back to sampled suffix
 positions, and overlapping ones are merged to removal spans.
 
-The benchmark travels with the tasks in blocks of at most ``BLOCK_BYTES``; every document
-passes all blocks in turn, so there is no bound on the benchmark and nothing is shuffled.
+The benchmark travels with the tasks in blocks of some ``BLOCK_BYTES`` of text. Every document
+passes all blocks in turn, and between two blocks the documents and what was found are
+written, so the driver holds two blocks at most: there is no bound on the benchmark, and
+nothing is shuffled.
 
 Rules: a NULL or empty text has no words and is clean. A NULL item has no words and is
 never found; an item without an id counts under the id "null". Repeated documents each get
@@ -28,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import as_batches, run_strings, runs_of, spread, text_bytes, texts
+from .common import as_batches, run_strings, runs_of, spread, stored, text_bytes, texts
 
 WINDOW = 13
 BLOCK_BYTES = 16 << 20
@@ -296,12 +298,13 @@ def decontaminate(
         F.expr("CAST(array() AS array<array<long>>)").alias("removal"),
         F.expr("CAST(array() AS array<string>)").alias("item_ids"),
     )
-    blocks = list(_blocks(benchmark, block_bytes))
-    for number, phrases in enumerate(blocks):
-        last = number == len(blocks) - 1
-        out = rows.drop("text").schema if last else rows.schema
-        rows = rows.mapInArrow(_searcher(phrases, out), out)
-    return rows
+    blocks = _blocks(benchmark, block_bytes)
+    phrases = next(blocks)
+    for following in blocks:
+        rows = stored(rows.mapInArrow(_searcher(phrases, rows.schema), rows.schema))
+        phrases = following
+    out = rows.drop("text").schema
+    return rows.mapInArrow(_searcher(phrases, out), out)
 
 
 def _searcher(phrases: Phrases, out):
