@@ -7,8 +7,10 @@ missing rules over them, appends the findings, and joins the findings of the rul
 it was asked for back to every version of every path. A second scan of the same history
 reads no text but for its hash.
 
-Copies of a blob are put together before the exchange and after it; findings reach hot
-blobs through a join that Spark may split. Nothing is collected.
+Copies of a blob are put together before the exchange and after it. Findings go back by a
+join in which a blob with more versions than a partition's fair share is split: its versions
+are dealt out by their keys, and its findings are repeated for each part. Only the names of
+such blobs are collected, fewer than there are partitions.
 
 Rules: a NULL text is the empty blob, which has no findings. Each row of the history gets a
 row of the result, also repeated ones and such with NULL keys. Columns of other names are
@@ -24,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_folder, texts
+from ..operators.lookup import SPLIT, assign_split, hot_keys, repeat_hot, shuffle_parts
+from .common import shared_folder, stored, texts
 
 # Fixed patterns: kind, version, pattern, group whose length counts, least length of it,
 # and a text (in lower case) without which the pattern cannot match.
@@ -98,7 +101,8 @@ def scan(history: DataFrame, ledger: str, *keys: str, rules: tuple = RULES) -> D
     """Scan what the ledger lacks; returns ``keys``, ``blob`` and ``findings`` per version.
 
     ``ledger`` is a folder, made by the first scan. Its rows are blob, rules (those run) and
-    findings; a blob has one row per scan that found rules missing.
+    findings; a blob has one row per scan that found rules missing. Two scans at once may both
+    add a blob: equal findings of one rule count once.
     """
     spark = history.sparkSession
     wanted = [rule_id(r) for r in rules]
@@ -127,15 +131,17 @@ def scan(history: DataFrame, ledger: str, *keys: str, rules: tuple = RULES) -> D
 
     known = (
         spark.read.schema(LEDGER).parquet(ledger)
-        .select("blob", F.transform(F.filter("findings", is_wanted), place).alias("findings"))
+        .select("blob", F.filter("findings", is_wanted).alias("findings"))
         .where(F.size("findings") > 0)
         .groupBy("blob")
-        .agg(F.array_sort(F.flatten(F.collect_list("findings"))).alias("findings"))
+        .agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"))
+        .select("blob", F.array_sort(F.transform("findings", place)).alias("findings"))
     )
-    return (
-        versions.select(*keys, "blob")
-        .join(known, "blob", "left")
-        .withColumn("findings", F.coalesce("findings", F.array().cast(FINDING)))
+    named = stored(versions.select(*keys, "blob"))
+    hot = hot_keys(named, ["blob"], shuffle_parts(named))
+    dealt = assign_split(named, hot, ["blob"], keys or ["blob"])
+    return dealt.join(repeat_hot(known, hot, ["blob"]), ["blob", SPLIT], "left").select(
+        *keys, "blob", F.coalesce("findings", F.array().cast(FINDING)).alias("findings")
     )
 
 

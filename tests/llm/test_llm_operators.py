@@ -133,6 +133,20 @@ def test_secret_scan(spark, docs, nothing, tmp_path):
     assert newest.count() == blobs + 1 and newest.where(F.size("rules") > 1).count() == 0
 
 
+def test_secret_scan_of_hot_blobs(spark, tmp_path):
+    """A blob that most paths hold, split; and a ledger that two scans have both added to."""
+    rows = [(i, "token = abcdefghijklmnop") for i in range(400)] + [(400 + i, f"secret: {i:016x}") for i in range(100)]
+    docs = spark.createDataFrame([*rows, (None, None), (None, "token = abcdefghijklmnop")], "doc_id long, text string")
+    ledger = str(tmp_path / "ledger")
+    scanned = secrets.scan(docs, ledger, "doc_id")
+    expected = pairs((i, tuple(secrets.find(t or ""))) for i, t in [*rows, (None, None), (None, rows[0][1])])
+    assert pairs((r.doc_id, tuple(map(tuple, r.findings))) for r in scanned.collect()) == expected
+    spark.read.parquet(ledger).write.mode("append").parquet(str(tmp_path / "twice"))
+    spark.read.parquet(ledger).write.mode("append").parquet(str(tmp_path / "twice"))
+    again = secrets.scan(docs, str(tmp_path / "twice"), "doc_id")
+    assert pairs((r.doc_id, tuple(map(tuple, r.findings))) for r in again.collect()) == expected
+
+
 def test_secret_scan_of_a_raised_version(spark, tmp_path):
     """Of a rule's versions only the wanted one's findings come back."""
     docs = spark.createDataFrame([(1, "cata catb dogs")], "doc_id long, text string")
