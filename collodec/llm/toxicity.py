@@ -44,6 +44,8 @@ DECAY = 0.5
 #: Letters skipped at most, by length of the subsequence.
 SKIPPED = {4: 1, 5: 2, 6: 2}
 TABLE = 1 << 20  # subsequences are hashed to so many weights
+#: What the driver works on at once: letters of words, and rows of the machine.
+BLOCK_LETTERS, BLOCK_ROWS = 4096, 2048
 WINDOW = 5
 FALSE_SHARE = 0.01
 THRESHOLD = 0.7
@@ -283,29 +285,51 @@ def _profile(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return pairs // TABLE, pairs % TABLE, np.bincount(back, np.concatenate(weights), minlength=len(pairs))
 
 
-def _features(words: pa.Array, landmarks: pa.Array) -> np.ndarray:
-    """Kernel values of words and landmarks."""
+def _feature_blocks(words: pa.Array, landmarks: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(first word, last + 1, kernel values with the landmarks), some words at a time."""
     owners, codes, weights = _profile(landmarks)
     order = np.argsort(codes, kind="stable")
     owners, codes, weights = owners[order], codes[order], weights[order]
-    owner, code, weight = _profile(words)
-    kernel = np.zeros((len(words), len(landmarks)))
-    low, high = np.searchsorted(codes, code), np.searchsorted(codes, code, "right")
-    hits = spread(low, high - low)
-    np.add.at(kernel, (np.repeat(owner, high - low), owners[hits]), np.repeat(weight, high - low) * weights[hits])
-    return kernel / _norms(words)[:, None] / _norms(landmarks)[None, :]
+    norms = _norms(landmarks)
+    ends = np.cumsum(np.diff(text_bytes(words)[1]) + 2)
+    start = 0
+    while start < len(words):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + BLOCK_LETTERS, "right")))
+        part = words.slice(start, stop - start)
+        owner, code, weight = _profile(part)
+        low, high = np.searchsorted(codes, code), np.searchsorted(codes, code, "right")
+        hits = spread(low, high - low)
+        cells = np.repeat(owner, high - low) * len(landmarks) + owners[hits]
+        kernel = np.bincount(cells, np.repeat(weight, high - low) * weights[hits], minlength=len(part) * len(landmarks))
+        yield start, stop, kernel.reshape(len(part), -1) / _norms(part)[:, None] / norms[None, :]
+        start = stop
+
+
+def _features(words: pa.Array, landmarks: pa.Array, root: np.ndarray | None = None) -> np.ndarray:
+    """Kernel values of words and landmarks, times ``root``."""
+    out = np.zeros((len(words), len(landmarks) if root is None else root.shape[1]))
+    for start, stop, kernel in _feature_blocks(words, landmarks):
+        out[start:stop] = kernel if root is None else kernel @ root
+    return out
 
 
 def _svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, regular: float = 1e-4) -> tuple[np.ndarray, float]:
     """Primal Newton steps for the squared hinge loss; the last weight is the bias."""
-    x = np.hstack((x, np.ones((len(x), 1))))
-    w = np.zeros(x.shape[1])
-    ridge = np.full(x.shape[1], regular)
+    w = np.zeros(x.shape[1] + 1)
+    ridge = np.full(len(w), regular)
     ridge[-1] = 1e-6
     for _ in range(25):
-        inside = y * (x @ w) < 1
-        own, target, scale = x[inside], y[inside], weight[inside]
-        new = np.linalg.solve((own * scale[:, None]).T @ own + np.diag(ridge), own.T @ (scale * target))
+        gram, right = np.diag(ridge), np.zeros(len(w))
+        for start in range(0, len(x), BLOCK_ROWS):
+            part = slice(start, start + BLOCK_ROWS)
+            own = np.hstack((x[part], np.ones((len(x[part]), 1))))
+            inside = y[part] * (own @ w) < 1
+            own, target = own[inside], y[part][inside]
+            scaled = own * weight[part][inside][:, None]
+            gram += scaled.T @ own
+            right += scaled.T @ target
+        new = np.linalg.solve(gram, right)
         if np.allclose(new, w, atol=1e-6):
             break
         w = new
@@ -350,7 +374,7 @@ def _machine(words: pa.Array, positive: np.ndarray, sure: np.ndarray, weight: np
     y = np.where(positive, 1.0, -1.0)
     for sign, total in ((1, 1.0), (-1, 5.0)):
         weight = np.where(y == sign, weight * total / max(1e-9, weight[y == sign].sum()), weight)
-    w, bias = _svm(_features(words, landmarks) @ root, y, weight)
+    w, bias = _svm(_features(words, landmarks, root), y, weight)
     alpha = root @ w / _norms(landmarks)
     symbols, first, left = _letters(landmarks)
     owner = np.repeat(np.arange(len(landmarks)), np.diff(np.append(first, len(symbols))))
