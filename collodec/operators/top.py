@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .lookup import shuffle_parts
 
@@ -30,6 +29,9 @@ def _heaps(batches: Iterator[pa.RecordBatch], k: int, columns: list[str]) -> Ite
     held: pa.Table | None = None
     for batch in batches:
         rows = pa.Table.from_batches([batch]).select(columns)
+        # Here and not in a filter: below the scores' projection a filter would repeat all of their terms.
+        llr = rows.column("llr")
+        rows = rows.filter(pc.and_(pc.is_valid(llr), pc.invert(pc.is_nan(llr))))
         held = _strongest(rows if held is None else pa.concat_tables([held, rows]), k).select(columns)
     if held is not None:
         yield from _strongest(held, k).combine_chunks().to_batches()
@@ -42,8 +44,7 @@ def strongest_pairs(scores: DataFrame, k: int) -> DataFrame:
     A pair without a score (NULL, NaN) is in no list; -Infinity comes first.
     """
     columns = ["decade", "llr", "w1", "w2"]
-    scored = scores.where(F.col("llr").isNotNull() & ~F.isnan("llr")).select(*columns)
     schema = "decade int, llr double, w1 string, w2 string, rank int"
-    own = scored.mapInArrow(lambda b: _heaps(b, k, columns), schema).drop("rank")
+    own = scores.select(*columns).mapInArrow(lambda b: _heaps(b, k, columns), schema).drop("rank")
     merged = own.repartition(shuffle_parts(scores), "decade")
     return merged.mapInArrow(lambda b: _heaps(b, k, columns), schema).select("decade", "rank", "w1", "w2", "llr")

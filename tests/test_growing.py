@@ -7,6 +7,7 @@ import pytest
 
 from collodec.operators.counters import counted_bigrams, counted_unigrams
 from collodec.operators.counts import bigram_counts, prepare_bigrams, prepare_unigrams, unigram_counts
+from collodec.operators.scores import with_scores
 from collodec.operators.top import strongest_pairs
 from collodec.plans.releases import add_release
 from collodec.sinks import write_unigrams
@@ -88,3 +89,15 @@ def test_strongest_pairs(spark, k):
     assert strongest_pairs(df.where("false"), k).count() == 0
     plan = strongest_pairs(df, k)._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Sort" not in plan
+
+
+def test_strongest_pairs_compute_scores_once(spark):
+    """No filter on the score, which would be pushed below it and write its terms out again and again."""
+    rows = [(f"w{i}", "x", 1800, 10 + i, 20, 1 + i % 5, 1000) for i in range(30)] + [("no", "x", 1800, None, 20, 3, 1000)]
+    df = spark.createDataFrame(rows, "w1 string, w2 string, decade int, c1 bigint, c2 bigint, c12 bigint, n bigint")
+    top = strongest_pairs(with_scores(df), 5)
+    plan = top._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "LOG" in line.upper()]
+    got = sorted(top.collect(), key=lambda r: r.rank)
+    expected = with_scores(df).where("llr IS NOT NULL").orderBy("llr", "w1", "w2").limit(5).collect()
+    assert [(r.rank, r.w1, r.llr) for r in got] == [(i, r.w1, r.llr) for i, r in enumerate(expected, 1)]
