@@ -31,6 +31,8 @@ from .common import as_batches, joined, per_worker, spread, text_bytes, texts
 
 CHUNK = 2 << 20
 KNOWN_WORDS = 200_000
+#: Characters of new words whose suffixes are sorted at once; one longer word is by itself.
+WORD_CHARS = 1 << 17
 SPACE = "▁"
 #: Ids of characters without a piece start here, before they become bytes.
 _UNKNOWN = 1 << 21
@@ -305,11 +307,14 @@ class Encoder:
             self._forget()
         new = [w for w in words if w not in self.known]
         if new:
-            ids, counts = encode_words(new, self.vocabulary)
+            # Suffixes and edges take some hundred bytes a character.
+            part = np.cumsum([len(w) for w in new]) // WORD_CHARS
+            cuts = np.flatnonzero(np.diff(part, prepend=-1, append=part[-1] + 1))
+            made = [encode_words(new[a:b], self.vocabulary) for a, b in zip(cuts[:-1], cuts[1:])]
             for k, w in enumerate(new, len(self.known)):
                 self.known[w] = k
-            self.ids = np.concatenate((self.ids, ids.astype(np.int32)))
-            self.counts = np.concatenate((self.counts, counts))
+            self.ids = np.concatenate((self.ids, *(ids.astype(np.int32) for ids, _ in made)))
+            self.counts = np.concatenate((self.counts, *(counts for _, counts in made)))
         return np.fromiter((self.known[w] for w in words), np.int64, len(words))
 
 

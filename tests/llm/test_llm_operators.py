@@ -650,3 +650,24 @@ def test_conversation_repair(spark):
     got = {r[0]: tuple(r)[1:] for r in conversations.repair_conversations(table).collect()}
     assert got == expected and any(not e[6] for e in expected.values())
     assert conversations.repair_conversations(table.where("false")).count() == 0
+
+
+def test_pieces_new_words_in_slices(monkeypatch):
+    """New words are encoded a bounded number of characters at a time; ids do not depend on it."""
+    import pyarrow as pa
+
+    vocabulary = pieces.Vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    rng = random.Random(4)
+    texts = pa.array([" ".join("".join(rng.choices("abcdeé ß☃", k=rng.randint(0, 30))) for _ in range(20)) for _ in range(50)])
+    whole = pieces.Encoder(vocabulary).encode(texts)
+    seen, encode_words = [], pieces.encode_words
+
+    def watched(words, vocabulary):
+        seen.append(words)
+        return encode_words(words, vocabulary)
+
+    monkeypatch.setattr(pieces, "WORD_CHARS", 100)
+    monkeypatch.setattr(pieces, "encode_words", watched)
+    parts = pieces.Encoder(vocabulary).encode(texts)
+    assert all(np.array_equal(a, b) for a, b in zip(whole, parts, strict=True))
+    assert len(seen) > 10 and max(sum(map(len, w[1:])) for w in seen) < 100
