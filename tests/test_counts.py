@@ -1,5 +1,11 @@
 import pytest
 
+import random
+
+from pyspark.sql import functions as F
+
+from collodec.functions import text
+from collodec.plans.catalogue import QUERIES
 from collodec.operators import (
     bigram_counts,
     decade_totals,
@@ -138,3 +144,29 @@ def test_long_stop_list_is_not_broadcast(spark):
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("language", ["eng", "heb"])
+def test_ngrams_are_judged_and_cleaned_once(spark, ngrams, language):
+    """One search and one replacement say what tokens, their number and their cleaning say one by one."""
+    rng = random.Random(5)
+    odd = ["a", "B", "9", "א", "ת", "-", "K", "é", " ", " ", "\n", "\t", " ", "\U0001f600"]
+    rows = [("".join(rng.choices(odd, k=rng.randint(0, 7))), 1801, 1) for _ in range(3000)] + [(None, 1801, 1)]
+    rows += [("a" * 100_000 + " " + "-" * 100_000, 1801, 1), ("-" * 100_000 + "a א" + "b" * 100_000, 1801, 1)]
+    df = ngrams(rows)
+    for n in (1, 2):
+        tokens = text.ngram_tokens("ngram")
+        whole = text.arity("ngram") == n
+        for i in range(n):
+            whole = whole & text.survives_cleaning(F.get(tokens, F.lit(i)), language)
+        judged = df.select(F.coalesce(whole, F.lit(False)) == F.coalesce(text.holds_words("ngram", n, language), F.lit(False)))
+        assert all(r[0] for r in judged.collect())
+    cleaned = F.transform(text.ngram_tokens("ngram"), lambda t: text.clean_token(t, language))
+    assert df.where(F.concat_ws(" ", cleaned) != text.clean_ngram("ngram", language)).where(text.arity("ngram") == 2).count() == 0
+    plan = prepare_bigrams(df, language, spark.sql("SELECT 'x' AS word"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1 and plan.lower().count("rlike") <= 1
+
+
+def test_null_keys_clean_once(spark):
+    plan = QUERIES["null_keys"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
