@@ -56,9 +56,9 @@ def _ieee_quotient(a: Column, b: Column) -> Column:
 def _ieee_ln(x: Column) -> Column:
     # NaN > 0 holds in Spark, and ln(NaN) is NaN.
     return (
-        F.when(x > 0, F.log(x))
-        .when(x == 0, F.lit(float("-inf")))
+        F.when(x == 0, F.lit(float("-inf")))
         .when(x < 0, F.lit(float("nan")))
+        .otherwise(F.log(x))
     )
 
 
@@ -110,16 +110,30 @@ def valid_counts(c1="c1", c2="c2", c12="c12", n="n") -> Column:
     )
 
 
+def _draws(c1, c2, c12, n, terms: Terms) -> list[tuple[Column, Column, Column]]:
+    p, p1, p2 = terms
+    c1, c2, c12, n = _doubles(c1, c2, c12, n)
+    return [(c12, c1, p), (c2 - c12, n - c1, p), (c12, c1, p1), (c2 - c12, n - c1, p2)]
+
+
+def likelihoods(c1="c1", c2="c2", c12="c12", n="n", *, terms: Terms) -> list[Column]:
+    """The four L of the ieee mode."""
+    return [binomial_likelihood(*draw) for draw in _draws(c1, c2, c12, n, terms)]
+
+
+def ratio_of_likelihoods(a: Column, b: Column, c: Column, d: Column) -> Column:
+    """log lambda of the ieee mode from ``likelihoods``."""
+    return _ieee_ln(a) + _ieee_ln(b) - _ieee_ln(c) - _ieee_ln(d)
+
+
 def log_likelihood_terms(
     c1="c1", c2="c2", c12="c12", n="n", mode: str = "log", terms: Terms | None = None
 ) -> list[Column]:
     """The four ln L whose signed sum (+ + - -) is log lambda."""
-    p, p1, p2 = terms or likelihood_terms(c1, c2, c12, n, mode)
-    c1, c2, c12, n = _doubles(c1, c2, c12, n)
-    draws = [(c12, c1, p), (c2 - c12, n - c1, p), (c12, c1, p1), (c2 - c12, n - c1, p2)]
+    terms = terms or likelihood_terms(c1, c2, c12, n, mode)
     if mode == "ieee":
-        return [_ieee_ln(binomial_likelihood(*draw)) for draw in draws]
-    return [binomial_log_likelihood(*draw) for draw in draws]
+        return [_ieee_ln(x) for x in likelihoods(c1, c2, c12, n, terms=terms)]
+    return [binomial_log_likelihood(*draw) for draw in _draws(c1, c2, c12, n, terms)]
 
 
 def log_likelihood_ratio(
@@ -138,8 +152,7 @@ def log_likelihood_ratio(
         raise ValueError(f"unknown mode {mode!r}; known: {MODES}")
     terms = terms or likelihood_terms(c1, c2, c12, n, mode)
     if mode == "ieee":
-        a, b, c, d = log_likelihood_terms(c1, c2, c12, n, mode, terms)
-        return a + b - c - d
+        return ratio_of_likelihoods(*likelihoods(c1, c2, c12, n, terms=terms))
     valid = valid_counts(c1, c2, c12, n)
     p, p1, p2 = terms
     c1, c2, c12, n = _doubles(c1, c2, c12, n)

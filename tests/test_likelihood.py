@@ -1,4 +1,5 @@
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from collodec.functions import (
     log_likelihood_terms,
 )
 from collodec.operators import with_scores
+from collodec.plans.catalogue import QUERIES
 
 NAN, INF = math.nan, math.inf
 
@@ -96,3 +98,19 @@ def test_binomial_forms_agree(spark):
 def test_unknown_mode():
     with pytest.raises(ValueError):
         log_likelihood_ratio(mode="exact")
+
+
+def test_ieee_classes_are_compiled(spark, capsys):
+    """The JVM interprets methods of more than 8,000 bytes, row by row."""
+    scored = QUERIES["collocations_ieee"](spark, "/root/testdata/sf0.001")
+    capsys.readouterr()
+    scored.explain("codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    scored.collect()
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        scored.select("*").explain("codegen")
+        sizes += [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sizes and max(sizes) < 8000
