@@ -249,7 +249,7 @@ def test_short_stop_list_is_no_join(spark):
         assert "Join" not in plan_of(rows)
 
 
-@pytest.mark.parametrize("name", ["required_marginals", "attach_marginals_split", "missing_marginals"])
+@pytest.mark.parametrize("name", ["required_marginals", "stage_counters", "attach_marginals_split", "missing_marginals"])
 def test_documents_are_read_once(spark, monkeypatch, name):
     """Words and pairs come out of one pass: texts are cleaned for one of all tables written."""
     cleaned, write = [], catalogue.Workspace.materialize
