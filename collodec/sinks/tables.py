@@ -3,6 +3,8 @@
 Parquet output is laid out by decade, so that queries for some decades read no others.
 A REBALANCE by decade comes first: it gathers a decade's rows into files of a good size,
 and splits a large decade over as many tasks as it needs.
+
+Tables may be written in turns: one job after the other, each with keys of its own.
 """
 
 from __future__ import annotations
@@ -10,7 +12,7 @@ from __future__ import annotations
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 from pyspark.sql import functions as F
 
 from ..functions.text import format_measures_line, format_score_line, format_totals_line
@@ -52,8 +54,25 @@ class RunPaths:
         return self._path("scores")
 
 
-def _write_by_decade(df: DataFrame, path: str) -> None:
-    df.hint("rebalance", "decade").write.partitionBy("decade").parquet(path)
+#: As (this one, of how many).
+Turn = tuple[int, int]
+WHOLE: Turn = (0, 1)
+
+
+def _writer(df: DataFrame, turn: Turn) -> DataFrameWriter:
+    """The first turn fails on an existing table; the last one marks the table as whole."""
+    this, of = turn
+    writer = df.write.mode("append" if this else "errorifexists")
+    return writer if this == of - 1 else writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+
+
+def _parquet(df: DataFrame, turn: Turn) -> DataFrameWriter:
+    """zstd: two thirds of what snappy leaves of words and counts, for as much time."""
+    return _writer(df, turn).option("compression", "zstd")
+
+
+def _write_by_decade(df: DataFrame, path: str, turn: Turn = WHOLE) -> None:
+    _parquet(df.hint("rebalance", "decade"), turn).partitionBy("decade").parquet(path)
 
 
 def _check_format(fmt: str) -> None:
@@ -79,13 +98,13 @@ def write_totals(totals: DataFrame, path: str, fmt: str = "parquet") -> None:
     totals.select(format_totals_line()).write.text(path)
 
 
-def write_bigrams(bigrams: DataFrame, path: str) -> None:
+def write_bigrams(bigrams: DataFrame, path: str, turn: Turn = WHOLE) -> None:
     """B, as its aggregation leaves it: it is read once more per word, each time in full."""
-    bigrams.write.parquet(path)
+    _parquet(bigrams, turn).parquet(path)
 
 
 def write_pairs(
-    pairs: DataFrame, path: str, fmt: str = "parquet", by_decade: bool = True
+    pairs: DataFrame, path: str, fmt: str = "parquet", by_decade: bool = True, turn: Turn = WHOLE
 ) -> None:
     """Pairs with c1, c12 and n; as text ``w1 w2 decade<TAB>c1 0 c12 n``.
 
@@ -94,23 +113,27 @@ def write_pairs(
     """
     _check_format(fmt)
     if fmt == "parquet":
-        return _write_by_decade(pairs, path) if by_decade else pairs.write.parquet(path)
+        return _write_by_decade(pairs, path, turn) if by_decade else _parquet(pairs, turn).parquet(path)
     line = format_measures_line("w1", "w2", "decade", "c1", F.lit(0), "c12", "n")
-    pairs.select(line).write.text(path)
+    _writer(pairs.select(line), turn).text(path)
 
 
-def write_scores(scores: DataFrame, path: str, fmt: str = "parquet", sorted: bool = False) -> None:
+def write_scores(
+    scores: DataFrame, path: str, fmt: str = "parquet", sorted: bool = False, turn: Turn = WHOLE
+) -> None:
     """Scored pairs; as text ``w1 w2 decade<TAB>LogLikelihood is: x``.
 
     ``sorted`` orders all output by decade, second word and first word: a range
-    partitioning on the whole key, so that no decade has to fit in one task.
+    partitioning on the whole key, so that no decade has to fit in one task. It takes one turn.
     """
     _check_format(fmt)
     if sorted:
+        if turn != WHOLE:
+            raise ValueError("sorted output is written whole")
         scores = output_order(scores)
     if fmt == "text":
-        scores.select(format_score_line()).write.text(path)
+        _writer(scores.select(format_score_line()), turn).text(path)
     elif sorted:
-        scores.write.partitionBy("decade").parquet(path)
+        _parquet(scores, turn).partitionBy("decade").parquet(path)
     else:
-        _write_by_decade(scores, path)
+        _write_by_decade(scores, path, turn)

@@ -19,7 +19,7 @@ from collodec.operators import (
     prepare_unigrams,
     unigram_counts,
 )
-from collodec.plans import catalogue, manifest
+from collodec.plans import catalogue, manifest, pipeline
 from collodec.plans.catalogue import with_position
 from collodec.plans.materialize import default_folder
 from collodec.sinks import write_pairs, write_scores, write_totals, write_unigrams
@@ -247,6 +247,89 @@ def test_resume_does_not_mix_runs(spark, tmp_path):
     assert {n for n in after if before[n] != after[n]} == {"bigrams", "pairs", "scores"}
 
 
+def shuffle_files(spark):
+    """Of this process' block manager, which is the driver's and, here, the only one."""
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {f.getName() for f in (files.apply(i) for i in range(files.size())) if f.getName().startswith("shuffle_")}
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "text"])
+@pytest.mark.parametrize("required", [False, True])
+def test_run_in_turns(spark, tmp_path, monkeypatch, nothing_is_small, fmt, required):
+    """Keys taken a part at a time give the tables of all keys at once; no shuffle outlives its job."""
+    source, stop, expected = small_corpus(spark, tmp_path, 6)
+    options = {"fmt": "text", "stage_fmt": fmt, "required": required}
+    whole = RunPaths(str(tmp_path / "out"), "whole")
+    plain = run(spark, source, stop, whole, **options)
+    monkeypatch.setattr(pipeline, "TURN_BYTES", 1)
+    parts = RunPaths(str(tmp_path / "out"), "parts")
+    assert len(pipeline.turns(spark, source.bigrams, pipeline.MAX_COUNT_TURNS)) > 1
+    before = shuffle_files(spark)
+    got = run(spark, source, stop, parts, **options)
+    assert shuffle_files(spark) <= before
+    assert rows_of(got) == rows_of(plain)
+    assert_same(as_dict(got), expected)
+    assert len(pipeline.turns(spark, parts.bigrams, pipeline.MAX_LOOKUP_TURNS)) > 1
+    assert rows_of(spark.read.parquet(parts.bigrams)) == rows_of(spark.read.parquet(whole.bigrams))
+    assert rows_of(read_pairs(spark, parts.pairs, fmt)) == rows_of(read_pairs(spark, whole.pairs, fmt))
+
+
+def test_turns_of_pairs(ngrams, stop_words):
+    """Every pair is in one turn, with all of its rows."""
+    rows = ngrams([(f"W{i % 40}, x{i % 7}!", 1800 + i % 3, 1) for i in range(400)])
+    pairs = prepare_bigrams(rows, "eng", stop_words)
+    parts = [rows_of(bigram_counts(pipeline.in_turn(pairs, (k, 3), "w1"))) for k in range(3)]
+    assert sorted(sum(parts, [])) == rows_of(bigram_counts(pairs))
+    assert all(parts)
+
+
+def test_a_table_is_whole_after_its_last_turn(spark, tmp_path):
+    pairs = spark.sql("SELECT 'a' AS w1, 'b' AS w2, 1800 AS decade, 2L AS c1, 1L AS c12, 9L AS n")
+    path = str(tmp_path / "pairs")
+    for k in range(3):
+        write_pairs(pairs, path, turn=(k, 3))
+        assert os.path.exists(f"{path}/_SUCCESS") == (k == 2)
+    assert read_pairs(spark, path).count() == 3
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        write_pairs(pairs, path, turn=(0, 3))
+    with pytest.raises(ValueError, match="whole"):
+        write_scores(pairs, path, sorted=True, turn=(0, 3))
+
+
+def test_a_run_that_consumes_its_ngrams(spark, tmp_path):
+    source, stop, expected = small_corpus(spark, tmp_path, 7)
+    paths = RunPaths(str(tmp_path / "out"), "r")
+    with pytest.raises(ValueError, match="resumed"):
+        run(spark, source, stop, paths, fmt="text", consume=True, resume=True)
+    assert_same(as_dict(run(spark, source, stop, paths, fmt="text", consume=True)), expected)
+    assert not os.path.exists(source.unigrams) and not os.path.exists(source.bigrams)
+    assert os.path.exists(tmp_path / "stop")
+
+
+def test_documents_take_little_disk(spark, tmp_path, monkeypatch):
+    """The n-grams of the batch are packed, all of them, and gone when they are counted."""
+    words = [f"w{i % 50}" for i in range(3000)]
+    docs = [(i, " ".join(words[i:]), "en") for i in range(8)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen = []
+
+    def spied(spark, source, *args, **options):
+        for path in (source.unigrams, source.bigrams):
+            names = [x for x in os.listdir(path.removeprefix("file:")) if x.startswith("part-")]
+            size = sum(os.path.getsize(f"{path.removeprefix('file:')}/{x}") for x in names)
+            lines = [r.value for r in spark.read.text(path).collect()]
+            assert size < sum(map(len, lines)) / 4
+            seen.append((path, len(lines)))
+        return run(spark, source, *args, **options)
+
+    monkeypatch.setattr(pipeline, "run", spied)
+    scores = catalogue.run_documents(spark, str(tmp_path))
+    tokens = sum(3000 - i for i in range(8))
+    assert [n for _, n in seen] == [tokens, tokens - 8]
+    assert sum(r.c12 for r in scores.collect()) == tokens - 8
+    assert not any(os.path.exists(path.removeprefix("file:")) for path, _ in seen)
+
+
 def test_manifests(spark, tmp_path):
     folder = str(tmp_path)
     wanted = manifest.expected("words", {"a": "b"}, {"fmt": "text"}, [])
